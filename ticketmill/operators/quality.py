@@ -28,7 +28,7 @@ def cleaning_stats(cleaned: DataFrame) -> DataFrame:
 
 
 def qa_report(
-    clean: DataFrame, n: int = 100, seed: int = 0, rules: Sequence[P.Rule] = P.RULES
+    clean: DataFrame, n: int | None = 100, seed: int = 0, rules: Sequence[P.Rule] = P.RULES
 ) -> DataFrame:
     """Sample size, leftovers per (ticket, field), their rate, and a per-ticket rate.
 
@@ -51,7 +51,7 @@ def qa_report(
     )
 
 
-def sample_issues(clean: DataFrame, n: int = 100, seed: int = 0, top: int = 10) -> DataFrame:
+def sample_issues(clean: DataFrame, n: int | None = 100, seed: int = 0, top: int = 10) -> DataFrame:
     """The first ``top`` leftovers of the same sample, fields in their fixed order."""
     found = leftover_pii(random_sample(clean, n, seed, "ticket_id"), "ticket_id")
     order = F.array_position(F.array(*[F.lit(c) for c in TEXT_FIELDS]), F.col("field"))

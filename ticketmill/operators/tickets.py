@@ -61,12 +61,14 @@ def top_per_group(df: DataFrame, group: str, order: Sequence[Column], n: int, ra
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
 
 
-def random_sample(df: DataFrame, n: int, seed: int | None = None, key: str | None = None) -> DataFrame:
-    """A uniform sample of ``n`` rows as a top-k over random numbers.
+def random_sample(df: DataFrame, n: int | None, seed: int | None = None, key: str | None = None) -> DataFrame:
+    """A uniform sample of ``n`` rows as a top-k over random numbers; None keeps all rows.
 
     With ``key``, the order comes from a hash of the key, so a re-run or a retried
     task picks the same rows.
     """
+    if n is None:
+        return df
     if key is not None:
         return df.orderBy(F.xxhash64(F.col(key), F.lit(seed or 0)), key).limit(n)
     return df.orderBy(F.rand(seed)).limit(n)

@@ -105,10 +105,13 @@ class SnapshotTable:
     def upsert(
         self, updates: DataFrame, keep: Sequence[str] = ("created_at",),
         order: Sequence[str] = ("updated_at",), stream: str | None = None, batch_id: int | None = None,
+        newest_wins: bool = False,
     ) -> UpsertResult:
         """Insert new keys, overwrite known ones row-wise (nulls too), but keep ``keep``.
 
         Several rows of one key in a batch count once: the newest by ``order`` wins.
+        Across batches the later arrival wins, or with ``newest_wins`` the later
+        ``order[0]``, so that late files cannot undo newer ones.
         With ``stream`` and ``batch_id`` a repeated batch is recognised and skipped.
         """
         before = self._snapshot()
@@ -134,6 +137,9 @@ class SnapshotTable:
         n, o = new.drop("_bucket").withColumn("_new", F.lit(True)).alias("n"), old.withColumn("_old", F.lit(True)).alias("o")
         joined = n.join(o, [F.col(f"n.{k}") == F.col(f"o.{k}") for k in keys], "full_outer")
         is_new = F.col("n._new").isNotNull()
+        if newest_wins:
+            stale = F.col(f"n.{order[0]}") < F.col(f"o.{order[0]}")
+            is_new = is_new & ~F.coalesce(stale, F.lit(False))
 
         def pick(name: str) -> F.Column:
             fresh, stored = F.col(f"n.{name}"), F.col(f"o.{name}")

@@ -33,14 +33,15 @@ def stream_upsert(
 ) -> IngestStats:
     """Drain ``source`` into ``target`` and stop.
 
-    The checkpoint holds the position; the target remembers the last batch of this
+    Late files never undo newer rows: the greater ``order[0]`` wins, also across
+    batches. The checkpoint holds the position; the target remembers the last batch of this
     stream, so a batch replayed after a crash changes nothing.
     """
     stats = IngestStats()
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = prepare(batch, batch_id, stats) if prepare else batch
-        result = target.upsert(rows, keep, order, stream=stream, batch_id=batch_id)
+        result = target.upsert(rows, keep, order, stream=stream, batch_id=batch_id, newest_wins=True)
         stats.inserted += result.inserted
         stats.updated += result.updated
         stats.batches += 1

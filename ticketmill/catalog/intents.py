@@ -503,7 +503,8 @@ def ml2(spark, sf):
 @query("ml3_density_cluster")
 def ml3(spark, sf):
     """Clusters of all documents by their words; languages separate well."""
-    reduced = reduction.reduce(document_vectors(spark, sf), "embedding_vector").select("ticket_id", "reduced")
+    vectors = settle(document_vectors(spark, sf), "vectors")
+    reduced = reduction.reduce(vectors, "embedding_vector").select("ticket_id", "reduced")
     found = density.density_cluster(reduced, "ticket_id", "reduced")
     lang = table(spark, sf, "documents").select(F.col("doc_id").alias("ticket_id"), "lang")
     return found.join(lang, "ticket_id").groupBy("cluster_id", "lang").agg(F.count(F.lit(1)).alias("n"))

@@ -31,9 +31,18 @@ def squared_norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    """The vector scaled to length 1; a zero vector stays as it is."""
-    norm = F.sqrt(squared_norm(a))
-    return F.when(norm > 0, F.transform(a, lambda x: x / norm)).otherwise(a)
+    """The vector scaled to length 1; a zero vector stays as it is.
+
+    The vector and then its norm are bound by one-element arrays: an expression named
+    inside ``transform`` would be worked out again for every element.
+    """
+    bound = F.transform(
+        F.array(a), lambda v: F.struct(v.alias("v"), F.sqrt(squared_norm(v)).alias("n"))
+    )
+    return F.element_at(F.transform(
+        bound,
+        lambda s: F.when(s["n"] > 0, F.transform(s["v"], lambda x: x / s["n"])).otherwise(s["v"]),
+    ), 1)
 
 
 def mean_vector(c: Column) -> Column:

@@ -29,28 +29,34 @@ SPARE = 10  # extra basis columns, which speed up convergence
 FAN_IN = 64  # rows that reach the driver per pass, whatever the number of tasks
 
 
-def _times_covariance(units: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """Covariance x basis of the column ``u``, in one pass.
+def _unit_rows(column: pd.Series) -> np.ndarray:
+    x = stack(column)
+    norm = np.sqrt((x * x).sum(1, keepdims=True))
+    return x / np.where(norm > 0, norm, 1.0)
+
+
+def _times_covariance(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
+    """Covariance x basis of the vectors in column ``v``, scaled to unit length; one pass.
 
     A task folds its rows into one flat vector; those are added in ``FAN_IN`` groups
     before the last, bounded step on the driver.
     """
     d, width = basis.shape
-    shipped = units.sparkSession.sparkContext.broadcast(basis)
+    shipped = vectors.sparkSession.sparkContext.broadcast(basis)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, total, product = 0, np.zeros(d), np.zeros((d, width))
         for b in batches:
             if b.empty:
                 continue
-            x = stack(b["u"])
+            x = _unit_rows(b["v"])
             n += len(x)
             total += x.sum(0)
             product += x.T @ (x @ shipped.value)
         if n:
             yield pd.DataFrame({"flat": [np.concatenate([[n], total, product.ravel()])]})
 
-    parts = units.mapInPandas(partial, "flat array<double>")
+    parts = vectors.mapInPandas(partial, "flat array<double>")
     grouped = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(FAN_IN)).alias("g")).agg(
         V.sum_vector(F.col("flat")).alias("flat")
     )
@@ -60,17 +66,17 @@ def _times_covariance(units: DataFrame, basis: np.ndarray) -> np.ndarray:
     return product / n - np.outer(mean, mean @ basis)
 
 
-def principal_axes(units: DataFrame, d: int, k: int) -> np.ndarray:
-    """The ``k`` leading axes (d x k) of unit vectors in column ``u``, signs fixed."""
+def principal_axes(vectors: DataFrame, d: int, k: int) -> np.ndarray:
+    """The ``k`` leading axes (d x k) of the unit vectors along column ``v``, signs fixed."""
     if d <= EXACT_WIDTH:
         basis = np.eye(d)
-        image = _times_covariance(units, basis)
+        image = _times_covariance(vectors, basis)
     else:
         basis = np.linalg.qr(np.random.default_rng(SEED).normal(size=(d, min(d, k + SPARE))))[0]
-        image = _times_covariance(units, basis)
+        image = _times_covariance(vectors, basis)
         for _ in range(PASSES - 1):
             basis = np.linalg.qr(image)[0]
-            image = _times_covariance(units, basis)
+            image = _times_covariance(vectors, basis)
     small = basis.T @ image
     values, vectors = np.linalg.eigh((small + small.T) / 2)
     axes = basis @ vectors[:, np.argsort(values)[::-1][:k]]
@@ -82,19 +88,20 @@ def reduce(df: DataFrame, vec: str, k: int = CLUSTER_DIMENSIONS, out: str = "red
     """Adds the first ``k`` principal components of the normalised vectors.
 
     On unit vectors Euclidean order is cosine order. ``k`` is cut to the vectors' width.
+    Wide vectors are read ``PASSES`` times, so settle an expensive input first.
     """
     head = df.select(F.size(vec).alias("d")).first()
     if head is None:
         return df.withColumn(out, F.lit(None).cast("array<double>"))
-    unit = V.unit(V.as_doubles(F.col(vec)))
-    axes = principal_axes(df.select(unit.alias("u")), head["d"], min(k, head["d"]))
+    v = V.as_doubles(F.col(vec))
+    axes = principal_axes(df.select(v.alias("v")), head["d"], min(k, head["d"]))
     shipped = df.sparkSession.sparkContext.broadcast(axes)
 
     @F.pandas_udf("array<double>")
-    def project(u: pd.Series) -> pd.Series:
-        return pd.Series(list(stack(u) @ shipped.value)) if len(u) else u
+    def project(v: pd.Series) -> pd.Series:
+        return pd.Series(list(_unit_rows(v) @ shipped.value)) if len(v) else v
 
-    return df.withColumn(out, project(unit))
+    return df.withColumn(out, project(v))
 
 
 def plot_coordinates(df: DataFrame, reduced: str = "reduced") -> DataFrame:

@@ -96,7 +96,8 @@ def run_clustering(
     ``exact_silhouette=False`` reports the linear-time squared score instead, under
     its own name.
     """
-    vectors = load_embeddings(embeddings, limit)
+    # Without a limit there is nothing to order: the operators do not depend on row order.
+    vectors = embeddings if limit is None else load_embeddings(embeddings, limit)
     if vectors.isEmpty():
         return {"error": "No embeddings found"}
     rows, points = cluster_vectors(vectors, min_cluster_size)

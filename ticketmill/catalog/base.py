@@ -29,10 +29,32 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of long texts, spread over the cores if it is one small file.
+
+    One small file is one task, and pattern work is all CPU. Real tables have more
+    splits than cores and are left as they lie.
+    """
+    df = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if len(files) >= cores:
+        return df
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    total = 0
+    for f in files:
+        path = hadoop.Path(f)
+        total += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+    return df.repartition(cores) if total < SPLIT_BYTES else df
+
+
 def sql_text(value: str) -> str:
     """A DuckDB string literal; escapes are spelled out so that newlines survive."""
     return "E'" + value.replace("\\", "\\\\").replace("'", "''").replace("\n", "\\n") + "'"
@@ -78,7 +100,7 @@ decorated AS (
 
 def decorated(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents, each with one ending: doc_id, text."""
-    return table(spark, sf, "documents").select(
+    return text_table(spark, sf, "documents").select(
         "doc_id", F.concat("text", pick(SNIPPETS, F.col("doc_id"))).alias("text")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.catalog.base import DECORATED_SQL, TICKETS_SQL, decorated, query, sql_strip, table, tickets_and_comments
+from ticketmill.catalog.base import DECORATED_SQL, TICKETS_SQL, decorated, query, sql_strip, table, text_table, tickets_and_comments
 from ticketmill.catalog.tables import _DOC_CLUSTER_SQL, _FEEDBACK_SQL, doc_cluster, feedback
 from ticketmill.functions import vectors as V
 from ticketmill.operators import centroids as N
@@ -242,7 +242,7 @@ top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, term
 
 @query("lb2_class_terms", f"{_TERMS_SQL} SELECT lang, rank::INT AS rank, term, round(score, 4) AS score FROM top")
 def lb2(spark, sf):
-    return r4(labels.class_terms(table(spark, sf, "documents"), "lang", "text"), "score")
+    return r4(labels.class_terms(text_table(spark, sf, "documents"), "lang", "text"), "score")
 
 
 @query("lb2_keyword_labels", f"""
@@ -250,7 +250,7 @@ def lb2(spark, sf):
 SELECT lang AS cluster_id, string_agg(term, ' ' ORDER BY rank) AS name,
        'Consultas sobre ' || string_agg(term, ', ' ORDER BY rank) AS description FROM top GROUP BY 1""")
 def lb2_names(spark, sf):
-    d = table(spark, sf, "documents").select(doc_cluster().alias("cluster_id"), "text")
+    d = text_table(spark, sf, "documents").select(doc_cluster().alias("cluster_id"), "text")
     return labels.keyword_labels(d, "text")
 
 
@@ -453,7 +453,7 @@ def agg16_intents(spark, sf):
 
 
 def document_vectors(spark, sf):
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("ticket_id"), "text")
+    d = text_table(spark, sf, "documents").select(F.col("doc_id").alias("ticket_id"), "text")
     model = embedding.fit_embedder(d, "text")
     return embedding.embed(d, "text", model).drop("text")
 

@@ -23,7 +23,7 @@ class Rule(NamedTuple):
 # --- Fixed values: the eight rules, in the order they apply -------------------
 RULES: tuple[Rule, ...] = (
     Rule("email", r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b", "[EMAIL]", True),
-    Rule("phone_cl", r"(?:\+?56\s*)?(?:9|2)\s*\d{4}\s*\d{4}\b", "[TELEFONO]", True),
+    Rule("phone_cl", r"(?:\+?56\s*)?(?:9|2)\s*\d{4}\s*\d{4}\b", "[TELEFONO]"),
     Rule("phone_intl", r"\+\d{1,3}\s*\d{6,14}\b", "[TELEFONO]"),
     Rule("rut", r"\b\d{1,2}\.?\d{3}\.?\d{3}[-]?[0-9kK]\b", "[RUT]"),
     Rule("credit_card", r"\b(?:\d{4}[-\s]?){3}\d{4}\b", "[TARJETA]"),
@@ -53,9 +53,16 @@ def may_hold_pii(c: Column) -> Column:
 
 def redact_text(c: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """All rules in order on the progressively redacted text; null becomes ''."""
-    folded = c
-    for rule in rules:
+    first, rest = rules[0], rules[1:]
+    start = apply_rule(c, first)
+    if first.name == "email":
+        start = F.when(F.contains(c, F.lit("@")), start).otherwise(c)
+    folded = start
+    for rule in rest:
         folded = apply_rule(folded, rule)
+    # Every other rule needs a digit, and no token brings one in.
+    if all(rule.name != "email" for rule in rest):
+        return F.when(c.isNull(), F.lit("")).when(c.rlike(r"(?U)\d"), folded).otherwise(start)
     return F.when(c.isNull(), F.lit("")).when(may_hold_pii(c), folded).otherwise(c)
 
 

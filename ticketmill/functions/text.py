@@ -5,9 +5,7 @@ They work on a plain column and, equally, on the element of an array inside
 repeating work.
 
 Patterns carry ``(?U)`` because Java's classes are ASCII-only by default, and
-``(?d)`` wherever a line end matters, so that only a newline ends a line. Whitespace
-is spelled out instead: explicit classes are faster than Unicode properties, and
-Java's property lacks four separators that text stripping removes.
+``(?d)`` wherever a line end matters, so that only a newline ends a line.
 """
 
 from __future__ import annotations
@@ -80,12 +78,10 @@ MENTION = r"@[\p{L}\p{N}_]+"
 MENTION_TOKEN = "[USUARIO]"
 # -----------------------------------------------------------------------------
 
-# Whitespace as Unicode text strips it.
+# Whitespace as Unicode text strips it: Java's property lacks the four separators.
 BLANKS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
-_CLASS = "".join(f"\\u{ord(x):04x}" for x in BLANKS)
-_CLASS_IN_LINE = _CLASS.replace("\\u000a", "")
-WS = f"[{_CLASS}]"
-WS_IN_LINE = f"[{_CLASS_IN_LINE}]"
+WS_IN_LINE = r"[[\s\x1c-\x1f]&&[^\n]]"
+WORD = r"(?U)[^\s\x1c-\x1f]+"
 
 
 def _literal(replacement: str) -> Column:
@@ -178,7 +174,7 @@ def normalize_whitespace(c: Column) -> Column:
     """
     c = _sub(c, r" [ \t]+|\t[ \t]*", " ")  # single spaces already are what they become
     c = _sub(c, r"\n{3,}", "\n\n")
-    c = _sub(c, rf"{WS_IN_LINE}*\n{WS_IN_LINE}*", "\n")
+    c = _sub(c, rf"(?U){WS_IN_LINE}*\n{WS_IN_LINE}*", "\n")
     return strip(c)
 
 
@@ -213,4 +209,4 @@ def channel_body(c: Column, kind: str, remove_urls: bool = True, token: str = UR
 
 
 def word_count(c: Column) -> Column:
-    return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(f"[^{_CLASS}]+")).cast("long")
+    return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(WORD)).cast("long")

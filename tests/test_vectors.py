@@ -75,6 +75,20 @@ def test_silhouette_edge_cases(spark):
     assert single.silhouette == 0.0
 
 
+def test_squared_silhouette_routes_agree(spark, cloud):
+    x, y = cloud
+    kept = y >= 0
+    d, labels = distances(x[kept]) ** 2, y[kept]
+    want = []
+    for i, c in enumerate(labels):
+        a = d[i][labels == c].sum() / ((labels == c).sum() - 1)
+        b = min(d[i][labels == o].mean() for o in set(labels) if o != c)
+        want.append((b - a) / max(a, b))
+    for kw in ({}, {"limit_bytes": 1, "tile_rows": 2}):
+        got = silhouette.squared_silhouette(frame(spark, x, y), "v", **kw).first()[0]
+        assert abs(got - np.mean(want)) < 1e-9
+
+
 def test_distance_routes_agree(spark, cloud):
     x, y = cloud
     df = frame(spark, x, y)

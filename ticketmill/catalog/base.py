@@ -43,16 +43,8 @@ def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     splits than cores and are left as they lie.
     """
     df = table(spark, sf, name)
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= cores:
-        return df
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    total = 0
-    for f in files:
-        path = hadoop.Path(f)
-        total += path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
-    return df.repartition(cores) if total < SPLIT_BYTES else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(spark.sparkContext.defaultParallelism) if size < SPLIT_BYTES else df
 
 
 def sql_text(value: str) -> str:

@@ -82,18 +82,21 @@ def _nearest_small(points: DataFrame, id_col: str, vec: str, keys: np.ndarray, m
     )
 
 
-def _nearest_tiled(
-    points: DataFrame, cents: DataFrame, id_col: str, vec: str, tile_rows: int
+def nearest_tiled(
+    points: DataFrame, cents: DataFrame, id_col: str, vec: str, tile_rows: int = TILE_ROWS,
+    own: str | None = None,
 ) -> DataFrame:
     """Exact search for a centroid set too large to ship.
 
     Centroids are cut into tiles; each point meets every tile once, in groups of
     bounded size, and each meeting yields one row: that tile's nearest centroid.
+    With ``own``, a point's own cluster is passed over.
     """
     n_c = max(1, -(-cents.count() // tile_rows))
     n_p = max(1, -(-points.count() // tile_rows))
     p = points.select(
         id_col, V.as_doubles(F.col(vec)).alias("v"),
+        (F.lit(None).cast("long") if own is None else F.col(own).cast("long")).alias("own"),
         F.pmod(F.xxhash64(id_col), F.lit(n_p)).alias("pt"),
         every(F.lit(n_c)).alias("ct"),
     )
@@ -107,11 +110,13 @@ def _nearest_tiled(
         if left.empty or right.empty:
             return pd.DataFrame({id_col: [], "cluster_id": [], "distance": []})
         right = right.sort_values("cluster_id")
+        ids = right["cluster_id"].to_numpy()
         d = pairwise(stack(left["v"]), stack(right["v"]))
+        if own is not None:
+            d[left["own"].to_numpy()[:, None] == ids[None, :]] = np.inf
         at = d.argmin(1)
         return pd.DataFrame({
-            id_col: left[id_col], "cluster_id": right["cluster_id"].to_numpy()[at],
-            "distance": d[np.arange(len(at)), at],
+            id_col: left[id_col], "cluster_id": ids[at], "distance": d[np.arange(len(at)), at],
         })
 
     met = p.groupBy("pt", "ct").cogroup(c.groupBy("pt", "ct")).applyInPandas(
@@ -133,7 +138,7 @@ def nearest_centroid(
     """
     small = matrix_if_small(cents, "cluster_id", "centroid", limit_bytes)
     if small is None:
-        return _nearest_tiled(points, cents, id_col, vec, tile_rows)
+        return nearest_tiled(points, cents, id_col, vec, tile_rows)
     if len(small[0]) == 0:
         return points.select(
             F.col(id_col).cast("long"), F.lit(None).cast("long").alias("cluster_id"),

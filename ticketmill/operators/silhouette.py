@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.functions import vectors as V
-from ticketmill.operators.centroids import every, pairwise, stack
+from ticketmill.operators.centroids import every, matrix_if_small, nearest_tiled, pairwise, stack
+from ticketmill.session import BROADCAST_BYTES, settle
 
 TILE_ROWS = 8192
 
@@ -75,51 +76,67 @@ def silhouette_points(
     )
 
 
-def squared_silhouette(points: DataFrame, vec: str, label: str = "cluster_id") -> DataFrame:
+def squared_silhouette(
+    points: DataFrame, vec: str, label: str = "cluster_id", limit_bytes: int = BROADCAST_BYTES,
+    tile_rows: int = TILE_ROWS,
+) -> DataFrame:
     """Mean silhouette under squared Euclidean distance; linear in the data.
 
     Mean squared distance to a cluster follows from its size, mean and mean square:
-    E|x-y|^2 = |x|^2 - 2 x.mean + E|y|^2. Not equal to the Euclidean score.
+    E|x-y|^2 = |x - mean|^2 + (E|y|^2 - |mean|^2). The bracket is the cluster's spread;
+    as one more coordinate of its centre it turns the search for the best other
+    cluster into a nearest-centroid search. Not equal to the Euclidean score.
     """
     kept = points.filter(F.col(label) >= 0).select(
         F.col(label).cast("long").alias("c"), V.as_doubles(F.col(vec)).alias("v")
-    ).withColumn("sq", V.squared_norm(F.col("v")))
-    moments = kept.groupBy("c").agg(
-        F.count(F.lit(1)).alias("n"), V.mean_vector(F.col("v")).alias("m"), F.avg("sq").alias("q")
-    ).orderBy("c")
-    rows = moments.collect() if _few(moments) else None
-    if rows is None:
-        raise ValueError("more clusters than fit one executor; score a coarser labelling")
-    names = np.array([r["c"] for r in rows])
-    n = np.array([r["n"] for r in rows], dtype=float)
-    means = np.array([r["m"] for r in rows])
-    squares = np.array([r["q"] for r in rows])
-    shipped = points.sparkSession.sparkContext.broadcast((names, n, means, squares))
-
-    @F.pandas_udf("double")
-    def score(c: pd.Series, v: pd.Series, sq: pd.Series) -> pd.Series:
-        names, n, means, squares = shipped.value
-        if len(names) < 2 or len(c) == 0:
-            return pd.Series([None] * len(c), dtype="float64")
-        x = stack(v)
-        d = np.maximum(sq.to_numpy()[:, None] - 2 * (x @ means.T) + squares[None, :], 0)
-        row, own = np.arange(len(x)), np.searchsorted(names, c.to_numpy())
-        size = n[own]
-        a = np.where(size > 1, d[row, own] * size / np.maximum(size - 1, 1), 0.0)
-        d[row, own] = np.inf
-        b = d.min(1)
-        top = np.maximum(a, b)
-        s = np.where((size > 1) & (top > 0), (b - a) / np.where(top > 0, top, 1), 0.0)
-        return pd.Series(s)
-
-    return kept.select(score("c", "v", "sq").alias("s")).agg(F.avg("s").alias("squared_silhouette"))
-
-
-def _few(moments: DataFrame) -> bool:
-    from ticketmill.session import BROADCAST_BYTES
-
-    size = moments.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("m")).alias("d")).first()
-    return size["n"] * ((size["d"] or 0) + 3) * 8 <= BROADCAST_BYTES
+    )
+    moments = settle(
+        kept.groupBy("c").agg(
+            F.count(F.lit(1)).alias("n"), V.mean_vector(F.col("v")).alias("m"),
+            F.avg(V.squared_norm(F.col("v"))).alias("q"),
+        ).select(
+            F.col("c").alias("cluster_id"), "n",
+            F.concat("m", F.array(F.sqrt(F.greatest(
+                F.col("q") - V.squared_norm(F.col("m")), F.lit(0.0)
+            )))).alias("centroid"),
+        ),
+        "moments",
+    )
+    lifted = kept.select("c", F.concat("v", F.array(F.lit(0.0))).alias("v"))
+    small = matrix_if_small(moments, "cluster_id", "centroid", limit_bytes)
+    if small is not None:
+        keys, centres = small
+        sizes = {r["cluster_id"]: r["n"] for r in moments.select("cluster_id", "n").collect()}
+        shipped = points.sparkSession.sparkContext.broadcast(
+            (keys, centres, np.array([sizes[k] for k in keys], dtype=float))
+        )
+
+        def two_distances(batches):
+            keys, centres, n = shipped.value
+            for b in batches:
+                if b.empty or len(keys) < 2:
+                    continue
+                d = pairwise(stack(b["v"]), centres) ** 2
+                row, at = np.arange(len(d)), np.searchsorted(keys, b["c"].to_numpy())
+                own = d[row, at].copy()
+                d[row, at] = np.inf
+                yield pd.DataFrame({"own": own, "n": n[at].astype(np.int64), "b": d.min(1)})
+
+        scored = lifted.mapInPandas(two_distances, "own double, n long, b double")
+    else:
+        keyed = settle(lifted.withColumn("_id", F.monotonically_increasing_id()), "lifted")
+        other = nearest_tiled(keyed, moments, "_id", "v", tile_rows, own="c")
+        # AQE splits a cluster that holds a large share of the points.
+        scored = keyed.join(moments, F.col("c") == F.col("cluster_id")).select(
+            "_id", "n", V.squared_distance(F.col("v"), F.col("centroid")).alias("own")
+        ).join(other.select("_id", (F.col("distance") * F.col("distance")).alias("b")), "_id").filter(
+            F.col("b") < float("inf")
+        )
+    a = F.when(F.col("n") > 1, F.col("own") * F.col("n") / (F.col("n") - 1))
+    s = F.when(a.isNull(), F.lit(0.0)).otherwise(
+        F.coalesce(F.try_divide(F.col("b") - a, F.greatest(a, F.col("b"))), F.lit(0.0))
+    )
+    return scored.agg(F.avg(s).alias("squared_silhouette"))
 
 
 def noise_ratio(points: DataFrame, label: str = "cluster_id") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ticketmill.functions.text import strip
 from ticketmill.operators.tickets import top_per_group
+from ticketmill.session import settle
 
 # --- Fixed values ------------------------------------------------------------
 EXAMPLES_PER_CLUSTER = 5
@@ -51,12 +52,13 @@ def class_terms(texts: DataFrame, group: str, col: str, n: int = NAME_TERMS) ->
     """The ``n`` most telling words per cluster by class TF-IDF: group, rank, term, score.
 
     score = share of the word in its cluster x ln(1 + mean words per cluster / all
-    uses of the word). Counts combine map-side; the top n are pre-limited per task.
+    uses of the word). Counts combine map-side and are written once, so texts are
+    split a single time; the top n are pre-limited per task.
     """
     words = texts.select(
         group, F.explode(F.split(F.lower(F.col(col)), r"[^\p{L}\p{N}]+")).alias("term")
     ).filter(F.length("term") >= 3)
-    per = words.groupBy(group, "term").agg(F.count(F.lit(1)).alias("n"))
+    per = settle(words.groupBy(group, "term").agg(F.count(F.lit(1)).alias("n")), "terms")
     size = per.groupBy(group).agg(F.sum("n").alias("words"))
     uses = per.groupBy("term").agg(F.sum("n").alias("uses"))
     mean = size.agg(F.avg("words").alias("mean_words"), F.lit(1).alias("_one"))

@@ -15,6 +15,8 @@ from ticketmill.session import BROADCAST_BYTES, settle
 
 # Rows of points and of centroids that one shuffled group holds at most (on average).
 TILE_ROWS = 8192
+# Entries of the largest distance matrix a task holds at a time (32 MB).
+MATRIX_CELLS = 4_000_000
 
 
 def centroids(points: DataFrame, vec: str, label: str = "cluster_id") -> DataFrame:
@@ -63,6 +65,24 @@ def pairwise(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def nearest_rows(
+    x: np.ndarray, centres: np.ndarray, own: np.ndarray | None = None, ids: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index of and distance to each row's nearest centre, in blocks of bounded memory.
+
+    With ``own`` and ``ids``, a centre whose id is the row's own is passed over.
+    """
+    step = max(1, MATRIX_CELLS // max(1, len(centres)))
+    at, dist = np.empty(len(x), dtype=np.int64), np.empty(len(x))
+    for i in range(0, len(x), step):
+        d = pairwise(x[i:i + step], centres)
+        if own is not None:
+            d[own[i:i + step, None] == ids[None, :]] = np.inf
+        a = d.argmin(1)
+        at[i:i + len(a)], dist[i:i + len(a)] = a, d[np.arange(len(a)), a]
+    return at, dist
+
+
 def _nearest_small(points: DataFrame, id_col: str, vec: str, keys: np.ndarray, matrix: np.ndarray) -> DataFrame:
     shipped = points.sparkSession.sparkContext.broadcast((keys, matrix))
 
@@ -71,11 +91,8 @@ def _nearest_small(points: DataFrame, id_col: str, vec: str, keys: np.ndarray, m
         for batch in batches:
             if batch.empty:
                 continue
-            d = pairwise(stack(batch["v"]), centres)
-            at = d.argmin(1)
-            yield pd.DataFrame({
-                id_col: batch[id_col], "cluster_id": ids[at], "distance": d[np.arange(len(at)), at],
-            })
+            at, dist = nearest_rows(stack(batch["v"]), centres)
+            yield pd.DataFrame({id_col: batch[id_col], "cluster_id": ids[at], "distance": dist})
 
     return points.select(id_col, V.as_doubles(F.col(vec)).alias("v")).mapInPandas(
         find, f"{id_col} long, cluster_id long, distance double"
@@ -111,13 +128,9 @@ def nearest_tiled(
             return pd.DataFrame({id_col: [], "cluster_id": [], "distance": []})
         right = right.sort_values("cluster_id")
         ids = right["cluster_id"].to_numpy()
-        d = pairwise(stack(left["v"]), stack(right["v"]))
-        if own is not None:
-            d[left["own"].to_numpy()[:, None] == ids[None, :]] = np.inf
-        at = d.argmin(1)
-        return pd.DataFrame({
-            id_col: left[id_col], "cluster_id": ids[at], "distance": d[np.arange(len(at)), at],
-        })
+        skip = None if own is None else left["own"].to_numpy()
+        at, dist = nearest_rows(stack(left["v"]), stack(right["v"]), skip, ids)
+        return pd.DataFrame({id_col: left[id_col], "cluster_id": ids[at], "distance": dist})
 
     met = p.groupBy("pt", "ct").cogroup(c.groupBy("pt", "ct")).applyInPandas(
         meet, f"{id_col} long, cluster_id long, distance double"
@@ -170,7 +183,7 @@ def distance_to_centroid(
             dist = np.empty(len(x))
             noise = own < 0
             if noise.any():
-                dist[noise] = pairwise(x[noise], matrix).min(1)
+                dist[noise] = nearest_rows(x[noise], matrix)[1]
             at = np.searchsorted(keys, own[~noise])
             dist[~noise] = np.sqrt(((x[~noise] - matrix[at]) ** 2).sum(1))
             return pd.Series(dist)

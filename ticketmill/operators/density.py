@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.functions import vectors as V
-from ticketmill.operators.centroids import pairwise, stack
+from ticketmill.operators.centroids import nearest_rows, pairwise, stack
 from ticketmill.session import settle
 
 # --- Fixed values ------------------------------------------------------------
@@ -45,7 +45,7 @@ def _assign(points: DataFrame, pivots: np.ndarray) -> DataFrame:
             if b.empty:
                 continue
             yield pd.DataFrame({
-                "id": b["id"], "v": b["v"], "summary": pairwise(stack(b["v"]), shipped.value).argmin(1),
+                "id": b["id"], "v": b["v"], "summary": nearest_rows(stack(b["v"]), shipped.value)[0],
             })
 
     return points.mapInPandas(nearest, "id long, v array<double>, summary long")
@@ -111,8 +111,11 @@ class _Bubbles:
         return np.where(gap >= 0, apart, np.maximum(near[rows][:, None], near[None, :]))
 
 
+ROWS_PER_TASK = 256  # by 4096 summaries: an 8 MB matrix
+
+
 def _row_frame(spark, count: int) -> DataFrame:
-    return spark.range(0, count, 1, min(count, spark.sparkContext.defaultParallelism)).withColumnRenamed("id", "i")
+    return spark.range(0, count, 1, -(-count // ROWS_PER_TASK)).withColumnRenamed("id", "i")
 
 
 def _core_distances(spark, bubbles: _Bubbles, min_samples: int) -> np.ndarray:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.functions import vectors as V
-from ticketmill.operators.centroids import every, pairwise, stack
+from ticketmill.operators.centroids import every, nearest_rows, pairwise, stack
 from ticketmill.operators.tickets import top_per_group
 from ticketmill.session import settle
 
@@ -57,11 +57,8 @@ def _knn_distinct(reps: DataFrame, k: int, pivots: int | None, tile_rows: int) -
         for b in batches:
             if b.empty:
                 continue
-            d = pairwise(stack(b["v"]), shipped.value)
-            cell = d.argmin(1)
-            yield pd.DataFrame({
-                "rid": b["rid"], "v": b["v"], "cell": cell, "r": d[np.arange(len(cell)), cell],
-            })
+            cell, r = nearest_rows(stack(b["v"]), shipped.value)
+            yield pd.DataFrame({"rid": b["rid"], "v": b["v"], "cell": cell, "r": r})
 
     cells = settle(
         reps.select("rid", "v").mapInPandas(assign, "rid long, v array<double>, cell long, r double"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.functions import vectors as V
-from ticketmill.operators.centroids import every, matrix_if_small, nearest_tiled, pairwise, stack
+from ticketmill.operators.centroids import every, matrix_if_small, nearest_rows, nearest_tiled, pairwise, stack
 from ticketmill.session import BROADCAST_BYTES, settle
 
 TILE_ROWS = 8192
@@ -116,11 +116,12 @@ def squared_silhouette(
             for b in batches:
                 if b.empty or len(keys) < 2:
                     continue
-                d = pairwise(stack(b["v"]), centres) ** 2
-                row, at = np.arange(len(d)), np.searchsorted(keys, b["c"].to_numpy())
-                own = d[row, at].copy()
-                d[row, at] = np.inf
-                yield pd.DataFrame({"own": own, "n": n[at].astype(np.int64), "b": d.min(1)})
+                x, c = stack(b["v"]), b["c"].to_numpy()
+                at = np.searchsorted(keys, c)
+                other = nearest_rows(x, centres, c, keys)[1]
+                yield pd.DataFrame({
+                    "own": ((x - centres[at]) ** 2).sum(1), "n": n[at].astype(np.int64), "b": other ** 2,
+                })
 
         scored = lifted.mapInPandas(two_distances, "own double, n long, b double")
     else:

@@ -3,7 +3,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from ticketmill.functions import text as X
 from ticketmill.operators import cleaning as C

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import simhash, token_planes
+from ticketmill.llm import (
+    bins, decontaminate, divergence, fuzzy_lines, html_region, languages, simhash, substrings, token_planes, weak_labels,
+)
 from ticketmill.llm.common import documents
 from ticketmill.llm.encoding import vocabulary_path
 from ticketmill.session import fresh_path
@@ -15,6 +17,9 @@ from ticketmill.session import fresh_path
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
+
 
 def query(name: str, sql: str | None = None):
     def register(fn):
@@ -28,11 +33,107 @@ def query(name: str, sql: str | None = None):
 @query("op1_token_planes")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-planes")
-    token_planes.write_ids(documents(spark, sf_dir), path, vocabulary_path("byte_bpe_50k.json"))
+    token_planes.write_ids(documents(spark, sf_dir), path, vocabulary_path(BYTE_BPE))
     return token_planes.read_documents(spark, path, digest=True)
 
 
+@query("op2_html_region")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_region.extract(documents(spark, sf_dir, "pages"))
+
+
+@query("op3_weak_labels")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.score(documents(spark, sf_dir))
+
+
+@query("op4_bins")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bins.pack_documents(bins.token_lengths(documents(spark, sf_dir), vocabulary_path(BYTE_BPE)))
+
+
 @query("op5_simhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(documents(spark, sf_dir))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+_WS = r"[\x20\x09-\x0D]+"
+
+
+@query("op6_substrings", rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_WS}'), lambda w: w <> '') AS ws FROM documents),
+p AS (
+  SELECT doc_id, s, array_to_string(ws[s:s + 49], ' ') AS w
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS s FROM d WHERE len(ws) >= 50)),
+hit AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY w) AS first FROM p) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM hit),
+per AS (SELECT doc_id, list(i) AS gs FROM gone GROUP BY doc_id),
+kept AS (
+  SELECT d.doc_id, len(ws) AS n, coalesce(len(gs), 0) AS r,
+         CASE WHEN gs IS NULL THEN ws ELSE list_filter(ws, lambda w, i: NOT list_contains(gs, i)) END AS k
+  FROM d LEFT JOIN per USING (doc_id))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(r AS BIGINT) AS n_removed,
+       sha256(array_to_string(k, ' ')) AS kept_sha256
+FROM kept
+""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SPLIT = f"list_filter(regexp_split_to_array({_LOWER}, '{_SEPARATORS}'), lambda w: w <> '')"
+
+
+@query("op7_decontaminate", f"""
+WITH b AS (SELECT item_id, {_SPLIT} AS ws FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS m, array_to_string(ws[s:s + 9], ' ') AS w
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 8, 2))) AS s FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT m FROM win),
+d AS (SELECT doc_id, {_SPLIT} AS ws FROM documents),
+p AS (
+  SELECT doc_id, m, s, array_to_string(ws[s:s + m - 1], ' ') AS w
+  FROM (SELECT doc_id, m, ws, unnest(range(1, len(ws) - m + 2)) AS s FROM d, sizes WHERE len(ws) >= m)),
+hit AS (SELECT DISTINCT p.doc_id, p.s, p.m, win.item_id FROM p JOIN win USING (m, w)),
+pos AS (
+  SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + m)) AS i FROM hit) GROUP BY doc_id),
+per AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN per USING (doc_id)
+""")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op8_fuzzy_lines")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    cut = fuzzy_lines.drop_lines(docs, fuzzy_lines.removals(docs))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_languages")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    vocabulary = vocabulary_path(PIECES)
+    model = languages.train(docs.filter(~languages.held_out(F.col("doc_id"))), vocabulary)
+    found = languages.predict(docs.select("doc_id", "text"), model, vocabulary)
+    return found.select("doc_id", languages.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op10_divergence")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(documents(spark, sf_dir))

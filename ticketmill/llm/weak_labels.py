@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -58,6 +59,8 @@ def statistics(text: str | None, table) -> tuple[dict[str, float], list[bytes]]:
         "distinct": len(set(words)) / max(1, n),
         "same_lines": 1 - len(set(lines)) / max(1, len(lines)),
         "length": letters / max(1, n),
+        "echo": sum(a == b for a, b in zip(words, words[1:])) / max(1, n),
+        "top": max(Counter(words).values(), default=0) / max(1, n),
         "function": sum(w in FUNCTION_WORDS for w in lower.split()) / max(1, n),
     }, words
 
@@ -67,16 +70,18 @@ def votes(s: dict[str, float]) -> str:
     def rule(bad: bool, good: bool) -> str:
         return BAD if bad else GOOD if good else SILENT
 
-    some = s["words"] >= 10
+    some, many = s["words"] >= 10, s["words"] >= 50
     return "".join((
-        rule(s["words"] < 5, s["words"] >= 30),
-        rule(s["symbols"] > 0.03, some and s["symbols"] < 0.005),
-        rule(some and s["upper"] > 0.5, some and s["upper"] < 0.15),
-        rule(some and s["letters"] < 0.7, some and s["letters"] > 0.9),
-        rule(some and s["shouts"] > 0.2, some and s["shouts"] < 0.02),
-        rule(some and s["bars"] > 0.1, SILENT == GOOD),
-        rule(s["words"] >= 50 and s["distinct"] < 0.25, s["words"] >= 50 and s["distinct"] > 0.4),
-        rule(s["same_lines"] > 0.3, s["words"] >= 50 and s["same_lines"] == 0),
+        rule(s["words"] == 0, s["words"] >= 30),
+        rule(s["symbols"] > 0.03, 0 < s["words"] and s["symbols"] < 0.005),
+        rule(some and s["upper"] > 0.5, s["letters"] > 0 and s["upper"] < 0.25),
+        rule(some and s["letters"] < 0.7, s["letters"] > 0.8),
+        rule(some and s["shouts"] > 0.2, 0 < s["words"] and s["shouts"] < 0.02),
+        rule(some and s["bars"] > 0.1, False),
+        rule(many and s["distinct"] < 0.25, many and s["distinct"] > 0.4),
+        rule(some and s["echo"] > 0.1, some and s["echo"] < 0.02),
+        rule(many and s["top"] > 0.2, many and s["top"] < 0.15),
+        rule(s["same_lines"] > 0.3, many and s["same_lines"] == 0),
         rule(some and s["function"] < 0.05, some and s["function"] > 0.15),
         rule(some and not 2.5 <= s["length"] <= 12, some and 3 <= s["length"] <= 9),
     ))
@@ -90,11 +95,11 @@ def agree(patterns: dict[str, int], rounds: int = EM_ROUNDS) -> dict[str, float]
         return {}
     names = list(patterns)
     count = np.array([patterns[p] for p in names], float)
-    seen = np.array([[[v == s for s in (GOOD, BAD, SILENT)] for v in p] for p in names], float)
+    seen = np.array([[[v == s for s in (GOOD, BAD)] for v in p] for p in names], float)
     share = [(p.count(GOOD) + 1) / (p.count(GOOD) + 3 * p.count(BAD) + 2) for p in names]  # one bad vote outweighs several good
     good = np.array(share)
     for _ in range(rounds):
-        # Chance of each vote given the class, smoothed.
+        # Chance of each vote given the class and that there is one, smoothed; silence tells nothing.
         by_class = [np.einsum("p,pks->ks", count * w, seen) + 1 for w in (good, 1 - good)]
         by_class = [c / c.sum(axis=1, keepdims=True) for c in by_class]
         prior = (count @ good + 1) / (count.sum() + 2)
@@ -162,8 +167,6 @@ def fit(docs: DataFrame, posterior: dict[str, float], total: int, sample_docs: i
     if not rows:
         return weights
     y = np.array([posterior[r["p"]] for r in rows])
-    # Both classes weigh the same, however rare one is.
-    balance = np.where(y >= 0.5, 0.5 / max(1, (y >= 0.5).sum()), 0.5 / max(1, (y < 0.5).sum()))
     sizes = np.array([len(r["at"]) for r in rows])
     at = np.concatenate([np.array(r["at"]) for r in rows])
     x = np.concatenate([np.array(r["x"]) for r in rows])
@@ -171,7 +174,7 @@ def fit(docs: DataFrame, posterior: dict[str, float], total: int, sample_docs: i
     squares, velocity = np.full(BUCKETS + 1, 1e-8), np.zeros(BUCKETS + 1)
     for step in range(FIT_ROUNDS):
         z = np.bincount(row, x * weights[at], len(rows)) + weights[-1]
-        error = (1 / (1 + np.exp(-z)) - y) * balance
+        error = (1 / (1 + np.exp(-z)) - y) / len(rows)
         slope = np.r_[np.bincount(at, x * error[row], BUCKETS), error.sum()] + RIDGE * weights * np.r_[np.ones(BUCKETS), 0]
         velocity = 0.9 * velocity + 0.1 * slope
         squares = 0.99 * squares + 0.01 * slope * slope

@@ -26,8 +26,8 @@ from ticketmill.llm.substrings import WordHashes
 COMMON_WORDS = 100
 MIN_CHARS = 200
 MIN_WORDS = 50
-MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.80
+MAX_CHAR_DISTANCE = 0.40
+MAX_WORD_DISTANCE = 0.55
 REPEAT_WINDOW = 5
 COUNTER_WORDS = 100_000
 SYMBOLS = "#*$%&|<>"

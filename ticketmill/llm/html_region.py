@@ -133,11 +133,21 @@ def key(kind: str, payload: str) -> str:
     return f"<{name}>" if name in KNOWN_TAGS else "<other>"
 
 
+def weight_of(kind: str, payload: str) -> int:
+    """How often a token counts: text by its words, but a stretch of furniture once.
+
+    Furniture inside an article must not outweigh the paragraphs beside it.
+    """
+    if kind == "tag":
+        return 1
+    return len(payload.split()) if kind != "chrome" else 1 if payload.strip() else 0
+
+
 def token_counts(page: str) -> tuple[Counter, Counter]:
     """Tokens inside and outside the labelled region of one page."""
     inside, outside = Counter(), Counter()
     for kind, payload, labelled in tokens(page):
-        (inside if labelled and kind != "chrome" else outside)[key(kind, payload)] += len(payload.split()) if kind != "tag" else 1
+        (inside if labelled and kind != "chrome" else outside)[key(kind, payload)] += weight_of(kind, payload)
     return inside, outside
 
 
@@ -191,7 +201,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
         return ""
     stream, best, best_sum, start, running = [], (0, 0), 0.0, 0, 0.0
     for kind, payload, _ in tokens(page):
-        times = 1 if kind == "tag" else len(payload.split())
+        times = weight_of(kind, payload)
         stream.append((kind, payload))
         if times:
             running += times * weights[key(kind, payload)]

@@ -10,7 +10,7 @@ from ticketmill.operators import comments as M
 from ticketmill.operators import tickets as K
 from ticketmill.plans import jobs
 from ticketmill.schemas import INTENTS, RAW_TICKETS, conform
-from ticketmill.session import fresh_path
+from ticketmill.session import fresh_path, settle
 from ticketmill.sources import landing as L
 from ticketmill.sources import tables as S
 from ticketmill.streaming import ingest as I
@@ -42,27 +42,35 @@ def test_landing_parse(spark, tmp_path):
     assert L.bad_lines(L.landing_lines(spark, str(tmp_path / "in"))).count() == 3
 
 
-def test_comments_attach_in_order_and_large_tickets_split(spark):
+COMMENTS = "ticket_id long, seq long, id long, body string, author_id long, public boolean, created_at string"
+
+
+def test_comments_attach_in_order_one_row_a_ticket(spark):
     tickets = spark.createDataFrame([(1, "s", "d"), (2, "s", None), (3, "s", "d")], "ticket_id long, subject string, description string")
-    rows = [(1, i, i, f"c{i}", 5, True, None) for i in range(25)] + [(2, 0, 0, "x", 5, None, None)]
-    comments = spark.createDataFrame(rows, "ticket_id long, seq long, id long, body string, author_id long, public boolean, created_at string").repartition(5)
-    got = M.attach_comments(tickets, comments, part_size=10).orderBy("ticket_id", "part").collect()
-    assert [(r.ticket_id, r.part) for r in got] == [(1, 0), (1, 1), (1, 2), (2, 0), (3, 0)]
-    bodies = [c["body"] for r in got if r.ticket_id == 1 for c in json.loads(r.comments_json)]
-    assert bodies == [f"c{i}" for i in range(25)]
-    assert [r.subject for r in got[:3]] == ["s", None, None] and got[4].comments_json == "[]"
+    rows = [(1, i, i, f"c{i}", 5, True, None) for i in range(25)] + [(1, None, 99, "unplaced", 5, True, None), (2, 0, 0, "x", 5, None, None)]
+    comments = spark.createDataFrame(rows, COMMENTS).repartition(5)
+    for size in (4, 10, 10_000):
+        got = {r.ticket_id: r for r in M.attach_comments(tickets, comments, piece_size=size).collect()}
+        assert sorted(got) == [1, 2, 3] and got[1].subject == "s" and got[3].comments_json == "[]"
+        assert [c["body"] for c in json.loads(got[1].comments_json)] == [f"c{i}" for i in range(25)] + ["unplaced"]
+        assert json.loads(got[2].comments_json)[0]["public"] is None
 
 
-def test_attached_parts_clean_to_the_whole_ticket(spark):
+def test_large_ticket_that_grows_is_cleaned_whole(spark):
     from ticketmill.operators.cleaning import clean_tickets
+    from ticketmill.operators.labels import cluster_examples
 
-    tickets = spark.createDataFrame([(1, None, "d", "chat")], "ticket_id long, subject string, description string, channel string")
-    comments = spark.createDataFrame(
-        [(1, i, i, f"c{i}", 5, True, None) for i in range(7)],
-        "ticket_id long, seq long, id long, body string, author_id long, public boolean, created_at string")
-    whole = clean_tickets(M.attach_comments(tickets, comments)).first().text_customer_only
-    parts = clean_tickets(M.attach_comments(tickets, comments, part_size=3)).orderBy("part").collect()
-    assert "\n\n".join(p.text_customer_only for p in parts) == whole
+    tickets = spark.createDataFrame([(1, None, "d", "chat")], "ticket_id long, subject string, description string, channel string").selectExpr(
+        "*", "timestamp'2024-01-01' AS created_at", "timestamp'2024-01-01' AS updated_at", "array() AS tags")
+    clean = S.table(spark, fresh_path(spark, "c"), "clean.tickets").ensure()
+    for n in (3, 9):
+        comments = spark.createDataFrame([(1, i, i, f"c{i}", 5, True, None) for i in range(n)], COMMENTS)
+        rows = settle(L.to_raw_rows(M.attach_comments(tickets, comments, piece_size=4)), "raw")
+        assert jobs.run_clean(rows, clean)["processed"] == 1
+        direct = clean_tickets(M.attach_comments(tickets, comments)).first().text_customer_only
+        assert [r.text_customer_only for r in clean.read().collect()] == [direct] == ["\n\n".join(["d", *(f"c{i}" for i in range(n))])]
+    clusters = spark.createDataFrame([(1, 0, 0.0)], "ticket_id long, cluster_id long, distance_to_centroid double")
+    assert cluster_examples(clusters, clean.read(), 1).count() == 1
 
 
 def raw(spark, *rows):
@@ -75,7 +83,7 @@ def raw(spark, *rows):
 
 @pytest.fixture
 def target(spark):
-    return S.table(spark, fresh_path(spark, "t"), "raw.tickets", width=10).ensure()
+    return S.table(spark, fresh_path(spark, "t"), "raw.tickets", bucket_rows=10).ensure()
 
 
 def subjects(table):
@@ -104,12 +112,45 @@ def test_same_batch_twice_is_the_same_as_once(spark, target):
     assert not first.skipped and again.skipped
 
 
+def many(spark, ids):
+    return raw(spark, *((i, "x", 1, 1) for i in ids))
+
+
 def test_only_touched_buckets_are_rewritten(spark, target):
-    target.upsert(raw(spark, (1, "a", 1, 1), (25, "b", 1, 1)))
+    target.upsert(many(spark, range(60)))
     before = target._snapshot()["buckets"]
+    assert len(before) >= 5
     target.upsert(raw(spark, (3, "c", 1, 1)))
     after = target._snapshot()["buckets"]
-    assert after["2"] == before["2"] and after["0"] != before["0"]
+    assert after[0] != before[0] and after[1:] == before[1:]
+    assert subjects(target) == {**{i: ("x", 1) for i in range(60)}, 3: ("c", 1)}
+
+
+def test_sparse_ids_end_in_few_buckets(spark, target):
+    ids = [(i * 0x9E3779B97F4A7C15) % 2**63 - 2**62 for i in range(100)]
+    for at in range(0, 100, 25):
+        target.upsert(many(spark, ids[at:at + 25]))
+    assert sorted(subjects(target)) == sorted(ids)
+    assert len(target._snapshot()["buckets"]) <= 12
+    one = S.table(spark, fresh_path(spark, "one"), "raw.tickets").ensure()
+    one.upsert(many(spark, ids))
+    assert len(one._snapshot()["buckets"]) == 1
+
+
+@pytest.mark.parametrize("flip", [False, True])
+def test_equal_times_are_settled_by_the_whole_order(spark, flip):
+    schema = "user_id long, seq long, updated_at timestamp, created_at timestamp"
+    table = S.SnapshotTable(spark, fresh_path(spark, "u"), spark.createDataFrame([], schema).schema, ("user_id",)).ensure()
+    rows = [(1, 9, datetime(2024, 1, 1), datetime(2024, 1, 1)), (1, 1, datetime(2024, 1, 1), datetime(2024, 1, 1))]
+    for row in reversed(rows) if flip else rows:
+        table.upsert(spark.createDataFrame([row], schema), order=("updated_at", "seq"), newest_wins=True)
+    assert [r.seq for r in table.read().collect()] == [9]
+
+
+def test_unfinished_snapshot_is_not_read(spark, target):
+    target.upsert(many(spark, [1]))
+    S.write_text(spark, f"{target.path}/_log/.000000000009.json-crashed", "{")
+    assert sorted(subjects(target)) == [1]
 
 
 def test_two_writers_cannot_take_the_same_version(spark, target):
@@ -139,14 +180,95 @@ def test_absent_nullable_columns_are_filled(spark):
     assert row.composite_score is None and row.volume == 5
 
 
+@pytest.fixture(autouse=True, scope="module")
+def start_of_time(spark):
+    global START
+    START = F.lit("2000-01-01").cast("timestamp")
+
+
+def test_start_holds_for_the_first_run_only(spark, tmp_path, target):
+    where, ck, bad = tmp_path / "in", str(tmp_path / "ck"), str(tmp_path / "bad")
+    start = F.lit("2024-02-01").cast("timestamp")
+    land(where, line(1, updated="2024-01-20T00:00:00Z"), line(2, updated="2024-02-20T00:00:00Z"))
+    I.run_incremental(spark, str(where), target, ck, bad, start=start)
+    assert sorted(subjects(target)) == [2]
+    land(where, line(3, updated="2024-01-20T00:00:00Z"))
+    I.run_incremental(spark, str(where), target, ck, bad, start=start)
+    assert sorted(subjects(target)) == [2, 3]
+
+
+def test_default_starts(spark, tmp_path, target):
+    from datetime import timedelta, timezone
+
+    def ago(days):
+        return (datetime.now(timezone.utc) - timedelta(days=days)).strftime("%Y-%m-%dT%H:%M:%SZ")
+
+    land(tmp_path / "in", line(1, updated=ago(0.5)), line(2, updated=ago(3)), line(3, updated=ago(400)))
+    I.run_incremental(spark, str(tmp_path / "in"), target, str(tmp_path / "ck"), str(tmp_path / "bad"))
+    assert sorted(subjects(target)) == [1]
+    other = S.table(spark, fresh_path(spark, "o"), "raw.tickets").ensure()
+    I.run_backfill(spark, str(tmp_path / "in"), other)
+    assert sorted(subjects(other)) == [1, 2]
+
+
+def test_bad_comment_lines_are_stored(spark, tmp_path, target):
+    land(tmp_path / "in", line(1), "junk")
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "c.json").write_text('{"ticket_id": 1, "seq": 0, "id": 5, "body": "hi", "author_id": 2}\n{"ticket_id"\n{"body": "lost"}\n')
+    got = I.run_backfill(spark, str(tmp_path / "in"), target, comments=str(tmp_path / "c"), start=START, quarantine=str(tmp_path / "q"))
+    assert got == {"inserted": 1, "updated": 0, "bad_records": 3}
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "q")).collect()) == ["junk", '{"body":"lost"}', '{"ticket_id"']
+
+
+def test_faulty_tickets_wait_in_quarantine(spark):
+    clean, bad = (S.table(spark, fresh_path(spark, n), n).ensure() for n in ("clean.tickets", "raw.quarantine"))
+    base = raw(spark, (1, "a", 1, 1), (2, "b", 1, 1), (3, "c", 1, 1), (4, "d", 1, 1))
+    rows = settle(base.withColumn("comments_json", F.expr("element_at(array('[1]', '{}', '\"\"', 'null'), cast(ticket_id as int))")), "raw")
+    first = jobs.run_clean(rows, clean, quarantine=bad)
+    assert (first["processed"], first["errors"]) == (2, 2)
+    assert {r.ticket_id for r in bad.read().collect()} == {1, 4}
+    assert jobs.run_clean(rows, clean, quarantine=bad)["errors"] == 0
+
+
+def test_embedding_hook_counts_failed_batches(spark):
+    table = S.table(spark, fresh_path(spark, "e"), "features.embeddings").ensure()
+    clean = spark.createDataFrame([(i, "bad" if i == 3 else "fine") for i in range(5)], "ticket_id long, text_customer_only string")
+
+    def encode(texts):
+        if "bad" in texts:
+            raise ValueError
+        return [[1.0, 2.0]] * len(texts)
+
+    assert jobs.run_embeddings(clean, table, encode=encode, batch_size=1) == {"processed": 4, "errors": 1, "total": 5}
+    again = jobs.run_embeddings(clean, table, encode=lambda t: [[0.0, 1.0]] * len(t))
+    assert again == {"processed": 1, "errors": 0, "total": 1} and table.read().count() == 5
+
+
+def test_intents_of_lost_clusters_are_retired(spark):
+    from ticketmill.operators.labels import intent_summary
+
+    intents = S.table(spark, fresh_path(spark, "i"), "features.intents").ensure()
+    clean = spark.createDataFrame([(i, f"word{i % 3} other") for i in range(9)], "ticket_id long, text_customer_only string").withColumn(
+        "text_full", F.col("text_customer_only"))
+
+    def clusters(k):
+        return spark.createDataFrame([(i, i % k, 0.1 * i) for i in range(9)], "ticket_id long, cluster_id long, distance_to_centroid double")
+
+    jobs.run_labeling(clusters(3), clean, intents)
+    jobs.run_labeling(clusters(2), clean, intents)
+    assert [r.intent_id for r in intent_summary(intents.read()).collect()] == ["0", "1"] and intents.read().count() == 3
+    prompts = jobs.prompts_for(clusters(2), clean, 1, 2).collect()
+    assert [(r.cluster_id, r.examples_text.count("Ejemplo")) for r in prompts] == [(0, 2)]
+
+
 def test_incremental_resumes_and_quarantines(spark, tmp_path, target):
     where, ck, bad = tmp_path / "in", str(tmp_path / "ck"), str(tmp_path / "bad")
     land(where, line(1), line(2), "garbage")
-    s = I.run_incremental(spark, str(where), target, ck, bad)
+    s = I.run_incremental(spark, str(where), target, ck, bad, start=START)
     assert (s.inserted, s.updated, s.bad_records) == (2, 0, 1)
-    assert I.run_incremental(spark, str(where), target, ck, bad).batches == 0
+    assert I.run_incremental(spark, str(where), target, ck, bad, start=START).batches == 0
     land(where, line(2, updated="2024-02-01T00:00:00Z", status="solved"), line(3), {"id": 9})
-    s = I.run_incremental(spark, str(where), target, ck, bad)
+    s = I.run_incremental(spark, str(where), target, ck, bad, start=START)
     assert (s.inserted, s.updated, s.bad_records) == (1, 1, 1)
     assert {r.ticket_id: r.status for r in target.read().collect()} == {1: "open", 2: "solved", 3: "open"}
 
@@ -155,9 +277,9 @@ def test_stream_result_equals_batch_result(spark, tmp_path, target):
     where = tmp_path / "in"
     land(where, line(1), line(2, updated="2024-03-01T00:00:00Z", status="closed"))
     land(where, line(2, updated="2024-02-01T00:00:00Z"), line(3))
-    I.run_incremental(spark, str(where), target, str(tmp_path / "ck"), str(tmp_path / "bad"), max_files=1)
-    batch = S.table(spark, fresh_path(spark, "b"), "raw.tickets", width=10).ensure()
-    I.run_backfill(spark, str(where), batch)
+    I.run_incremental(spark, str(where), target, str(tmp_path / "ck"), str(tmp_path / "bad"), START, max_files=1)
+    batch = S.table(spark, fresh_path(spark, "b"), "raw.tickets", bucket_rows=10).ensure()
+    I.run_backfill(spark, str(where), batch, start=START)
     pick = ("ticket_id", "status", "updated_at")
     assert sorted(target.read().select(*pick).collect()) == sorted(batch.read().select(*pick).collect())
 
@@ -174,7 +296,7 @@ def test_default_time_range_is_a_year(spark):
 
 
 def test_clean_job_is_incremental(spark, target):
-    clean = S.table(spark, fresh_path(spark, "c"), "clean.tickets", width=10).ensure()
+    clean = S.table(spark, fresh_path(spark, "c"), "clean.tickets", bucket_rows=10).ensure()
     target.upsert(raw(spark, (1, "a@b.cl", 1, 1), (2, "b", 1, 1)))
     stats = jobs.run_clean(target.read(), clean)
     assert stats == {"processed": 2, "pii_found": 1, "errors": 0, "pii_rate": 0.5}

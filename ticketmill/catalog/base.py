@@ -29,24 +29,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
-SPLIT_BYTES = 128 * 1024 * 1024
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def text_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table of long texts, spread over the cores if it is one small file.
-
-    One small file is one task, and pattern work is all CPU. Real tables have more
-    splits than cores and are left as they lie.
-    """
-    df = table(spark, sf, name)
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(spark.sparkContext.defaultParallelism) if size < SPLIT_BYTES else df
-
-
 def sql_text(value: str) -> str:
     """A DuckDB string literal; escapes are spelled out so that newlines survive."""
     return "E'" + value.replace("\\", "\\\\").replace("'", "''").replace("\n", "\\n") + "'"
@@ -92,7 +78,7 @@ decorated AS (
 
 def decorated(spark: SparkSession, sf: str) -> DataFrame:
     """Whole documents, each with one ending: doc_id, text."""
-    return text_table(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         "doc_id", F.concat("text", pick(SNIPPETS, F.col("doc_id"))).alias("text")
     )
 
@@ -170,7 +156,7 @@ def tickets_and_comments(spark: SparkSession, sf: str) -> tuple[DataFrame, DataF
 
 
 def raw_tickets(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw table: tickets with comments_json, part 0 for all but giant tickets."""
+    """The raw table: tickets with comments_json."""
     return attach_comments(*tickets_and_comments(spark, sf))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.catalog.base import DECORATED_SQL, TICKETS_SQL, decorated, query, sql_strip, table, text_table, tickets_and_comments
+from ticketmill.catalog.base import DECORATED_SQL, TICKETS_SQL, decorated, query, sql_strip, table, tickets_and_comments
 from ticketmill.catalog.tables import _DOC_CLUSTER_SQL, _FEEDBACK_SQL, doc_cluster, feedback
 from ticketmill.functions import vectors as V
 from ticketmill.operators import centroids as N
@@ -242,7 +242,7 @@ top AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, term
 
 @query("lb2_class_terms", f"{_TERMS_SQL} SELECT lang, rank::INT AS rank, term, round(score, 4) AS score FROM top")
 def lb2(spark, sf):
-    return r4(labels.class_terms(text_table(spark, sf, "documents"), "lang", "text"), "score")
+    return r4(labels.class_terms(table(spark, sf, "documents"), "lang", "text"), "score")
 
 
 @query("lb2_keyword_labels", f"""
@@ -250,7 +250,7 @@ def lb2(spark, sf):
 SELECT lang AS cluster_id, string_agg(term, ' ' ORDER BY rank) AS name,
        'Consultas sobre ' || string_agg(term, ', ' ORDER BY rank) AS description FROM top GROUP BY 1""")
 def lb2_names(spark, sf):
-    d = text_table(spark, sf, "documents").select(doc_cluster().alias("cluster_id"), "text")
+    d = table(spark, sf, "documents").select(doc_cluster().alias("cluster_id"), "text")
     return labels.keyword_labels(d, "text")
 
 
@@ -258,7 +258,7 @@ _REPLY_FORMS = 6
 
 
 @query("lb3_parse_labels", f"""
-WITH d AS (SELECT doc_id, doc_id % {_REPLY_FORMS} AS f, text, substring(regexp_replace(text, '[^a-zA-Z ]', '', 'g'), 1, 40) AS t FROM documents),
+WITH d AS (SELECT doc_id, doc_id % {_REPLY_FORMS} AS f, text, regexp_replace(text, '[^a-zA-Z ]', '', 'g') AS t FROM documents),
 p AS (SELECT *, {sql_strip('text')} AS s FROM d)
 SELECT doc_id,
   CASE WHEN f IN (0, 1, 2) THEN 'N ' || t WHEN f = 3 THEN 'Sin clasificar' WHEN f = 4 THEN 'Sin clasificar'
@@ -269,7 +269,7 @@ SELECT doc_id,
 FROM p""")
 def lb3(spark, sf):
     """Every document once as a model reply, in six shapes: bare, fenced, tagged, partial, no JSON."""
-    t = F.substring(F.regexp_replace("text", "[^a-zA-Z ]", ""), 1, 40)
+    t = F.regexp_replace("text", "[^a-zA-Z ]", "")
     both = F.concat(F.lit('{"name": "N '), t, F.lit('", "description": "D"}'))
     form = F.col("doc_id") % _REPLY_FORMS
     reply = (
@@ -453,7 +453,7 @@ def agg16_intents(spark, sf):
 
 
 def document_vectors(spark, sf):
-    d = text_table(spark, sf, "documents").select(F.col("doc_id").alias("ticket_id"), "text")
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("ticket_id"), "text")
     model = embedding.fit_embedder(d, "text")
     return embedding.embed(d, "text", model).drop("text")
 
@@ -466,7 +466,9 @@ def emb2(spark, sf):
     return decorated(spark, sf).select("doc_id", embedding.fill_blank(blank).alias("text"))
 
 
-@query("emb1_embed_documents")
+@query("emb1_embed_documents", """
+SELECT doc_id AS ticket_id, 1536 AS dims, CASE WHEN regexp_matches(text, '[\\p{L}\\p{N}]') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS norm
+FROM documents""")
 def emb1(spark, sf):
     v = F.col("embedding_vector")
     return document_vectors(spark, sf).select(
@@ -474,16 +476,23 @@ def emb1(spark, sf):
     )
 
 
-@query("emb3_run_embeddings")
+def _fragile(texts):
+    """A model that fails on any batch with a very long text; else three figures of each."""
+    if any(len(t) > 10_000 for t in texts):
+        raise ValueError("text too long")
+    return [[float(len(t)), float(t.count(" ")), 1.0] for t in texts]
+
+
+@query("emb3_run_embeddings", """
+SELECT doc_id AS ticket_id, CASE WHEN length(text) > 10000 THEN 'hashing-tfidf-1536' ELSE 'figures' END AS model_version FROM documents""")
 def emb3(spark, sf):
-    """Two runs: labelled documents first, then whatever has no vector yet."""
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("ticket_id"), F.col("text").alias("text_customer_only"),
-                                             F.lit(0).cast("long").alias("part"))
-    target = S.table(spark, fresh_path(spark, "emb"), "features.embeddings", 100_000).ensure()
-    model = embedding.fit_embedder(d, "text_customer_only")
+    """Labelled documents and then all with a model that fails on some; the default model takes those."""
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("ticket_id"), F.col("text").alias("text_customer_only"))
+    target = S.table(spark, fresh_path(spark, "emb"), "features.embeddings").ensure()
     known = table(spark, sf, "labels").select(F.col("doc_id").alias("ticket_id"))
-    jobs.run_embeddings(d.join(known, "ticket_id", "left_semi"), target, model)
-    jobs.run_embeddings(d, target, model)
+    for some in (d.join(known, "ticket_id", "left_semi"), d):
+        jobs.run_embeddings(some, target, encode=_fragile, batch_size=1, model_version="figures")
+    jobs.run_embeddings(d, target, embedding.fit_embedder(d, "text_customer_only"))
     return target.read().select("ticket_id", "model_version")
 
 
@@ -500,27 +509,32 @@ def ml2(spark, sf):
     return r4(reduction.plot_coordinates(two).select("vec_id", "umap_x", "umap_y"), "umap_x", "umap_y")
 
 
-@query("ml3_density_cluster")
+@query("ml3_density_cluster", "SELECT lang, count(*) AS n, true AS several FROM documents GROUP BY lang")
 def ml3(spark, sf):
-    """Clusters of all documents by their words; languages separate well."""
+    """Clusters of all documents by their words: every document once, in several clusters."""
     vectors = settle(document_vectors(spark, sf), "vectors")
     reduced = reduction.reduce(vectors, "embedding_vector").select("ticket_id", "reduced")
     found = density.density_cluster(reduced, "ticket_id", "reduced")
     lang = table(spark, sf, "documents").select(F.col("doc_id").alias("ticket_id"), "lang")
-    return found.join(lang, "ticket_id").groupBy("cluster_id", "lang").agg(F.count(F.lit(1)).alias("n"))
+    found = settle(found, "found")
+    several = found.filter("cluster_id >= 0").select("cluster_id").distinct().count() > 1
+    return found.join(lang, "ticket_id").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumn("several", F.lit(several))
 
 
 @query("ml6_run_clustering_and_lb5_labels")
 def ml6(spark, sf):
     """Vectors to clusters to intents over all documents; ends in the intent table."""
     root = fresh_path(spark, "run")
-    made = {n: S.table(spark, root, n, 100_000).ensure() for n in ("features.clusters", "features.intents")}
+    made = {n: S.table(spark, root, n).ensure() for n in ("features.clusters", "features.intents")}
     jobs.run_clustering(settle(document_vectors(spark, sf), "vectors"), made["features.clusters"])
     jobs.run_labeling(made["features.clusters"].read(), texts(spark, sf), made["features.intents"])
     return labels.intent_summary(made["features.intents"].read())
 
 
-@query("int2_stability_runs")
+@query("int2_stability_runs", """
+SELECT m AS min_cluster_size, s AS min_samples, (SELECT count(*) FROM embeddings) AS total
+FROM (VALUES (20::BIGINT, 5::BIGINT), (30, 5), (20, 10)) t(m, s)""")
 def int2(spark, sf):
     reduced = settle(reduction.reduce(table(spark, sf, "embeddings"), "embedding", 5).select("vec_id", "reduced"), "r")
-    return density.stability_runs(reduced, "vec_id", "reduced", [(20, 5), (30, 5), (20, 10)])
+    runs = density.stability_runs(reduced, "vec_id", "reduced", [(20, 5), (30, 5), (20, 10)])
+    return runs.select("min_cluster_size", "min_samples", F.col("total_tickets").alias("total"))

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.catalog.base import DECORATED_SQL, decorated, query, raw_tickets, sql_text
+from ticketmill.catalog.base import (
+    DECORATED_SQL, TICKETS_SQL, decorated, query, raw_tickets, sql_text, tickets_and_comments,
+)
 from ticketmill.catalog.text import CLEAN_TICKETS_SQL
 from ticketmill.functions import pii as P
 from ticketmill.operators import quality as Q
 from ticketmill.operators.redaction import hits_by_type, leftover_pii, redact, redaction_audit
-from ticketmill.plans.jobs import clean_and_redact
+from ticketmill.plans.jobs import clean_and_redact, run_clean
+from ticketmill.session import fresh_path, settle
+from ticketmill.sources import tables as S
+from ticketmill.sources.landing import to_raw_rows
 
 
 def re2(rule: P.Rule) -> str:
@@ -119,16 +124,50 @@ WITH {REDACTED_SQL}
 SELECT ticket_id, channel, word_count, text_full, text_customer_only, text_agent_only, has_pii_redacted
 FROM redacted""")
 def job2(spark, sf):
-    return clean_and_redact(raw_tickets(spark, sf)).drop("part", "is_faulty", "processed_at")
+    return clean_and_redact(raw_tickets(spark, sf)).drop("is_faulty", "processed_at")
 
 
-@query("agg1_cleaning_stats", f"""
+@query("job3_run_clean", f"""
 WITH {REDACTED_SQL}
-SELECT count(*) AS processed, count(*) FILTER (WHERE has_pii_redacted) AS pii_found, 0::BIGINT AS errors,
-       round(coalesce(count(*) FILTER (WHERE has_pii_redacted) / nullif(count(*), 0), 0), 4) AS pii_rate
+SELECT ticket_id, channel, word_count, text_full, text_customer_only, text_agent_only, has_pii_redacted
 FROM redacted""")
+def job3(spark, sf):
+    """Runs over growing input: a third of the tickets without comments, then all with them, then nothing new."""
+    tickets, comments = tickets_and_comments(spark, sf)
+    clean = S.table(spark, fresh_path(spark, "clean"), "clean.tickets").ensure()
+    early = to_raw_rows(tickets.filter(F.col("ticket_id") % 3 == 0).withColumn("comments_json", F.lit("[]")))
+    run_clean(settle(early, "early"), clean)
+    late = settle(to_raw_rows(raw_tickets(spark, sf)), "late")
+    for _ in range(2):
+        run_clean(late, clean)
+    return clean.read().drop("processed_at")
+
+
+@query("flt6_faulty_tickets", f"""
+WITH {TICKETS_SQL} SELECT ticket_id, subject FROM tickets WHERE ticket_id % 5 = 1""")
+def flt6_faulty(spark, sf):
+    """Tickets whose comments are no list go to quarantine, once, and stay out of the clean table."""
+    raw = settle(to_raw_rows(_some_faulty(raw_tickets(spark, sf))), "raw")
+    clean, bad = (S.table(spark, fresh_path(spark, n), n).ensure() for n in ("clean.tickets", "raw.quarantine"))
+    for _ in range(2):
+        run_clean(raw, clean, quarantine=bad)
+    return bad.read().join(clean.read(), "ticket_id", "left_anti").select("ticket_id", "subject")
+
+
+def _some_faulty(raw):
+    """Every fifth ticket with comments of the wrong shape."""
+    return raw.withColumn("comments_json", F.when(F.col("ticket_id") % 5 == 1, F.lit("[1, 2]")).otherwise(F.col("comments_json")))
+
+
+@query("agg1_cleaning_stats", f"""
+WITH {REDACTED_SQL}, g AS (SELECT *, ticket_id % 5 <> 1 AS good FROM redacted)
+SELECT count(*) FILTER (WHERE good) AS processed, count(*) FILTER (WHERE good AND has_pii_redacted) AS pii_found,
+       count(*) FILTER (WHERE NOT good) AS errors,
+       round(coalesce(count(*) FILTER (WHERE good AND has_pii_redacted) / nullif(count(*) FILTER (WHERE good), 0), 0), 4) AS pii_rate
+FROM g""")
 def agg1(spark, sf):
-    return Q.cleaning_stats(clean_and_redact(raw_tickets(spark, sf))).withColumn("pii_rate", F.round("pii_rate", 4))
+    cleaned = clean_and_redact(_some_faulty(raw_tickets(spark, sf)))
+    return Q.cleaning_stats(cleaned).withColumn("pii_rate", F.round("pii_rate", 4))
 
 
 # Unredacted texts, so that the report has something to find; the sample is every ticket.

@@ -73,12 +73,11 @@ j AS (
          || CASE WHEN role = 'user' THEN 1 ELSE 2 END || ',"public":' || (role = 'user') || ',"created_at":null}}',
          ',' ORDER BY seq) AS x
   FROM comments GROUP BY ticket_id)
-SELECT t.ticket_id, subject, description, '[' || coalesce(x, '') || ']' AS comments_json, channel, status,
-       0::BIGINT AS part
+SELECT t.ticket_id, subject, description, '[' || coalesce(x, '') || ']' AS comments_json, channel, status
 FROM tickets t LEFT JOIN j ON j.ticket_id = t.ticket_id""")
 def src4(spark, sf):
     return L.to_raw_rows(raw_tickets(spark, sf)).select(
-        "ticket_id", "subject", "description", "comments_json", "channel", "status", "part"
+        "ticket_id", "subject", "description", "comments_json", "channel", "status"
     )
 
 
@@ -148,8 +147,8 @@ def set1(spark, sf):
 
 
 @query("snk3_ensure_tables", """
-SELECT * FROM (VALUES ('clean.tickets', 9), ('features.clusters', 7), ('features.embeddings', 4),
-  ('features.feedback', 8), ('features.intents', 12), ('features.suggestions', 8), ('raw.tickets', 14)) t(name, cols)
+SELECT * FROM (VALUES ('clean.tickets', 8), ('features.clusters', 7), ('features.embeddings', 4),
+  ('features.feedback', 8), ('features.intents', 12), ('features.suggestions', 8), ('raw.tickets', 13), ('raw.quarantine', 14)) t(name, cols)
 CROSS JOIN (SELECT count(*) AS feedback_rows FROM labels)""")
 def snk3(spark, sf):
     """All tables created; the feedback table then takes every label."""
@@ -192,7 +191,7 @@ FROM a FULL JOIN b ON a.user_id = b.user_id"""
 @query("snk2_upsert_snapshot_table", _UPSERT_SQL)
 def snk2(spark, sf):
     """Two batches into a keyed table: browsing events first, then all others."""
-    target = S.SnapshotTable(spark, fresh_path(spark, "users"), USER_STATE, ("user_id",), 100).ensure()
+    target = S.SnapshotTable(spark, fresh_path(spark, "users"), USER_STATE, ("user_id",)).ensure()
     e = user_events(spark, sf)
     early = F.col("event_type").isin(*_EARLY)
     target.upsert(e.filter(early), order=("updated_at", "seq"))
@@ -233,7 +232,7 @@ def str1(spark, sf):
     folder = fresh_path(spark, "event-files")
     user_events(spark, sf).repartition(4).write.parquet(folder)
     source = spark.readStream.schema(USER_STATE).option("maxFilesPerTrigger", 2).parquet(folder)
-    target = S.SnapshotTable(spark, fresh_path(spark, "users"), USER_STATE, ("user_id",), 1000).ensure()
+    target = S.SnapshotTable(spark, fresh_path(spark, "users"), USER_STATE, ("user_id",)).ensure()
     I.stream_upsert(source, target, fresh_path(spark, "ck"), order=("updated_at", "seq"))
     return target.read().drop("created_at")
 
@@ -241,10 +240,10 @@ def str1(spark, sf):
 @query("str1_incremental_tickets", f"WITH {_LANDED_SQL} SELECT * FROM landed WHERE status IS NOT NULL")
 def str1_tickets(spark, sf):
     """Landing files with damaged lines, taken up incrementally; bad lines go to quarantine."""
-    target = S.table(spark, fresh_path(spark, "inc"), "raw.tickets", 50).ensure()
+    target = S.table(spark, fresh_path(spark, "inc"), "raw.tickets").ensure()
     I.run_incremental(
         spark, write_landing(spark, sf, 3, damage=True), target, fresh_path(spark, "ck"),
-        fresh_path(spark, "bad"), max_files=2,
+        fresh_path(spark, "bad"), start=F.lit("2000-01-01").cast("timestamp"), max_files=2,
     )
     return _landed(target.read())
 
@@ -255,17 +254,17 @@ SELECT 1 AS run, t AS inserted, 0::BIGINT AS updated FROM n UNION ALL SELECT 2,
 def str3(spark, sf):
     """A second run on the same checkpoint finds nothing new."""
     where, ck, bad = write_landing(spark, sf), fresh_path(spark, "ck"), fresh_path(spark, "bad")
-    target = S.table(spark, fresh_path(spark, "inc"), "raw.tickets", 1000).ensure()
+    target = S.table(spark, fresh_path(spark, "inc"), "raw.tickets").ensure()
     runs = []
     for run in (1, 2):
-        s = I.run_incremental(spark, where, target, ck, bad)
+        s = I.run_incremental(spark, where, target, ck, bad, start=F.lit("2000-01-01").cast("timestamp"))
         runs.append((run, s.inserted, s.updated))
     return spark.createDataFrame(runs, "run int, inserted long, updated long")
 
 
 @query("str2_backfill", f"WITH {_LANDED_SQL} SELECT * FROM landed WHERE updated_at >= TIMESTAMP '2024-01-02 12:00:00'")
 def str2(spark, sf):
-    target = S.table(spark, fresh_path(spark, "bf"), "raw.tickets", 1000).ensure()
+    target = S.table(spark, fresh_path(spark, "bf"), "raw.tickets").ensure()
     I.run_backfill(spark, write_landing(spark, sf), target, start=F.lit("2024-01-02 12:00:00").cast("timestamp"))
     return _landed(target.read())
 
@@ -277,7 +276,7 @@ WITH last AS (
 SELECT user_id, ts AS updated_at, event_id AS seq FROM last""")
 def str4(spark, sf):
     """The newest batch first, everything older after it: nothing is undone."""
-    target = S.SnapshotTable(spark, fresh_path(spark, "users"), USER_STATE, ("user_id",), 1000).ensure()
+    target = S.SnapshotTable(spark, fresh_path(spark, "users"), USER_STATE, ("user_id",)).ensure()
     e, order = user_events(spark, sf), ("updated_at", "seq")
     recent = F.col("updated_at") >= F.lit("2024-01-20").cast("timestamp_ntz")
     target.upsert(e.filter(recent), order=order, newest_wins=True)

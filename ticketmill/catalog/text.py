@@ -19,7 +19,6 @@ from ticketmill.catalog.base import (
     sql_strip,
     sql_text,
     table,
-    text_table,
     tickets_and_comments,
     turns,
 )
@@ -83,12 +82,12 @@ done AS (SELECT {keep}, {kind}, {sql_normalize('t')} AS t FROM bodies)"""
 
 @query("tx1_strip_tags", f"SELECT page_id, {sql_tags('html')} AS text FROM pages")
 def tx1(spark, sf):
-    return text_table(spark, sf, "pages").select("page_id", X.strip_tags(F.col("html")).alias("text"))
+    return table(spark, sf, "pages").select("page_id", X.strip_tags(F.col("html")).alias("text"))
 
 
 @query("tx2_strip_html_decode_entities", f"SELECT page_id, {sql_decode(sql_tags('html'))} AS html FROM pages")
 def tx2(spark, sf):
-    return C.strip_html(text_table(spark, sf, "pages").select("page_id", "html"), "html")
+    return C.strip_html(table(spark, sf, "pages").select("page_id", "html"), "html")
 
 
 def _step(name: str, sql: str, step) -> None:
@@ -208,7 +207,7 @@ clean AS (
 WITH {CLEAN_TICKETS_SQL}
 SELECT ticket_id, channel, text_full, text_customer_only, text_agent_only, word_count FROM clean""")
 def job1(spark, sf):
-    return C.clean_tickets(raw_tickets(spark, sf)).drop("part", "is_faulty")
+    return C.clean_tickets(raw_tickets(spark, sf)).drop("is_faulty")
 
 
 @query("msg6_word_counts", f"""

@@ -32,7 +32,9 @@ def is_faulty(parsed: Column) -> Column:
         lambda e: F.try_variant_get(e, "$.body", "string").isNull()
         & ~F.coalesce(F.schema_of_variant(e).startswith("OBJECT"), F.lit(False)),
     )
-    return F.coalesce(parsed.isNotNull() & (items.isNull() | odd), F.lit(False))
+    # An empty object or text has nothing to go through: no messages, no fault.
+    empty = F.to_json(parsed).isin("{}", '""')
+    return F.coalesce(parsed.isNotNull() & ~empty & (items.isNull() | odd), F.lit(False))
 
 
 def _truthy(e: Column, path: str) -> Column:

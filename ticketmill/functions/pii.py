@@ -81,12 +81,6 @@ def rule_hits(text: Column, rule: Rule) -> Column:
     ``text`` is the text as this rule sees it. The gaps between matches and the
     matches themselves line up, so a running total of their lengths gives positions.
     """
-    found = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
-    gaps = F.split(text, rule.regex, -1)
-    pairs = F.zip_with(
-        found, F.slice(gaps, F.lit(1), F.size(found)),
-        lambda m, g: F.struct(F.length(g).alias("gap"), F.length(m).alias("len")),
-    )
     empty = F.array().cast("array<struct<type:string,original_length:int,position:int>>")
     start = F.struct(F.lit(0).alias("at"), empty.alias("hits"))
 
@@ -97,10 +91,19 @@ def rule_hits(text: Column, rule: Rule) -> Column:
             position.alias("position"),
         )
         return F.struct(
-            (position + p["len"]).alias("at"), F.concat(F.array(hit), acc["hits"]).alias("hits"),
+            (position + p["len"]).alias("at"), F.concat(acc["hits"], F.array(hit)).alias("hits"),
         )
 
-    walked = F.aggregate(pairs, start, step, lambda acc: acc["hits"])
+    def walk(found: Column) -> Column:
+        pairs = F.zip_with(
+            found, F.slice(F.split(text, rule.regex, -1), F.lit(1), F.size(found)),
+            lambda m, g: F.struct(F.length(g).alias("gap"), F.length(m).alias("len")),
+        )
+        return F.reverse(F.aggregate(pairs, start, step, lambda acc: acc["hits"]))
+
+    # The matches are bound as the one element of an array, so they are looked for once.
+    matches = F.array(F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0)))
+    walked = F.get(F.transform(matches, walk), F.lit(0))
     return F.when(text.rlike(rule.regex), walked).otherwise(empty)
 
 

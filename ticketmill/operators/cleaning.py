@@ -40,7 +40,10 @@ def normalize_ws(df: DataFrame, col: str) -> DataFrame:
 
 def drop_empty_and_auto(df: DataFrame, col: str) -> DataFrame:
     """Keep messages that still say something and are no automatic answer."""
-    return df.filter((F.col(col) != "") & ~X.is_auto_response(F.col(col)))
+    kept = F.filter(F.array(F.col(col)), lambda c: (c != "") & ~X.is_auto_response(c))
+    # A generator keeps the text that it tests, so what made the text is not evaluated again.
+    names = df.columns
+    return df.withColumn("_kept", F.explode(kept)).drop(col).withColumnRenamed("_kept", col).select(*names)
 
 
 def _by_channel(channel: Column, build) -> Column:
@@ -64,16 +67,15 @@ def clean_text(
 
 
 def clean_tickets(raw: DataFrame, keep: tuple[str, ...] = (), remove_urls: bool = True) -> DataFrame:
-    """Raw tickets to ticket_id, part, channel, three texts, word_count, ``is_faulty``.
+    """Raw tickets to ticket_id, channel, three texts, word_count, ``is_faulty``.
 
     A ticket and its comments sit in one row, so the whole job is a narrow
     projection: no shuffle, whatever the number of messages per ticket. Steps are
     chained ``transform`` calls over the row's messages; Python sees only rows that
     hold an HTML entity. Rows flagged faulty carry no comments and belong in quarantine.
     """
-    df = raw if "part" in raw.columns else raw.withColumn("part", F.lit(0).cast("long"))
-    df = df.select(
-        "ticket_id", "part", *keep, "subject", "description",
+    df = raw.select(
+        "ticket_id", *keep, "subject", "description",
         X.channel_class(F.coalesce("channel", F.lit(""))).alias("channel"),
         M.parse(F.col("comments_json")).alias("_v"),
     )
@@ -98,7 +100,7 @@ def clean_tickets(raw: DataFrame, keep: tuple[str, ...] = (), remove_urls: bool
         F.coalesce("subject", F.lit("")) != "", F.array(F.concat(F.lit("Asunto: "), F.col("subject")))
     ).otherwise(F.array().cast("array<string>"))
     df = df.select(
-        "ticket_id", "part", *keep, "channel", "is_faulty",
+        "ticket_id", *keep, "channel", "is_faulty",
         F.array_join(F.concat(head, "_c", "_a"), "\n\n").alias("text_full"),
         F.array_join("_c", "\n\n").alias("text_customer_only"),
         F.array_join("_a", "\n\n").alias("text_agent_only"),

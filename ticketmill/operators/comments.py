@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ticketmill.functions import messages as M
 
-# Comments kept in one row. A ticket with more is spread over several rows, so no
-# task ever gathers an unbounded conversation; see ``attach_comments``.
-PART_SIZE = 10_000
+# Comments gathered at a time: one long conversation is sorted in pieces by several tasks
+# before its row is put together.
+PIECE_SIZE = 10_000
 
 
 def normalize_comments(comments: DataFrame) -> DataFrame:
@@ -28,34 +28,22 @@ def normalize_comments(comments: DataFrame) -> DataFrame:
     )
 
 
-def attach_comments(tickets: DataFrame, comments: DataFrame, part_size: int = PART_SIZE) -> DataFrame:
-    """Add ``comments_json`` (page order) and ``part`` to each ticket.
+def attach_comments(tickets: DataFrame, comments: DataFrame, piece_size: int = PIECE_SIZE) -> DataFrame:
+    """Add ``comments_json``, all comments in page order, to each ticket: one row a ticket.
 
-    ``seq`` is the comment's position in its ticket, so ``seq div part_size`` cuts a
-    ticket into bounded pieces before anything is gathered. Nearly every ticket has
-    the single part 0. A larger one yields further rows with the same ticket fields
-    but no subject or description; taken in part order they are the whole ticket.
+    ``seq`` is the comment's position in its ticket; comments without one come last.
     """
-    packed = F.struct("seq", "id", "body", "author_id", "public", "created_at")
-    gathered = (
+    order = (F.col("seq").isNull().alias("unplaced"), "seq", "id", "body", "author_id", "public", "created_at")
+    pieces = (
         normalize_comments(comments)
-        .groupBy("ticket_id", F.floor(F.col("seq") / part_size).cast("long").alias("part"))
-        .agg(F.sort_array(F.collect_list(packed)).alias("items"))
-        .select("ticket_id", "part", comments_to_json(F.col("items")).alias("comments_json"))
-    )
-    # Part 0 must exist even if a ticket's first comments were taken out (its opening
-    # message may be the description), so it is joined apart from the further parts.
-    opening = tickets.join(
-        gathered.filter("part = 0").drop("part"), "ticket_id", "left"
-    ).withColumn("part", F.lit(0).cast("long"))
-    further = tickets.join(gathered.filter("part > 0"), "ticket_id", "inner")
-    for name in ("subject", "description"):
-        if name in tickets.columns:
-            kind = dict(tickets.dtypes)[name]
-            further = further.withColumn(name, F.lit(None).cast(kind))
-    return opening.unionByName(further).withColumn(
-        "comments_json", F.coalesce("comments_json", F.lit("[]"))
+        .groupBy("ticket_id", F.floor(F.col("seq") / piece_size).cast("long").alias("piece"))
+        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("items"))
+        .select("ticket_id", F.struct(
+            F.col("piece").isNull().alias("unplaced"), "piece", comments_to_json(F.col("items")).alias("json")).alias("p"))
     )
+    inner = F.transform(F.sort_array(F.collect_list("p")), lambda p: F.substring(p["json"], F.lit(2), F.length(p["json"]) - 2))
+    whole = pieces.groupBy("ticket_id").agg(F.concat(F.lit("["), F.array_join(inner, ","), F.lit("]")).alias("comments_json"))
+    return tickets.join(whole, "ticket_id", "left").withColumn("comments_json", F.coalesce("comments_json", F.lit("[]")))
 
 
 def comments_to_json(items: Column) -> Column:

@@ -14,6 +14,7 @@ EXAMPLES_PER_CLUSTER = 5
 PROMPT_CHARS = 500
 FALLBACK_NAME = "Sin clasificar"
 FALLBACK_CHARS = 200
+RETIRED_INTENT_STATUS = "inactive"
 NEW_INTENT_STATUS = "pending"
 # -----------------------------------------------------------------------------
 NAME_TERMS = 4
@@ -127,6 +128,8 @@ def top_clusters(stats: DataFrame, n: int | None) -> DataFrame:
 
 
 def intent_summary(intents: DataFrame, n: int = 20) -> DataFrame:
-    return intents.select("intent_id", "name", "description", "volume", "status").orderBy(
+    return intents.filter(F.col("status") != RETIRED_INTENT_STATUS).select(
+        "intent_id", "name", "description", "volume", "status"
+    ).orderBy(
         F.desc("volume"), "intent_id"
     ).limit(n)

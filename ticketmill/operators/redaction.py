@@ -82,7 +82,8 @@ def leftover_pii(
     """One row per (id, field) whose text still matches a rule: id, field, remaining map."""
     fields = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in cols])
     long = df.select(id_col, F.explode(fields).alias("f")).select(id_col, "f.field", "f.text")
-    found = long.filter(P.may_hold_pii(F.col("text"))).select(
-        id_col, "field", P.leftovers(F.col("text"), tuple(rules)).alias("remaining")
+    # A generator is not copied into the filter, so each pattern runs once a text.
+    found = P.leftovers(F.col("text"), tuple(rules))
+    return long.filter(P.may_hold_pii(F.col("text"))).select(
+        id_col, "field", F.explode(F.filter(F.array(found), lambda m: F.size(m) > 0)).alias("remaining")
     )
-    return found.filter(F.size("remaining") > 0)

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.functions import pii as P
-from ticketmill.functions import vectors as V
 from ticketmill.operators import density, labels, reduction, silhouette
 from ticketmill.operators.centroids import cluster_stats, distance_to_centroid, noise_summary
 from ticketmill.operators.cleaning import clean_tickets
-from ticketmill.operators.embedding import MODEL_VERSION, embed, fit_embedder
+from ticketmill.operators.embedding import MODEL_VERSION, embed, embed_with, fit_embedder
 from ticketmill.operators.quality import cleaning_stats
 from ticketmill.operators.redaction import TEXT_FIELDS, redact
 from ticketmill.operators.tickets import first_n, missing_from, with_text
 from ticketmill.session import settle
 from ticketmill.sources.tables import SnapshotTable, load_embeddings
 
+Encode = Callable[[list[str]], list[list[float]]]
+
 
 def clean_and_redact(raw: DataFrame, rules: Sequence[P.Rule] = P.RULES) -> DataFrame:
     """Raw rows to clean rows plus ``is_faulty``, in one narrow lazy plan."""
@@ -31,40 +32,61 @@ def clean_and_redact(raw: DataFrame, rules: Sequence[P.Rule] = P.RULES) -> DataF
 
 def run_clean(
     raw: DataFrame, clean: SnapshotTable, limit: int | None = None, reprocess: bool = False,
-    rules: Sequence[P.Rule] = P.RULES,
+    rules: Sequence[P.Rule] = P.RULES, quarantine: SnapshotTable | None = None,
 ) -> dict[str, float]:
-    """Clean what is not yet clean (or everything) and upsert it by ticket."""
-    todo = raw if reprocess else missing_from(raw, clean.read())
-    done = settle(clean_and_redact(first_n(todo, limit), rules), "cleaned")
+    """Clean what is not yet clean, or has changed since (or everything), and upsert it by ticket.
+
+    Tickets whose comments are malformed are counted as errors and, with ``quarantine``,
+    stored there; they are tried again once they are updated, not on every run.
+    """
+    todo = raw
+    if not reprocess:
+        todo = outdated(todo, clean.read())
+        if quarantine is not None:
+            todo = outdated(todo, quarantine.read())
+    todo = settle(first_n(todo, limit), "todo")
+    done = settle(clean_and_redact(todo, rules), "cleaned")
     stats = cleaning_stats(done).first().asDict()
     clean.upsert(done.filter(~F.col("is_faulty")), keep=(), order=("processed_at",))
+    if quarantine is not None:
+        bad = todo.join(done.filter("is_faulty").select("ticket_id", "processed_at"), "ticket_id")
+        quarantine.upsert(bad, keep=(), order=("processed_at",))
     return stats
 
 
+def outdated(raw: DataFrame, done: DataFrame) -> DataFrame:
+    """Tickets that ``done`` lacks, or that were taken in again after it processed them."""
+    seen = done.select("ticket_id", F.col("processed_at").alias("_at"))
+    fresh = raw.join(seen, "ticket_id", "left")
+    return fresh.filter(F.col("_at").isNull() | (F.col("ingested_at") > F.col("_at"))).drop("_at")
+
+
 def run_embeddings(
     clean: DataFrame, embeddings: SnapshotTable, model: PipelineModel | None = None,
     limit: int | None = None, reprocess: bool = False, col: str = "text_customer_only",
-    model_version: str = MODEL_VERSION,
+    model_version: str = MODEL_VERSION, encode: Encode | None = None, batch_size: int = 100,
 ) -> dict[str, int]:
-    """Embed what has no vector yet. Pass the saved model on every run after the first."""
+    """Embed what has no vector yet. Pass the saved model on every run after the first.
+
+    ``encode`` takes any other model: a list of texts to vectors, called per batch in the
+    tasks. A batch that fails counts whole as errors and is left for the next run.
+    """
     texts = with_text(clean, col)
     todo = first_n(texts if reprocess else missing_from(texts, embeddings.read()), limit)
-    model = model or fit_embedder(texts, col)
-    made = embed(todo, col, model).select("ticket_id", "part", "embedding_vector")
-    if not made.filter("part > 0").isEmpty():
-        # Only tickets spread over several rows need merging: mean of their parts.
-        split = made.filter("part > 0").select("ticket_id").distinct()
-        merged = made.join(split, "ticket_id", "left_semi").groupBy("ticket_id").agg(
-            V.unit(V.mean_vector(F.col("embedding_vector"))).alias("embedding_vector")
-        )
-        made = missing_from(made, split).drop("part").unionByName(merged)
-    rows = made.select(
+    if encode is not None:
+        made = settle(embed_with(todo, "ticket_id", col, encode, batch_size), "encoded")
+    else:
+        model = model or fit_embedder(texts, col)
+        made = settle(embed(todo, col, model).select("ticket_id", "embedding_vector"), "embedded")
+    good = made.filter(F.col("embedding_vector").isNotNull())
+    errors = made.filter(F.col("embedding_vector").isNull()).count()
+    rows = good.select(
         "ticket_id", "embedding_vector", F.lit(model_version).alias("model_version"),
         F.current_timestamp().alias("created_at"),
     )
     result = embeddings.upsert(rows, keep=(), order=("created_at",))
     done = result.inserted + result.updated
-    return {"processed": done, "errors": 0, "total": done}
+    return {"processed": done, "errors": errors, "total": done + errors}
 
 
 def cluster_vectors(
@@ -89,14 +111,15 @@ def cluster_vectors(
 
 def run_clustering(
     embeddings: DataFrame, clusters: SnapshotTable, limit: int | None = None,
-    min_cluster_size: int | None = None, exact_silhouette: bool = True,
+    min_cluster_size: int | None = None, exact_silhouette: bool = False,
 ) -> dict:
     """Cluster all embeddings, upsert the result, report size, noise and quality.
 
-    ``exact_silhouette=False`` reports the linear-time squared score instead, under
-    its own name.
+    The score is the linear-time squared one, under its own name; ``exact_silhouette``
+    asks for the Euclidean one, whose work grows with the square of the points.
     """
     # Without a limit there is nothing to order: the operators do not depend on row order.
+    embeddings = embeddings.filter(F.col("embedding_vector").isNotNull())
     vectors = embeddings if limit is None else load_embeddings(embeddings, limit)
     if vectors.isEmpty():
         return {"error": "No embeddings found"}
@@ -123,10 +146,7 @@ def run_labeling(
     most telling words; with them, replies are parsed and faulty ones counted.
     """
     stats = settle(labels.top_clusters(cluster_stats(clusters), limit_clusters), "stats")
-    members = clusters.select("ticket_id", "cluster_id").join(
-        F.broadcast(stats.select("cluster_id")) if limit_clusters else stats.select("cluster_id"),
-        "cluster_id", "left_semi",
-    )
+    members = clusters.select("ticket_id", "cluster_id").join(stats.select("cluster_id"), "cluster_id", "left_semi")
     if replies is None:
         texts = members.join(clean.select("ticket_id", "text_customer_only"), "ticket_id")
         named, errors = labels.keyword_labels(texts), 0
@@ -137,6 +157,20 @@ def run_labeling(
         )
         errors = parsed.filter("is_faulty").count()
     result = intents.upsert(labels.intent_rows(stats, named))
+    # Intents of clusters that no longer exist are retired, not listed on.
+    gone = missing_from(intents.read(), clusters.select("cluster_id").distinct(), "cluster_id").filter(
+        F.col("status") != labels.RETIRED_INTENT_STATUS)
+    intents.upsert(gone.withColumns({
+        "status": F.lit(labels.RETIRED_INTENT_STATUS), "updated_at": F.current_timestamp()}))
     return {
         "total_clusters": stats.count(), "labeled": result.inserted + result.updated, "errors": errors,
     }
+
+
+def prompts_for(
+    clusters: DataFrame, clean: DataFrame, limit_clusters: int | None = None, examples: int = labels.EXAMPLES_PER_CLUSTER
+) -> DataFrame:
+    """cluster_id and examples_text for a model, for the clusters that ``run_labeling`` would label."""
+    stats = labels.top_clusters(cluster_stats(clusters), limit_clusters)
+    chosen = clusters.join(stats.select("cluster_id"), "cluster_id", "left_semi")
+    return labels.label_prompts(labels.cluster_examples(chosen, clean, examples))

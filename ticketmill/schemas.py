@@ -22,17 +22,17 @@ def _req(dtype: T.DataType) -> tuple[T.DataType, str]:
     return dtype, "required"
 
 
-# ``part`` is 0 unless a ticket's comments were spread over several rows.
 RAW_TICKETS = _table(
     ticket_id=_req(_LONG), subject=_STR, description=_STR, comments_json=_STR,
     created_at=_req(_TS), updated_at=_req(_TS), tags=T.ArrayType(_STR), channel=_STR,
-    assignee_id=_LONG, status=_STR, priority=_STR, requester_email=_STR, ingested_at=_req(_TS), part=_req(_LONG),
+    assignee_id=_LONG, status=_STR, priority=_STR, requester_email=_STR, ingested_at=_req(_TS),
 )
 CLEAN_TICKETS = _table(
     ticket_id=_req(_LONG), text_full=_STR, text_customer_only=_STR, text_agent_only=_STR,
     channel=_STR, word_count=_LONG, has_pii_redacted=_req(_BOOL), processed_at=_req(_TS),
-    part=_req(_LONG),
 )
+# Tickets that cleaning could not read, as they came.
+QUARANTINE = T.StructType([*RAW_TICKETS, T.StructField("processed_at", _TS, False)])
 EMBEDDINGS = _table(
     ticket_id=_req(_LONG), embedding_vector=T.ArrayType(_DBL),
     model_version=_req(_STR), created_at=_req(_TS),
@@ -59,6 +59,7 @@ FEEDBACK = _table(
 
 TABLES: dict[str, T.StructType] = {
     "raw.tickets": RAW_TICKETS,
+    "raw.quarantine": QUARANTINE,
     "clean.tickets": CLEAN_TICKETS,
     "features.embeddings": EMBEDDINGS,
     "features.clusters": CLUSTERS,

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.functions import messages as M
 from ticketmill.operators.comments import attach_comments
 from ticketmill.schemas import RAW_TICKETS, conform
 
@@ -61,21 +60,29 @@ def parse_tickets(lines: DataFrame) -> DataFrame:
 
 
 def to_raw_rows(tickets: DataFrame) -> DataFrame:
-    """Stamp ``ingested_at`` and conform to the raw table (part 0 unless split)."""
-    if "part" not in tickets.columns:
-        tickets = tickets.withColumn("part", F.lit(0).cast("long"))
+    """Stamp ``ingested_at`` and conform to the raw table."""
     return conform(tickets.withColumn("ingested_at", F.current_timestamp()), RAW_TICKETS)
 
 
+def comment_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(COMMENT_JSON).json(path)
+
+
+def is_bad_comment() -> F.Column:
+    """Unreadable comment lines, and those of no ticket."""
+    return F.col("_corrupt_record").isNotNull() | F.col("ticket_id").isNull()
+
+
+def bad_comments(lines: DataFrame) -> DataFrame:
+    return lines.filter(is_bad_comment()).select(
+        F.coalesce("_corrupt_record", F.to_json(F.struct("seq", "id", "body"))).alias("record"))
+
+
 def read_tickets(spark: SparkSession, tickets_dir: str, comments_dir: str | None = None) -> DataFrame:
     """Raw rows from landing files; comments embedded, or in files of their own."""
     tickets = parse_tickets(landing_lines(spark, tickets_dir))
     if comments_dir is not None:
-        comments = spark.read.schema(COMMENT_JSON).json(comments_dir).filter("_corrupt_record is null")
-        tickets = attach_comments(tickets.drop("comments_json"), comments)
+        comments = comment_lines(spark, comments_dir)
+        tickets = attach_comments(tickets.drop("comments_json"), comments.filter(~is_bad_comment()))
     return to_raw_rows(tickets)
 
-
-def faulty_comments(raw: DataFrame) -> DataFrame:
-    """Tickets whose comments are well-formed JSON of the wrong shape."""
-    return raw.withColumn("_v", M.parse(F.col("comments_json"))).filter(M.is_faulty(F.col("_v"))).drop("_v")

@@ -185,6 +185,19 @@ def jn9(spark, sf):
     return r4(neighbors.top_k_similar(table(spark, sf, "embeddings"), "vec_id", "embedding", 5), "distance")
 
 
+@query("jn9_top_k_lsh", "SELECT count(*) AS vectors, true AS recalled FROM embeddings")
+def jn9_lsh(spark, sf):
+    """The hashed route held against the exact one, over all vectors: recall of 0.95 or more."""
+    e = table(spark, sf, "embeddings")
+    found, exact = (
+        settle(neighbors.top_k_similar(e, "vec_id", "embedding", 5, method=m).select("vec_id", "neighbor_id"), "near")
+        for m in ("lsh", "exact")
+    )
+    both = exact.join(found.withColumn("hit", F.lit(1)), ["vec_id", "neighbor_id"], "left")
+    return both.agg(
+        F.count_distinct("vec_id").alias("vectors"), (F.count("hit") >= 0.95 * F.count(F.lit(1))).alias("recalled"))
+
+
 @query("jn9_similar_ticket_ids", f"""
 {_KNN_SQL}
 SELECT vec_id, string_agg(neighbor_id::VARCHAR, ',' ORDER BY rank) AS similar_ticket_ids FROM top GROUP BY 1""")
@@ -521,14 +534,17 @@ def ml3(spark, sf):
     return found.join(lang, "ticket_id").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).withColumn("several", F.lit(several))
 
 
-@query("ml6_run_clustering_and_lb5_labels")
+@query("ml6_run_clustering_and_lb5_labels", "SELECT count(*) AS documents, true AS all_pending FROM documents")
 def ml6(spark, sf):
-    """Vectors to clusters to intents over all documents; ends in the intent table."""
+    """Vectors to clusters to intents over all documents: volumes and noise add up to every document."""
     root = fresh_path(spark, "run")
     made = {n: S.table(spark, root, n).ensure() for n in ("features.clusters", "features.intents")}
-    jobs.run_clustering(settle(document_vectors(spark, sf), "vectors"), made["features.clusters"])
+    vectors = settle(document_vectors(spark, sf), "vectors")
+    jobs.run_clustering(vectors, made["features.clusters"])
     jobs.run_labeling(made["features.clusters"].read(), texts(spark, sf), made["features.intents"])
-    return labels.intent_summary(made["features.intents"].read())
+    noise = made["features.clusters"].read().filter("is_noise").select(F.lit(1).cast("long").alias("n"), F.lit("pending").alias("status"))
+    volumes = made["features.intents"].read().select(F.col("volume").alias("n"), "status")
+    return volumes.union(noise).agg(F.sum("n").alias("documents"), F.bool_and(F.col("status") == "pending").alias("all_pending"))
 
 
 @query("int2_stability_runs", """

@@ -384,7 +384,7 @@ def win2(spark, sf):
     return K.latest_version(user_events(spark, sf), ("user_id",), ("updated_at", "seq")).drop("created_at")
 
 
-@query("srt3_random_sample")
+@query("srt3_random_sample", "SELECT doc_id, lang FROM documents ORDER BY md5(doc_id || ':7'), doc_id LIMIT 100")
 def srt3(spark, sf):
     """A sampling operator: 100 documents by hashed key."""
     return K.random_sample(table(spark, sf, "documents"), 100, 7, "doc_id").select("doc_id", "lang")

@@ -23,6 +23,10 @@ from ticketmill.session import settle
 
 MAX_PIVOTS = 1024  # pivot pairs, at most its square, are the only table kept on the driver
 TILE_ROWS = 4096
+HASH_TABLES = 12
+HASH_PLANES = 4
+HASH_FLIPS = 2
+HASH_SEED = 7
 _FOUND = "rid long, nid long, distance double"
 
 
@@ -126,12 +130,79 @@ def _knn_distinct(reps: DataFrame, k: int, pivots: int | None, tile_rows: int) -
     return top_per_group(met, "rid", [F.col("distance"), F.col("nid")], k).select("rid", "nid", "distance")
 
 
+def _knn_hashed(reps: DataFrame, k: int, tables: int = HASH_TABLES, planes: int = HASH_PLANES) -> DataFrame:
+    """k nearest rows (self included) among rows that share a hash bucket: rid, nid, distance.
+
+    Random hyperplanes through the mean give each row a short sign code in each of
+    ``tables`` tables; a row meets those of its own code and of the codes that differ in
+    the sign it is least sure of. Buckets larger than a tile are cut by further planes, so
+    no task holds more than ``TILE_ROWS`` rows of a bucket however many share a code.
+    """
+    spark, n = reps.sparkSession, reps.count()
+    if n == 0:
+        return spark.createDataFrame([], _FOUND)
+    head = reps.agg(F.count(F.lit(1)), V.mean_vector(F.col("v"))).first()
+    mean = np.array(head[1])
+    deeper = max(0, math.ceil(math.log2(max(1.0, n / (TILE_ROWS / 8)))) - planes)
+    normals = np.random.default_rng(HASH_SEED).normal(size=(tables, planes + deeper, len(mean)))
+
+    def codes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        powers = 2 ** np.arange(normals.shape[1])
+        for b in batches:
+            if b.empty:
+                continue
+            x = stack(b["v"]) - mean
+            for t in range(tables):
+                side = x @ normals[t].T
+                code = (side > 0) @ powers
+                # The sign nearest to its plane is tried both ways.
+                unsure = np.argsort(np.abs(side), axis=1)[:, :HASH_FLIPS]
+                yield pd.DataFrame({"rid": b["rid"], "v": b["v"], "bucket": code * tables + t, "asks": False})
+                for f in range(-1, unsure.shape[1]):
+                    flipped = code if f < 0 else code ^ powers[unsure[:, f]]
+                    yield pd.DataFrame({"rid": b["rid"], "v": b["v"], "bucket": flipped * tables + t, "asks": True})
+
+    coded = settle(reps.select("rid", "v").mapInPandas(codes, "rid long, v array<double>, bucket long, asks boolean"), "codes")
+    sizes = coded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    pieces = F.ceil(F.col("n") / TILE_ROWS).cast("int")
+    # In a crowded bucket each asker meets every piece of the held rows, one piece a task.
+    held = coded.join(sizes, "bucket").withColumn("piece", F.explode(F.when(
+        F.col("asks"), F.sequence(F.lit(0), pieces - 1)).otherwise(F.array(F.pmod(F.hash("rid"), pieces)))))
+    spread = held.withColumn("lot", F.when(F.col("asks"), F.pmod(F.hash("rid", F.lit(1)), pieces)))
+    names = ("bucket", "piece", "lot", "rid", "v")
+    asks = spread.filter("asks").select(*names).toDF(*names)
+    holds = spread.filter(~F.col("asks")).withColumn("lot", F.explode(F.sequence(F.lit(0), pieces - 1))).select(
+        *names).toDF(*names)
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if a.empty or b.empty:
+            return pd.DataFrame({"rid": [], "nid": [], "distance": []})
+        b = b.sort_values("rid")
+        theirs, others, out = stack(b["v"]), b["rid"].to_numpy(), []
+        for at in range(0, len(a), 1024):
+            some = a.iloc[at:at + 1024]
+            d = pairwise(stack(some["v"]), theirs)
+            pick = _smallest(d, k)
+            out.append(pd.DataFrame({
+                "rid": np.repeat(some["rid"].to_numpy(), pick.shape[1]), "nid": others[pick].ravel(),
+                "distance": d[np.arange(len(d))[:, None], pick].ravel()}))
+        return pd.concat(out)
+
+    keys = ("bucket", "piece", "lot")
+    met = asks.groupBy(*keys).cogroup(holds.groupBy(*keys)).applyInPandas(meet, _FOUND)
+    best = met.groupBy("rid", "nid").agg(F.min("distance").alias("distance"))
+    return top_per_group(best, "rid", [F.col("distance"), F.col("nid")], k).select("rid", "nid", "distance")
+
+
 def top_k_similar(
     df: DataFrame, id_col: str, vec: str, k: int = 5, *, normalize: bool = True,
-    pivots: int | None = None, tile_rows: int = TILE_ROWS,
+    pivots: int | None = None, tile_rows: int = TILE_ROWS, method: str = "exact",
 ) -> DataFrame:
     """The k nearest other rows of each row: id, rank, neighbor_id, distance.
 
+    ``method="lsh"`` asks for the hashed route, whose work does not grow with the square of
+    the rows and which may miss neighbours (see ``_knn_hashed``); it is never chosen by size.
+
     On unit vectors (the default) Euclidean order is cosine order. Ties go to the
     lower id. Copies of a vector are handled once: the search runs over distinct
     vectors, each standing for its k+1 lowest ids, which is all that anyone can use.
@@ -149,7 +220,9 @@ def top_k_similar(
         ),
         "distinct",
     )
-    near = _knn_distinct(reps, k + 1, pivots, tile_rows)
+    if method not in ("exact", "lsh"):
+        raise ValueError(f"unknown method {method}")
+    near = _knn_hashed(reps, k + 1) if method == "lsh" else _knn_distinct(reps, k + 1, pivots, tile_rows)
     members = reps.select(F.col("rid").alias("nid"), "ids")
     options = near.join(members, "nid").select("rid", "distance", F.explode("ids").alias("other"))
     options = top_per_group(options, "rid", [F.col("distance"), F.col("other")], k + 1)

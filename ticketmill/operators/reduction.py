@@ -24,7 +24,8 @@ PLOT_DIMENSIONS = 2
 SEED = 42
 # -----------------------------------------------------------------------------
 EXACT_WIDTH = 256
-PASSES = 5
+MAX_PASSES = 60
+TOLERANCE = 1e-4  # least relative gain in captured variance that another pass must bring
 SPARE = 10  # extra basis columns, which speed up convergence
 FAN_IN = 64  # rows that reach the driver per pass, whatever the number of tasks
 
@@ -74,7 +75,12 @@ def principal_axes(vectors: DataFrame, d: int, k: int) -> np.ndarray:
     else:
         basis = np.linalg.qr(np.random.default_rng(SEED).normal(size=(d, min(d, k + SPARE))))[0]
         image = _times_covariance(vectors, basis)
-        for _ in range(PASSES - 1):
+        captured = 0.0
+        for _ in range(MAX_PASSES):
+            top = np.sort(np.linalg.eigvalsh((basis.T @ image + image.T @ basis) / 2))[::-1][:k].sum()
+            if top <= captured * (1 + TOLERANCE):
+                break
+            captured = top
             basis = np.linalg.qr(image)[0]
             image = _times_covariance(vectors, basis)
     small = basis.T @ image
@@ -88,8 +94,9 @@ def reduce(df: DataFrame, vec: str, k: int = CLUSTER_DIMENSIONS, out: str = "red
     """Adds the first ``k`` principal components of the normalised vectors.
 
     On unit vectors Euclidean order is cosine order. ``k`` is cut to the vectors' width.
-    Wide vectors are read ``PASSES`` times, so settle an expensive input first.
+    Wide vectors are read until the captured variance stands still, so settle an expensive input first.
     """
+    df = df.filter(F.col(vec).isNotNull())  # a failed embedding has no place
     head = df.select(F.size(vec).alias("d")).first()
     if head is None:
         return df.withColumn(out, F.lit(None).cast("array<double>"))

@@ -70,7 +70,7 @@ def random_sample(df: DataFrame, n: int | None, seed: int | None = None, key: st
     if n is None:
         return df
     if key is not None:
-        return df.orderBy(F.xxhash64(F.col(key), F.lit(seed or 0)), key).limit(n)
+        return df.orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed or 0}"))), key).limit(n)
     return df.orderBy(F.rand(seed)).limit(n)
 
 

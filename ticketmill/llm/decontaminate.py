@@ -90,22 +90,23 @@ def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingl
     ).filter("p.times > 0")
     prefix = complete.select("wid", F.col("p.n").alias("n"), F.col("p.h").alias("h"), F.col("p.pos").alias("offset"))
     starts = found.join(prefix, ["n", "h"]).select("doc_id", "wid", (F.col("pos") - F.col("offset")).alias("start"))
-    starts = settle(starts.filter("start >= 0").join(distinct, "wid").select("doc_id", "start", "wid", "w"), "candidates")
+    length = distinct.select("wid", F.size("w").alias("m"))
+    starts = starts.filter("start >= 0").join(length, "wid")
 
     # Verification meets a document's words once, with all of its candidates. Their number is
-    # bounded by the document's length and the distinct windows.
-    per_doc = settle(
-        starts.groupBy("doc_id").agg(F.collect_set(F.struct("start", "wid", "w")).alias("c")), "per-doc"
-    )
+    # bounded by the document's length and the distinct windows. What has the hash of its
+    # window is then compared with the window's words.
+    per_doc = settle(starts.groupBy("doc_id").agg(F.collect_set(F.struct("start", "m", "wid")).alias("c")), "per-doc")
     ws = F.col("ws")
     checked = join_checked(
-        docs.select("doc_id", "text"), per_doc, "doc_id", "inner",
-        "32 + 64 * cast(size(c) as bigint) + aggregate(c, 0L, (a, x) -> a + length(array_join(x.w, ' ')))",
+        docs.select("doc_id", "text"), per_doc, "doc_id", "inner", "32 + 24 * cast(size(c) as bigint)"
     ).select("doc_id", words(F.col("text")).alias("ws"), "c")
-    held = checked.select("doc_id", F.filter("c", lambda x: (x.start + F.size(x.w) <= F.size(ws)) & (
-        F.slice(ws, x.start + 1, F.size(x.w)) == x.w)).alias("c")).filter(F.size("c") > 0)
-    hits = settle(held.select("doc_id", F.transform("c", lambda x: F.struct(
-        x.start.alias("start"), F.size(x.w).alias("m"), x.wid.alias("wid"))).alias("c")), "hits")
+    alike = checked.select("doc_id", F.explode(F.transform(
+        F.filter("c", lambda x: (x.start + x.m <= F.size(ws)) & (F.xxhash64(F.slice(ws, x.start + 1, x.m)) == x.wid)),
+        lambda x: F.struct(x.start.alias("start"), x.m.alias("m"), x.wid.alias("wid"), F.slice(ws, x.start + 1, x.m).alias("v")),
+    )).alias("x")).select("doc_id", "x.*")
+    equal = alike.join(distinct, "wid").filter(F.col("v") == F.col("w"))
+    hits = settle(equal.groupBy("doc_id").agg(F.collect_set(F.struct("start", "m", "wid")).alias("c")), "hits")
 
     spans = F.flatten(F.transform("c", lambda x: F.sequence(x.start, x.start + x.m - 1)))
     hit = hits.select("doc_id", F.explode(spans).alias("i")).groupBy("doc_id").agg(

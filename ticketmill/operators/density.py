@@ -2,9 +2,10 @@
 
 Points are first condensed: every point joins its nearest of at most
 ``max_summaries`` pivots, and each pivot keeps count, sum and sum of squares (the
-"data bubbles" of Breunig et al., SIGMOD 2001). Up to that many points each pivot
-stands for its own copies alone and the hierarchy is that of the points themselves;
-beyond, no point is left out, it is merely represented by its bubble. Everything
+"data bubbles" of Breunig et al., SIGMOD 2001). Up to that many different vectors each
+pivot stands for its own copies alone and the hierarchy is that of the points themselves.
+Beyond, no point is left out, but it is only represented by its bubble, and the labels are
+an approximation that can differ widely from the uncapped ones. Null vectors are left out. Everything
 that grows with the data is a narrow pass or a sum with map-side combine. The
 mutual-reachability tree over the summaries is grown in rounds, each round finding
 every component's least outgoing edge in parallel (Boruvka). Only that tree, bounded
@@ -293,9 +294,11 @@ def density_cluster(
     """id and cluster_id; -1 is noise, clusters are numbered by falling size."""
     spark = df.sparkSession
     points = settle(
-        df.select(F.col(id_col).cast("long").alias("id"), V.as_doubles(F.col(vec)).alias("v")), "points"
+        df.filter(F.col(vec).isNotNull()).select(F.col(id_col).cast("long").alias("id"), V.as_doubles(F.col(vec)).alias("v")),
+        "points",
     )
-    chosen = points.orderBy(F.xxhash64("id"), "id").limit(max_summaries).select("v").collect()
+    # Copies of a vector are one candidate, so the limit counts different vectors.
+    chosen = points.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(max_summaries).collect()
     if not chosen:
         return points.select(F.col("id").alias(id_col), F.lit(-1).cast("long").alias("cluster_id"))
     pivots = np.unique(np.array([r["v"] for r in chosen]), axis=0)

@@ -45,7 +45,7 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
 
 
 def shingles_of(ws: Column, n: int) -> Column:
-    """Every run of ``n`` words as a struct of its place and its hash, without lambdas over words."""
+    """Every run of ``n`` words as a struct w0, w1, ..., without lambdas over words."""
     size = F.size(ws)
     parts = [F.slice(ws, k + 1, F.greatest(size - n + 1, F.lit(0))) for k in range(n)]
     return F.arrays_zip(*[p.alias(f"w{k}") for k, p in enumerate(parts)])

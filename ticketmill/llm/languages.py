@@ -216,13 +216,14 @@ def predict(docs: DataFrame, model: tuple[list[str], object], vocabulary: str) -
             for at in range(0, len(texts), 200):
                 if len(places) > CACHE_WORDS:
                     places, rows = _Places(), np.zeros((0, len(langs)))
-                found = [[] if t is None else list(map(places.__getitem__, _LETTERS.findall(t.lower())))
-                         for t in texts.iloc[at:at + 200]]
+                spelled = [[] if t is None else _LETTERS.findall(t.lower()) for t in texts.iloc[at:at + 200]]
+                found = [list(map(places.__getitem__, w)) for w in spelled]
                 if places.unseen:
                     rows = np.vstack([rows, word_scores(places.unseen, number, table)])
                     places.unseen = []
-                for words in found:
-                    if not words or not langs:
+                for words, lettered in zip(found, spelled):
+                    # Number signs such as ² are word characters but no letters.
+                    if not langs or not any(any(map(str.isalpha, w)) for w in lettered):
                         names.append(UNDEFINED)
                         scores.append(0.0)
                         continue

@@ -216,7 +216,7 @@ def test_jobs_from_vectors_to_intents(spark):
     vectors = frame(spark, x).select(F.col("id").alias("ticket_id"), F.col("v").alias("embedding_vector"))
     clean = spark.createDataFrame([(i, words[int(t)], words[int(t)]) for i, t in enumerate(truth)],
                                   "ticket_id long, text_customer_only string, text_full string")
-    stats = jobs.run_clustering(vectors, made["features.clusters"])
+    stats = jobs.run_clustering(vectors, made["features.clusters"], exact_silhouette=True)
     assert stats["n_clusters"] == 4 and stats["total_tickets"] == len(x) and stats["silhouette_score"] > 0.3
     clusters = made["features.clusters"].read()
     assert jobs.run_labeling(clusters, clean, made["features.intents"]) == {"total_clusters": 4, "labeled": 4, "errors": 0}
@@ -227,3 +227,38 @@ def test_jobs_from_vectors_to_intents(spark):
     done = jobs.run_labeling(clusters, clean, made["features.intents"], replies=replies)
     assert done == {"total_clusters": 4, "labeled": 2, "errors": 1}
     assert jobs.run_clustering(vectors.limit(0), made["features.clusters"]) == {"error": "No embeddings found"}
+
+
+@pytest.mark.parametrize("tile", [4096, 40])
+def test_hashed_neighbours_recall(spark, monkeypatch, tile):
+    from ticketmill.operators import neighbors
+
+    monkeypatch.setattr(neighbors, "TILE_ROWS", tile)
+    x = np.random.default_rng(3).normal(size=(300, 12)) + np.repeat(np.eye(12)[:6] * 6, 50, axis=0)
+    df = frame(spark, np.vstack([x, x[:5]]))  # and five copies
+    found, exact = (
+        {(r.id, r.neighbor_id) for r in neighbors.top_k_similar(df, "id", "v", 5, method=m).collect()} for m in ("lsh", "exact")
+    )
+    assert len(found) <= len(exact) and len(found & exact) / len(exact) > 0.95
+    with pytest.raises(ValueError):
+        neighbors.top_k_similar(df, "id", "v", method="other")
+
+
+def test_axes_of_a_flat_spectrum(spark, monkeypatch):
+    from ticketmill.operators import reduction
+
+    monkeypatch.setattr(reduction, "EXACT_WIDTH", 8)
+    x = np.random.default_rng(4).normal(size=(400, 40)) * np.linspace(1, 1.2, 40)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    axes = reduction.principal_axes(frame(spark, x).select("v"), 40, 6)
+    covariance = np.cov(x.T, bias=True)
+    best = np.sort(np.linalg.eigvalsh(covariance))[::-1][:6].sum()
+    assert np.trace(axes.T @ covariance @ axes) > 0.98 * best
+
+
+def test_null_vectors_are_left_out(spark):
+    from ticketmill.operators import density, reduction
+
+    df = frame(spark, blobs()[0]).drop("cluster_id").union(spark.createDataFrame([(-7, None)], "id long, v array<double>"))
+    assert reduction.reduce(df, "v", 2).count() == df.count() - 1
+    assert density.density_cluster(df, "id", "v").filter("id = -7").count() == 0

@@ -3,8 +3,8 @@
 A line is what stands between newlines; it is normalised to its words (runs of anything but
 ASCII white space, A-Z in lower case) joined by one space. Lines of fewer than ``MIN_WORDS``
 words are never judged and stay. Equal normalised lines are always linked; different ones are
-linked if their SimHashes (single words and word pairs) differ in at most ``RADIUS`` bits and
-their edit similarity, 1 - distance / longer length in characters, is at least ``SIMILARITY``.
+linked if their SimHashes (different words, and pairs of them, each once) differ in at most
+``RADIUS`` bits and their edit similarity, 1 - distance / longer length in characters, is at least ``SIMILARITY``.
 Of each connected group the occurrence with the smallest (doc_id, line number) stays.
 
 Only distinct lines are compared, and only those with a neighbour are fetched as text, once.
@@ -26,28 +26,32 @@ from ticketmill.llm.substrings import WordHashes, mix
 
 MIN_WORDS = 5
 RADIUS = 3
-BLOCKS = 5
+BLOCKS = 6
 SIMILARITY = 0.8
 WORDS_AT_ONCE = 1 << 17
+LETTER_BINS = 64
 
 
 def line_prints(lines: list[list[bytes]], hashes: WordHashes):
     """(digest, SimHash) of normalised lines given as words; every line has a word."""
     import numpy as np
+    import xxhash
 
-    sizes = np.array([len(x) for x in lines])
-    h = hashes.of([w for line in lines for w in line])
+    digest = np.array([xxhash.xxh64_intdigest(b" ".join(x)) for x in lines], "<u8").view("<i8")
+    # Each word once, in order of appearance, so that pairs of neighbours are different too.
+    once = [list(dict.fromkeys(x)) for x in lines]
+    sizes = np.array([len(x) for x in once])
+    h = hashes.of([w for x in once for w in x])
     starts = np.cumsum(sizes) - sizes
-    pairs = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
-    first_of_next = starts[1:] - 1
-    pair_bits = np.unpackbits(np.r_[pairs, np.uint64(0)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    pair_bits[first_of_next] = 0  # pairs across lines
+    pairs = np.r_[mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]), np.uint64(0)]
     bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    total = np.add.reduceat(bits + pair_bits, starts, axis=0, dtype=np.int32)
+    pair_bits = np.unpackbits(pairs.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    pair_bits[starts[1:] - 1] = 0  # pairs across lines
+    pair_bits[-1] = 0
+    bits += pair_bits
+    total = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
     prints = np.packbits(total * 2 > (2 * sizes - 1)[:, None], axis=1, bitorder="little").view("<i8").ravel()
-    place = np.arange(len(h)) - np.repeat(starts, sizes)
-    digest = np.add.reduceat(mix(h + place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), starts)
-    return mix(digest).view("<i8"), prints
+    return digest, prints
 
 
 def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -127,8 +131,16 @@ def verified(prints, texts: list[str], radius: int, similarity: float) -> list[t
 
     root = np.arange(len(texts))
     links = []
+    # Letter counts bound the distance from below: an edit moves at most two of them.
+    counts = np.zeros((len(texts), LETTER_BINS), np.int32)
+    for i, text in enumerate(texts):
+        counts[i] = np.bincount(np.frombuffer(text.encode("utf-32-le"), "<u4") % LETTER_BINS, minlength=LETTER_BINS)
+    sizes = np.array([len(t) for t in texts])
+    limits = (1 - similarity) * sizes + 1e-9
     for i in range(1, len(texts)):
         near = np.flatnonzero(np.bitwise_count(prints[:i] ^ prints[i]) <= radius)
+        least = (np.abs(counts[near] - counts[i]).sum(axis=1) + 1) // 2
+        near = near[least <= np.maximum(limits[near], limits[i]).astype(np.int64)]
         while len(near):
             j = int(near[0])
             if edit_similar(texts[i], texts[j], similarity):
@@ -225,7 +237,8 @@ def drop_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
     gone = settle(gone, "gone")
     packed = docs.select("doc_id", F.struct("*").alias("row"))
     lines = F.split(F.col("row.text"), "\n", -1)
-    n = F.size(lines)
+    text = F.col("row.text")
+    n = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     rest = F.array_except(F.sequence(F.lit(0), n - 1), F.col("removed"))
     joined = join_checked(packed, gone, "doc_id", "left", "24 + 4 * cast(size(removed) as bigint)")
     return joined.select(

@@ -151,41 +151,82 @@ def near_links(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
     for n, kept in enumerate(combinations(range(blocks), blocks - radius)):
         mask = sum(((1 << edges[b + 1] - edges[b]) - 1) << edges[b] for b in kept)
         signed = mask - (1 << 64) if mask >> 63 else mask
-        keys.append(F.struct(F.lit(n).alias("k"), F.col("fp").bitwiseAND(F.lit(signed)).alias("v")))
-    spread = prints.select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.k", "key.v")
-    counts = spread.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    shared = settle(spread.join(counts, ["k", "v"]).select("fp", "k", "v", "n"), "buckets")
+        keys.append(F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(signed))))
+    width = shuffle_width(prints.sparkSession)
+
+    def links(values, groups):
+        i, j = span(values.view("<u8"), groups, radius)
+        return values[i], values[j]
+
+    def meet(batches: Iterator) -> Iterator:
+        """Links of small buckets; members of large ones are handed on (bucket, fp)."""
+        import numpy as np
+
+        for values, groups, whole in runs(batches):
+            if not whole:
+                yield record(groups, values, True)
+                continue
+            starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+            size = np.repeat(np.diff(np.r_[starts, len(groups)]), np.diff(np.r_[starts, len(groups)]))
+            few, many = (size > 1) & (size <= CHUNK), size > CHUNK
+            if few.any():
+                yield record(*links(values[few], groups[few]), False)
+            if many.any():
+                yield record(groups[many], values[many], True)
+
+    def compare(batches: Iterator) -> Iterator:
+        for values, groups, _ in runs(batches, limit=None):
+            yield record(*links(values, groups), False)
+
+    spread = prints.select("fp", F.explode(F.array(*keys)).alias("bucket"))
+    met = settle(spread.repartition(width, "bucket").sortWithinPartitions("bucket", "fp").mapInArrow(
+        meet, "a long, b long, large boolean"), "met")
+    large = met.filter("large").select(F.col("a").alias("bucket"), F.col("b").alias("fp"))
+    counts = large.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     parts = F.ceil(F.col("n") / CHUNK).cast("int")
     own = F.pmod(F.hash("fp"), parts)
-    # Small buckets are one unit; a member of a large one goes to a unit with each chunk.
-    units = F.when(parts == 1, F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))).otherwise(
-        F.transform(
-            F.filter(F.sequence(F.lit(0), parts - 1), lambda c: c != own),
-            lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y")),
-        )
+    units = F.transform(
+        F.filter(F.sequence(F.lit(0), parts - 1), lambda c: c != own),
+        lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y")),
     )
-    placed = shared.select("fp", F.explode(units).alias("u"), "k", "v").select("fp", F.xxhash64("k", "v", "u.x", "u.y").alias("unit"))
+    placed = large.join(counts, "bucket").select("fp", "bucket", F.explode(units).alias("u")).select(
+        "fp", F.xxhash64("bucket", "u.x", "u.y").alias("unit"))
+    rest = placed.repartition(width, "unit").sortWithinPartitions("unit", "fp").mapInArrow(
+        compare, "a long, b long, large boolean")
+    return met.filter("not large").union(rest).select("a", "b")
 
-    def compare(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        def links(values, groups):
-            i, j = span(values.view("<u8"), groups, radius)
-            return pa.RecordBatch.from_arrays([pa.array(values[i]), pa.array(values[j])], names=["a", "b"])
-
-        values, groups = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            values = np.concatenate([values, batch.column(0).to_numpy(zero_copy_only=False)])
-            groups = np.concatenate([groups, batch.column(1).to_numpy(zero_copy_only=False)])
-            if len(values) >= 50_000:
-                cut = int(np.searchsorted(groups, groups[-1]))  # the last group may go on
-                if cut:
-                    yield links(values[:cut], groups[:cut])
-                    values, groups = values[cut:], groups[cut:]
-        if len(values):
-            yield links(values, groups)
 
-    width = shuffle_width(prints.sparkSession)
-    dealt = placed.repartition(width, "unit").sortWithinPartitions("unit", "fp")
-    return dealt.mapInArrow(compare, "a long, b long")
+def record(a, b, large: bool):
+    import numpy as np
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), large))], names=["a", "b", "large"])
+
+
+def runs(batches: Iterator, limit: int | None = 200_000, rows: int = 50_000) -> Iterator:
+    """(values, groups, whole) of a stream sorted by group: groups are never parted, unless one
+    exceeds ``limit``; its pieces then come with ``whole`` false."""
+    import numpy as np
+
+    values, groups, long = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+    for batch in batches:
+        values = np.concatenate([values, batch.column(0).to_numpy(zero_copy_only=False)])
+        groups = np.concatenate([groups, batch.column(1).to_numpy(zero_copy_only=False)])
+        if long is not None:
+            cut = int(np.searchsorted(groups, long, side="right"))
+            if cut:
+                yield values[:cut], groups[:cut], False
+                values, groups = values[cut:], groups[cut:]
+            if len(groups):
+                long = None
+        if len(values) >= rows:
+            cut = int(np.searchsorted(groups, groups[-1]))  # the last group may go on
+            if cut:
+                yield values[:cut], groups[:cut], True
+                values, groups = values[cut:], groups[cut:]
+            elif limit is not None and len(values) >= limit:
+                long = groups[0]
+                yield values, groups, False
+                values, groups = values[:0], groups[:0]
+    if len(values):
+        yield values, groups, long is None

@@ -76,8 +76,8 @@ def token_lengths(docs: DataFrame, vocabulary: str) -> DataFrame:
         encode = encoder(vocabulary).encode
         for batch in batches:
             n = []
-            for at in range(0, batch.num_rows, 500):
-                n += [len(ids) // 4 + 1 for ids in encode(batch.column(1).slice(at, 500).to_pylist())]
+            for at in range(0, batch.num_rows, 100):
+                n += [len(ids) // 4 + 1 for ids in encode(batch.column(1).slice(at, 100).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], names=["doc_id", "n_tokens"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(count, "doc_id long, n_tokens long")

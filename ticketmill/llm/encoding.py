@@ -7,11 +7,15 @@ texts that hold a special token, are encoded as whole texts instead.
 
 from __future__ import annotations
 
+import itertools
 import os
 from functools import cache
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 600_000
 NEWLINE_ID = 198
+JOINED = 50
+MARKS = ".,;:!?"
+BESIDE_SPACE = b"beside white space"
 
 
 class Encoder:
@@ -28,6 +32,8 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        # A mark after a letter opens a new piece of the merge rules.
+        self.marks = dict(zip(MARKS, self.whole(list(MARKS))))
 
     def whole(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -39,59 +45,66 @@ class Encoder:
         """Encode unseen pieces, joined by newlines so that one call serves many."""
         import numpy as np
 
-        if len(self.new) > CACHE_PIECES:
-            self.old, self.new = self.new, {}
-        odd = [p for p in pieces if any(c.isspace() for c in p[1:]) or p[:1] != " "]
-        plain = list(pieces.difference(odd))
-        for at in range(0, len(plain), 2000):
-            some = plain[at:at + 2000]
+        odd, plain = [], []
+        for p in pieces:
+            if not p or p[-1].isspace() or p[0] == " " and p[1:2].isspace() or p[0] != " " and p[0].isspace():
+                self.new[p] = BESIDE_SPACE
+            elif p[0] == " " and len(p.split()) == 1:
+                plain.append(p)
+            else:
+                odd.append(p)
+        for at in range(0, len(plain), JOINED):
+            some = plain[at:at + JOINED]
             ids = np.asarray(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(ids == NEWLINE_ID)
+            ends = np.flatnonzero(ids == NEWLINE_ID).tolist()
             if len(ends) != len(some) - 1:  # a vocabulary with another newline
                 odd.extend(some)
                 continue
-            parts = np.split(ids, ends)
-            self.new[some[0]] = parts[0].tobytes()
-            self.new.update(zip(some[1:], (p[1:].tobytes() for p in parts[1:])))
+            data, begin = ids.tobytes(), 0
+            for p, end in zip(some, [*ends, len(ids)]):
+                self.new[p] = data[begin:4 * end]
+                begin = 4 * end + 4
         self.new.update(zip(odd, self.whole(odd)))
 
+    def _known(self, piece: str) -> bytes | None:
+        """Ids of a piece from the older cache, or of a known word and the mark that ends it."""
+        if (ids := self.old.get(piece)) is None and piece[-1:] in self.marks and piece[-2:-1].isalpha():
+            word = piece[:-1]
+            if (ids := self.new.get(word) or self.old.get(word)) is not None:
+                ids += self.marks[piece[-1]]
+        return ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list = [None] * len(texts)
-        waiting, unseen, slow = [], set(), []
+        if len(self.new) > CACHE_PIECES:
+            self.old, self.new = self.new, {}
+        known = self.new
+        out: list = [b""] * len(texts)
+        cut: list[tuple[int, list[str]]] = []
+        unseen: set[str] = set()
+        whole = []
         for i, text in enumerate(texts):
             if not text:
-                out[i] = b""
-                continue
-            if any(s in text for s in self.special):
-                slow.append(i)
-                continue
-            pieces = text.replace(" ", "\0 ").split("\0") if "\0" not in text else [""]
-            get, spare = self.new.get, self.old
-            if "" in pieces[1:] or " " in pieces or not pieces[0]:
-                slow.append(i)
                 continue
-            found = list(map(get, pieces))
-            if None in found:
-                for k, v in enumerate(found):
-                    if v is None:
-                        p = pieces[k]
-                        if (v := spare.get(p)) is not None:
-                            self.new[p] = v
-                            found[k] = v
-                        elif p[-1].isspace() or p[:1].isspace() and p[1:2].isspace() or p[:1].isspace() and not k:
-                            slow.append(i)
-                            break
-                        else:
-                            unseen.add(p)
-                else:
-                    waiting.append((i, pieces, found))
+            if "\0" in text or any(s in text for s in self.special):
+                whole.append(i)
                 continue
-            out[i] = b"".join(found)
+            # Every piece but the first keeps the space that opens it.
+            pieces = text.replace(" ", "\0 ").split("\0")
+            cut.append((i, pieces))
+            unseen.update(itertools.filterfalse(known.__contains__, pieces))
         if unseen:
+            for p in list(unseen):
+                if (ids := self._known(p)) is not None:
+                    known[p] = ids
+                    unseen.discard(p)
             self._learn(unseen)
-        for i, pieces, found in waiting:
-            out[i] = b"".join(self.new[p] if v is None else v for p, v in zip(pieces, found))
-        for i, ids in zip(slow, self.whole([texts[i] for i in slow]) if slow else []):
+        for i, pieces in cut:
+            found = list(map(known.__getitem__, pieces))
+            if BESIDE_SPACE in found:
+                whole.append(i)
+            else:
+                out[i] = b"".join(found)
+        for i, ids in zip(whole, self.whole([texts[i] for i in whole]) if whole else []):
             out[i] = ids
         return out
 

@@ -93,8 +93,8 @@ def write_ids(
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                some = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 100):
+                some = batch.slice(at, 100)
                 for name, ids in zip(some.column(0).to_pylist(), encode(some.column(1).to_pylist())):
                     names.append(name)
                     tokens.append(len(ids) // 4 + 1)

@@ -103,3 +103,20 @@ def test_qa_rate_counts_fields_and_may_exceed_one(spark):
         (1, "text_full"), (1, "text_customer_only"), (1, "text_agent_only"), (2, "text_customer_only")]
     empty = Q.qa_report(df.filter("ticket_id > 5")).first()
     assert (empty.sample_size, empty.false_negative_rate) == (0, 0.0)
+
+
+def test_each_pattern_runs_once_a_row(spark):
+    """No filter on a computed value makes the optimiser evaluate the patterns twice."""
+    from ticketmill.operators.cleaning import drop_empty_and_auto
+    from ticketmill.operators.redaction import leftover_pii, redaction_audit
+
+    df = spark.createDataFrame([(1, "a@b.cl 12345678-9")], "id int, t string").repartition(2)
+
+    def plan(out):
+        return out._jdf.queryExecution().optimizedPlan().toString()
+
+    assert plan(leftover_pii(df, "id", ["t"])).count("regexp_extract_all(") == 8
+    assert plan(redaction_audit(df, "id", "t")).count("regexp_extract_all(") <= 9
+    made = df.withColumn("t", F.regexp_replace("t", "zz+", "y"))
+    assert plan(drop_empty_and_auto(made, "t")).count("zz+") == 1
+    assert [r.t for r in drop_empty_and_auto(made, "t").collect()] == ["a@b.cl 12345678-9"]

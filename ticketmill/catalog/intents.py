@@ -509,14 +509,38 @@ def emb3(spark, sf):
     return target.read().select("ticket_id", "model_version")
 
 
-@query("ml1_reduce")
+# Principal axes by power iteration on the covariance of the unit vectors: the second one stays
+# orthogonal to the first. The strongest coordinate of an axis is positive.
+_AXES_SQL = """
+RECURSIVE u AS (
+  SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS v
+  FROM embeddings),
+e AS (SELECT vec_id, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM u),
+cov AS (SELECT a.i, b.i AS j, avg(a.x * b.x) - avg(a.x) * avg(b.x) AS c FROM e a JOIN e b USING (vec_id) GROUP BY 1, 2),
+m AS (SELECT list(r ORDER BY i) AS rows FROM (SELECT i, list(c ORDER BY j) AS r FROM cov GROUP BY i)),
+p AS (
+  SELECT 0 AS k, list_transform(rows, lambda r: 1::DOUBLE) AS a, list_transform(rows, lambda r, i: CASE WHEN i % 2 = 0 THEN 1::DOUBLE ELSE -0.5::DOUBLE END) AS b FROM m
+  UNION ALL
+  SELECT k + 1, list_transform(y, lambda t: t / sqrt(list_dot_product(y, y))), list_transform(w, lambda t: t / sqrt(list_dot_product(w, w)))
+  FROM (SELECT k, y, list_transform(z, lambda t, i: t - list_dot_product(z, a) * a[i]) AS w
+        FROM (SELECT k, a, list_transform(rows, lambda r: list_dot_product(r, a)) AS y,
+                     list_transform(rows, lambda r: list_dot_product(r, b)) AS z FROM p, m WHERE k < 3000))),
+axes AS (
+  SELECT list_transform(a, lambda t: t * sign(a[list_position(list_transform(a, lambda s: abs(s)), list_max(list_transform(a, lambda s: abs(s))))])) AS one,
+         list_transform(b, lambda t: t * sign(b[list_position(list_transform(b, lambda s: abs(s)), list_max(list_transform(b, lambda s: abs(s))))])) AS two
+  FROM p WHERE k = 3000)"""
+
+
+@query("ml1_reduce", f"""
+WITH {_AXES_SQL} SELECT vec_id, 25 AS dims, round(list_dot_product(v, one), 4) AS first FROM u, axes""")
 def ml1(spark, sf):
     return reduction.reduce(table(spark, sf, "embeddings"), "embedding").select(
         "vec_id", F.size("reduced").alias("dims"), F.round(F.get("reduced", F.lit(0)), 4).alias("first")
     )
 
 
-@query("ml2_plot_coordinates")
+@query("ml2_plot_coordinates", f"""
+WITH {_AXES_SQL} SELECT vec_id, round(list_dot_product(v, one), 4) AS umap_x, round(list_dot_product(v, two), 4) AS umap_y FROM u, axes""")
 def ml2(spark, sf):
     two = reduction.reduce(table(spark, sf, "embeddings"), "embedding", reduction.PLOT_DIMENSIONS)
     return r4(reduction.plot_coordinates(two).select("vec_id", "umap_x", "umap_y"), "umap_x", "umap_y")

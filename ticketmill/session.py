@@ -23,6 +23,8 @@ def build_session(app: str = "ticketmill", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Pattern work is all CPU: a few hundred kilobytes of text are worth a task of their own.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Rows are long texts and vectors, so Arrow batches stay small.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",

@@ -30,6 +30,7 @@ BLOCKS = 6
 SIMILARITY = 0.8
 WORDS_AT_ONCE = 1 << 17
 LETTER_BINS = 64
+STRETCH = 120
 
 
 def line_prints(lines: list[list[bytes]], hashes: WordHashes):
@@ -49,7 +50,12 @@ def line_prints(lines: list[list[bytes]], hashes: WordHashes):
     pair_bits[starts[1:] - 1] = 0  # pairs across lines
     pair_bits[-1] = 0
     bits += pair_bits
-    total = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+    # Eight one-byte counters are added at a time, over stretches too short to overflow them.
+    stretches = -(-sizes // STRETCH)
+    first = np.cumsum(stretches) - stretches
+    begins = np.repeat(starts, stretches) + STRETCH * (np.arange(stretches.sum()) - np.repeat(first, stretches))
+    partial = np.add.reduceat(bits.view("<u8"), begins, axis=0).view(np.uint8)
+    total = np.add.reduceat(partial, first, axis=0, dtype=np.int32)
     prints = np.packbits(total * 2 > (2 * sizes - 1)[:, None], axis=1, bitorder="little").view("<i8").ravel()
     return digest, prints
 
@@ -70,7 +76,8 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
         for batch in batches:
             ids, numbers, lines, held = [], [], [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text in zip(*batch.columns):
+                doc_id, text = doc_id.as_py(), text.as_py()
                 for k, line in enumerate((text or "").encode().lower().split(b"\n")):
                     words = line.split()
                     if len(words) >= min_words:
@@ -238,7 +245,7 @@ def drop_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
     packed = docs.select("doc_id", F.struct("*").alias("row"))
     lines = F.split(F.col("row.text"), "\n", -1)
     text = F.col("row.text")
-    n = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    n = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     rest = F.array_except(F.sequence(F.lit(0), n - 1), F.col("removed"))
     joined = join_checked(packed, gone, "doc_id", "left", "24 + 4 * cast(size(removed) as bigint)")
     return joined.select(

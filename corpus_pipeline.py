@@ -16,10 +16,17 @@ from ticketmill.llm.encoding import vocabulary_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.5
+BATCH_ROWS = "1000"
+
+
+def _small_batches(spark: SparkSession) -> None:
+    """Rows are whole texts, so the Arrow batches between the JVM and Python stay small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language, by a posterior of ``LEAST_SCORE`` or more; others are rejected."""
+    _small_batches(spark)
     vocabulary = vocabulary_path("piece_bpe_32k.model")
     model = languages.train(docs.filter(~languages.held_out(F.col("doc_id"))), vocabulary)
     found = languages.predict(docs.filter(F.col("doc_id").isNotNull()), model, vocabulary)
@@ -29,6 +36,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated lines; documents of which no word is left go."""
+    _small_batches(spark)
     cut = fuzzy_lines.drop_lines(docs, fuzzy_lines.removals(docs))
     left = cut.filter((F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
     return left.select(
@@ -38,6 +46,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest doc_id."""
+    _small_batches(spark)
     kept = settle(simhash.groups(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "kept")
     return join_checked(docs, kept, "doc_id", "left_semi", 16).select(*COLUMNS)
 
@@ -51,6 +60,7 @@ def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every token of the documents placed in a sequence of a permitted length."""
+    _small_batches(spark)
     return bins.pack_documents(bins.token_lengths(docs, vocabulary_path("byte_bpe_50k.json")))
 
 

@@ -33,7 +33,7 @@ PIECE_LETTERS = 12
 WORD_LETTERS = 24
 SMOOTHING = 0.05
 UNKNOWN = 1e-9
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 UNDEFINED = "und"
 _LETTERS = re.compile(r"[^\W\d_]{1,%d}" % WORD_LETTERS)
 
@@ -219,7 +219,9 @@ def predict(docs: DataFrame, model: tuple[list[str], object], vocabulary: str) -
                 spelled = [[] if t is None else _LETTERS.findall(t.lower()) for t in texts.iloc[at:at + 200]]
                 found = [list(map(places.__getitem__, w)) for w in spelled]
                 if places.unseen:
-                    rows = np.vstack([rows, word_scores(places.unseen, number, table)])
+                    if len(places) > len(rows):  # room for twice as many, so that growing stays cheap
+                        rows = np.concatenate([rows, np.zeros((len(places), len(langs)))])
+                    rows[len(places) - len(places.unseen):len(places)] = word_scores(places.unseen, number, table)
                     places.unseen = []
                 for words, lettered in zip(found, spelled):
                     # Number signs such as ² are word characters but no letters.

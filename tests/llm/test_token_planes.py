@@ -44,6 +44,14 @@ def test_tricky_texts_twice():
         assert encoder.encode(TRICKY) == encoder.whole(TRICKY)
 
 
+def test_a_word_beside_white_space_lends_no_ids():
+    encoder = Encoder(VOCABULARY)
+    for texts in (["x \nword", "\tHowever", "a \u00a0b"], ["x \nword, y", "\tHowever, z", "a \u00a0b. c"]):
+        assert encoder.encode(texts) == encoder.whole(texts)
+    encoder.old, encoder.new = encoder.new, {}
+    assert encoder.encode(["x \nword; y"]) == encoder.whole(["x \nword; y"])
+
+
 def test_file_round_trip(spark, tmp_path):
     rows = [(i, t) for i, t in enumerate(reversed(TRICKY))] + [(100, None), (-5, "x y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'s' AS shard", "1 AS start").repartition(3)

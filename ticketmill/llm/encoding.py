@@ -70,7 +70,9 @@ class Encoder:
         """Ids of a piece from the older cache, or of a known word and the mark that ends it."""
         if (ids := self.old.get(piece)) is None and piece[-1:] in self.marks and piece[-2:-1].isalpha():
             word = piece[:-1]
-            if (ids := self.new.get(word) or self.old.get(word)) is not None:
+            if (ids := self.new.get(word) or self.old.get(word)) == BESIDE_SPACE:
+                ids = None  # no ids to lend: ``_learn`` marks the piece too
+            if ids is not None:
                 ids += self.marks[piece[-1]]
         return ids
 

@@ -80,3 +80,21 @@ def test_counts_and_empty(spark):
     got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["kept"]) for r in fuzzy_lines.drop_lines(docs, fuzzy_lines.removals(docs)).collect()}
     assert got == {1: (1, 0, one.upper()), 2: (3, 2, "x"), 3: (2, 1, "x")}
     assert fuzzy_lines.drop_lines(docs.limit(0), fuzzy_lines.removals(docs.limit(0))).count() == 0
+
+
+def test_lines_with_replaced_words_are_reached(spark):
+    rng = random.Random(6)
+
+    def word():
+        return "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+
+    rows, n = [], 150
+    for i in range(n):
+        words = [word() for _ in range(rng.randint(10, 40))]
+        other = list(words)
+        for k in rng.sample(range(len(words)), len(words) // 8):
+            other[k] = word()
+        rows += [(i, " ".join(words)), (1000 + i, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = {r["doc_id"] for r in fuzzy_lines.removals(docs).collect()}
+    assert all(d >= 1000 for d in gone) and len(gone) >= 0.97 * n

@@ -1,10 +1,14 @@
 """Fuzzy line dedup: SimHash, pigeonhole blocks, edit similarity, one line of each group.
 
 A line is what stands between newlines; it is normalised to its words (runs of anything but
-ASCII white space, A-Z in lower case) joined by one space. Lines of fewer than ``MIN_WORDS``
-words are never judged and stay. Equal normalised lines are always linked; different ones are
-linked if their SimHashes (different words, and pairs of them, each once) differ in at most
-``RADIUS`` bits and their edit similarity, 1 - distance / longer length in characters, is at least ``SIMILARITY``.
+ASCII white space, A-Z in lower case) joined by one space. Lines of fewer than ``least_words``
+words are never judged and stay. Equal normalised lines are always linked. Different ones of
+``min_words`` or more are linked if they meet in a bucket, their SimHashes (63 bits; different words,
+and pairs of them, each once) differ in at most ``radius`` bits and their edit similarity,
+1 - distance / longer length in characters, is at least ``similarity``. Buckets are the pigeonhole
+blocks, sure up to ``SURE`` bits (up to ``radius`` if there are more blocks than that), and
+``BANDS`` least hashes of a word and a pair of words with a class of length, which reach the pairs
+further apart with a probability that grows with their common words. ``RADIUS`` lies above nearly all pairs at ``SIMILARITY``.
 Of each connected group the occurrence with the smallest (doc_id, line number) stays.
 
 Only distinct lines are compared, and only those with a neighbour are fetched as text, once.
@@ -21,12 +25,14 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm.common import join_checked, settle, shuffle_width
 from ticketmill.llm.components import connected_components
-from ticketmill.llm.hamming import CHUNK, near_links
-from ticketmill.llm.substrings import WordHashes, mix
+from ticketmill.llm.hamming import CHUNK, block_buckets, bucket_links
+from ticketmill.llm.substrings import _ODD, WordHashes, mix
 
 MIN_WORDS = 5
-RADIUS = 3
+RADIUS = 20
+SURE = 3
 BLOCKS = 6
+BANDS = 12
 SIMILARITY = 0.8
 WORDS_AT_ONCE = 1 << 17
 LETTER_BINS = 64
@@ -34,7 +40,7 @@ STRETCH = 120
 
 
 def line_prints(lines: list[list[bytes]], hashes: WordHashes):
-    """(digest, SimHash) of normalised lines given as words; every line has a word."""
+    """(digest, SimHash, band keys) of normalised lines given as words; every line has a word."""
     import numpy as np
     import xxhash
 
@@ -57,11 +63,23 @@ def line_prints(lines: list[list[bytes]], hashes: WordHashes):
     partial = np.add.reduceat(bits.view("<u8"), begins, axis=0).view(np.uint8)
     total = np.add.reduceat(partial, first, axis=0, dtype=np.int32)
     prints = np.packbits(total * 2 > (2 * sizes - 1)[:, None], axis=1, bitorder="little").view("<i8").ravel()
-    return digest, prints
-
-
-def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, line, digest, fp of every judged line."""
+    prints = prints & np.int64(0x7FFFFFFFFFFFFFFF)  # 63 bits: numpy counts the bits of a signed number's absolute value
+    ends = starts + sizes - 1
+    keys = np.empty((len(lines), BANDS), np.uint32)
+    # Classes of length, in two grids half a class apart: what may be similar is parted in one of them at most.
+    steps = np.log([sum(map(len, x)) + len(x) for x in lines]) / (2 * np.log(1 / SIMILARITY))
+    for k in range(BANDS):
+        odd = np.uint64(0xD6E8FEB86659FD93 + 2 * k)
+        least_pair = mix(pairs * odd)
+        least_pair[ends] = np.uint64(0xFFFFFFFFFFFFFFFF)  # pairs across lines
+        least_word = np.minimum.reduceat(mix(h * odd), starts)
+        keys[:, k] = mix(np.minimum.reduceat(least_pair, starts) * np.uint64(_ODD) + least_word
+                         + (steps + k % 2 / 2).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return digest, prints, keys.view("<i4")
+
+
+def occurrences(docs: DataFrame, least_words: int = MIN_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, line, digest, fp and bands of every judged line; bands are null below ``min_words``."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
@@ -69,10 +87,13 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         hashes = WordHashes()
 
         def emit(ids, numbers, lines):
-            digest, prints = line_prints(lines, hashes)
+            digest, prints, keys = line_prints(lines, hashes)
+            long = np.array([len(x) >= min_words for x in lines])
+            bands = pa.ListArray.from_arrays(
+                pa.array(np.r_[0, np.cumsum(long * BANDS)], pa.int32(), mask=np.r_[~long, False]), pa.array(keys[long].ravel()))
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digest), pa.array(prints)],
-                names=["doc_id", "line", "digest", "fp"])
+                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digest), pa.array(prints), bands],
+                names=["doc_id", "line", "digest", "fp", "bands"])
 
         for batch in batches:
             ids, numbers, lines, held = [], [], [], 0
@@ -80,7 +101,7 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 doc_id, text = doc_id.as_py(), text.as_py()
                 for k, line in enumerate((text or "").encode().lower().split(b"\n")):
                     words = line.split()
-                    if len(words) >= min_words:
+                    if words and len(words) >= least_words:
                         ids.append(doc_id)
                         numbers.append(k)
                         lines.append(words)
@@ -92,7 +113,7 @@ def occurrences(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 yield emit(ids, numbers, lines)
 
     return docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, line int, digest long, fp long")
+        run, "doc_id long, line int, digest long, fp long, bands array<int>")
 
 
 def edit_similar(a: str, b: str, similarity: float) -> bool:
@@ -164,17 +185,22 @@ def verified(prints, texts: list[str], radius: int, similarity: float) -> list[t
 
 
 def removals(
-    docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS, blocks: int = BLOCKS, similarity: float = SIMILARITY
+    docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS, blocks: int = BLOCKS, similarity: float = SIMILARITY,
+    least_words: int = MIN_WORDS,
 ) -> DataFrame:
     """doc_id, removed: the line numbers (from 0) that go, for documents that lose any."""
-    lines = settle(occurrences(docs, min_words), "lines")
+    lines = settle(occurrences(docs, least_words, min_words), "lines")
     distinct = settle(lines.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.first("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "distinct")
-    prints = settle(distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("sharers")), "prints")
-    near = connected_components(near_links(prints.select("fp"), radius, blocks))
+        F.min(F.struct("doc_id", "line")).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands"),
+        F.count(F.lit(1)).alias("n")), "distinct")
+    fuzzy = distinct.filter(F.col("bands").isNotNull()).select("digest", "fp", "first", "bands")
+    prints = settle(fuzzy.groupBy("fp").agg(F.count(F.lit(1)).alias("sharers")), "prints")
+    spread = block_buckets(prints.select("fp"), radius if radius < blocks else min(SURE, blocks - 1), blocks)
+    banded = fuzzy.select("fp", F.posexplode("bands")).select("fp", F.xxhash64("pos", "col").alias("bucket"))
+    near = connected_components(bucket_links(spread.union(banded), radius))
     judged = settle(prints.join(near, prints.fp == near.node, "left").filter(
         F.col("component").isNotNull() | (F.col("sharers") > 1)).select("fp", F.coalesce("component", "fp").alias("label")), "judged")
-    asked = settle(join_checked(distinct, judged, "fp", "inner", 16).select("digest", "fp", "label", "first.*"), "asked")
+    asked = settle(join_checked(fuzzy.drop("bands"), judged, "fp", "inner", 16).select("digest", "fp", "label", "first.*"), "asked")
     sizes = asked.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     per_doc = settle(asked.join(sizes, "label").groupBy("doc_id").agg(
         F.collect_list(F.struct("line", "digest", "fp", "label", "n")).alias("asked")), "per-doc")

@@ -146,13 +146,23 @@ def near_links(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
     """
     if not radius < blocks:
         raise ValueError("more blocks than the radius are needed")
+    return bucket_links(block_buckets(prints, radius, blocks), radius)
+
+
+def block_buckets(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """fp and bucket: every two prints within ``radius`` share a bucket."""
     edges = [round(64 * k / blocks) for k in range(blocks + 1)]
     keys = []
     for n, kept in enumerate(combinations(range(blocks), blocks - radius)):
         mask = sum(((1 << edges[b + 1] - edges[b]) - 1) << edges[b] for b in kept)
         signed = mask - (1 << 64) if mask >> 63 else mask
         keys.append(F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(signed))))
-    width = shuffle_width(prints.sparkSession)
+    return prints.select("fp", F.explode(F.array(*keys)).alias("bucket"))
+
+
+def bucket_links(spread: DataFrame, radius: int) -> DataFrame:
+    """Links (a, b) that span, in every bucket of ``spread`` (fp, bucket), the groups within ``radius``."""
+    width = shuffle_width(spread.sparkSession)
 
     def links(values, groups):
         i, j = span(values.view("<u8"), groups, radius)
@@ -178,7 +188,6 @@ def near_links(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
         for values, groups, _ in runs(batches, limit=None):
             yield record(*links(values, groups), False)
 
-    spread = prints.select("fp", F.explode(F.array(*keys)).alias("bucket"))
     met = settle(spread.repartition(width, "bucket").sortWithinPartitions("bucket", "fp").mapInArrow(
         meet, "a long, b long, large boolean"), "met")
     large = met.filter("large").select(F.col("a").alias("bucket"), F.col("b").alias("fp"))

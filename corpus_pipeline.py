@@ -37,7 +37,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated lines; documents of which no word is left go."""
     _small_batches(spark)
-    cut = fuzzy_lines.drop_lines(docs, fuzzy_lines.removals(docs))
+    cut = fuzzy_lines.drop_lines(docs, fuzzy_lines.removals(docs, least_words=1))
     left = cut.filter((F.col("n_removed") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
     return left.select(
         "doc_id", F.col("kept").alias("text"), "row.lang", "row.source",

@@ -98,3 +98,14 @@ def test_lines_with_replaced_words_are_reached(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     gone = {r["doc_id"] for r in fuzzy_lines.removals(docs).collect()}
     assert all(d >= 1000 for d in gone) and len(gone) >= 0.97 * n
+
+
+def test_queries_drop_equal_short_lines(spark, tmp_path):
+    from corpus_pipeline import dedup_lines
+    from ticketmill.llm.queries import QUERIES
+
+    rows = [(1, "All rights reserved.\n\nx"), (2, "all  rights reserved.\n\ny"), (3, "All rights reversed.\n \nx")]
+    docs = spark.createDataFrame([(*r, "en", "s", len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["doc_id"]: r["n_removed"] for r in QUERIES["op8_fuzzy_lines"](spark, str(tmp_path)).collect()} == {1: 0, 2: 1, 3: 1}
+    assert {r["doc_id"]: r["text"] for r in dedup_lines(spark, docs, "").collect()} == {1: rows[0][1], 2: "\ny", 3: "All rights reversed.\n "}

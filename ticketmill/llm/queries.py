@@ -121,7 +121,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_fuzzy_lines")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    cut = fuzzy_lines.drop_lines(docs, fuzzy_lines.removals(docs))
+    cut = fuzzy_lines.drop_lines(docs, fuzzy_lines.removals(docs, least_words=1))
     return cut.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -57,3 +57,15 @@ def test_verdicts(spark):
     assert not got[7]["kept"] and got[5]["char_distance"] is None and got[3]["n_words"] == 0
     assert divergence.judge(docs.limit(0)).count() == 0
     assert divergence.judge(docs.drop("lang").withColumn("lang", docs.text.substr(1, 0).try_cast("int").cast("string"))).count() == 8
+
+
+def test_letters_without_a_common_word_fail(spark):
+    refs = divergence.references(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+    signs = "bcdfghjklm"
+    rows = [(1, " ".join("".join(signs[int(d)] for d in f"{i * 7919 % 100000:05d}") for i in range(1, 201))), (2, " ".join(
+        "x" + "".join(signs[int(d)] for d in f"{i * 104729 % 100000:05d}") for i in range(1, 201)))]
+    got = {r["doc_id"]: r for r in divergence.judge(spark.createDataFrame(rows, "doc_id long, text string"), refs).collect()}
+    assert [got[i]["base_failed"] for i in (1, 2)] == [False, False]
+    assert all(got[i]["char_distance"] <= divergence.MAX_CHAR_DISTANCE for i in (1, 2))
+    assert all(got[i]["word_distance"] <= divergence.MAX_WORD_DISTANCE for i in (1, 2))
+    assert not got[1]["kept"] and not got[2]["kept"]

@@ -4,7 +4,8 @@ Two histograms of a text, its character classes and its uses of the commonest wo
 against references of each language by the Jensen-Shannon distance (square root of the
 divergence to base 2, from 0 to 1). A reference is summed over all documents of the language.
 The nearest reference counts, so a text in two languages is not punished for its label. A
-distance is only judged on enough material: ``MIN_CHARS`` characters, ``MIN_WORDS`` words.
+distance is only judged on enough material: ``MIN_CHARS`` characters, ``MIN_WORDS`` words. The word
+distance must also stay below ``WORDLESS`` times that of a text without any common word, which differs by reference.
 
 Base counts (words are runs of anything but ASCII white space): see ``base_counts``. A text
 fails the base rule with fewer than ten words or more than a fifth of them in repeated
@@ -28,6 +29,7 @@ MIN_CHARS = 200
 MIN_WORDS = 50
 MAX_CHAR_DISTANCE = 0.40
 MAX_WORD_DISTANCE = 0.55
+WORDLESS = 0.95
 REPEAT_WINDOW = 5
 COUNTER_WORDS = 100_000
 SYMBOLS = "#*$%&|<>"
@@ -167,6 +169,7 @@ def judge(
         class_refs = np.array([refs[x]["classes"] for x in langs], float).reshape(len(langs), len(CLASSES))
         known = [refs[x]["words"] for x in langs]
         word_refs = [np.array([[*k.values(), refs[x]["total"] - sum(k.values())]], float) for x, k in zip(langs, known)]
+        bounds = [min(max_word, WORDLESS * float(distances(np.eye(r.shape[1])[-1], r)[0])) for r in word_refs]
         places = [{w: i for i, w in enumerate(k)} for k in known]
         union: dict[bytes, None] = dict.fromkeys(w for k in known for w in k)
         for batch in batches:
@@ -179,6 +182,7 @@ def judge(
                     words = data.split()
                     counts = base_counts(text, data, words, hashes)
                     char = word = None
+                    usual = True
                     if langs and len(text) >= MIN_CHARS:
                         char = float(distances(char_classes(data, table), class_refs).min())
                     if langs and len(words) >= MIN_WORDS:
@@ -192,8 +196,9 @@ def judge(
                             mine[-1] = len(words) - mine.sum()
                             each.append(float(distances(mine, ref)[0]))
                         word = min(each)
+                        usual = any(d <= bound for d, bound in zip(each, bounds))
                     failed = len(words) < 10 or 100 * counts[3] > 20 * len(words)
-                    fine = not failed and (char is None or char <= max_char) and (word is None or word <= max_word)
+                    fine = not failed and (char is None or char <= max_char) and usual
                     out.append((len(words), *counts, char, word, failed, fine))
                 kinds = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()] * 2
                 cols = list(zip(*out)) or [[]] * len(kinds)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.llm import (
-    bins, decontaminate, divergence, fuzzy_lines, html_region, languages, simhash, substrings, token_planes, weak_labels,
+    bins, decontaminate, divergence, fuzzy_lines, html_region, languages, merkle, mixing, resampling, simhash, substrings,
+    token_planes, weak_labels,
 )
 from ticketmill.llm.common import documents
 from ticketmill.llm.encoding import vocabulary_path
@@ -137,3 +138,139 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_divergence")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(documents(spark, sf_dir))
+
+
+# CRC-32 of a text's UTF-8 bytes, as a fold over its bytes with the table of the polynomial.
+_CRC_TABLE = """crc_table AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(CAST(b AS BIGINT), CAST(range(8) AS BIGINT[])),
+              lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM range(256) AS r(b))"""
+
+
+def _crc(hex_text: str) -> str:
+    nibble = f"CAST(instr('0123456789ABCDEF', substr({hex_text}, {{}}, 1)) AS BIGINT) - 1"
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length({hex_text}) // 2), "
+            f"lambda i: 16 * ({nibble.format('2 * i + 1')}) + {nibble.format('2 * i + 2')})), "
+            f"lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295)")
+
+
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str = "n_chars") -> str:
+    return f"sha256({' || '.join(_FIELD.format(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+@query("op11_merkle", f"""
+WITH RECURSIVE {_CRC_TABLE},
+leaves AS MATERIALIZED (
+  SELECT doc_id, lang, leaf, CASE WHEN crc % 7 = 0 THEN changed ELSE leaf END AS held,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+         dense_rank() OVER (ORDER BY lang IS NOT NULL, lang) - 1 AS j
+  FROM (SELECT doc_id, lang, {_leaf()} AS leaf, {_leaf('n_chars + 1')} AS changed,
+               {_crc("hex(encode(CAST(doc_id AS VARCHAR)))")} AS crc
+        FROM documents, crc_table)),
+tree AS MATERIALIZED (
+  SELECT j, 0 AS lvl, i AS pos, leaf AS d, count(*) OVER (PARTITION BY j) AS n FROM leaves
+  UNION ALL
+  SELECT j, lvl + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM tree WHERE n > 1 GROUP BY j, lvl, pos // 2),
+top AS MATERIALIZED (
+  SELECT 0 AS lvl, j AS pos, d, count(*) OVER () AS n FROM tree WHERE n = 1
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(d, '' ORDER BY pos)), any_value((n + 1) // 2)
+  FROM top WHERE n > 1 GROUP BY lvl, pos // 2),
+steps AS (
+  SELECT l.j, l.i, s.lvl, CASE WHEN o.d IS NULL THEN 'N' WHEN o.pos < s.pos THEN 'L' ELSE 'R' END AS side, coalesce(o.d, '') AS d
+  FROM leaves l JOIN tree s ON s.j = l.j AND s.pos = l.i >> s.lvl AND s.n > 1
+  LEFT JOIN tree o ON o.j = s.j AND o.lvl = s.lvl AND o.pos = xor(s.pos, 1)
+  UNION ALL
+  SELECT l.j, l.i, 1000 + s.lvl, CASE WHEN o.d IS NULL THEN 'N' WHEN o.pos < s.pos THEN 'L' ELSE 'R' END, coalesce(o.d, '')
+  FROM leaves l JOIN top s ON s.pos = l.j >> s.lvl AND s.n > 1
+  LEFT JOIN top o ON o.lvl = s.lvl AND o.pos = xor(s.pos, 1)),
+proofs AS (
+  SELECT j, i, list(side || d ORDER BY lvl) AS p, string_agg(d, '' ORDER BY lvl) AS all_d FROM steps GROUP BY j, i),
+folded AS (
+  SELECT l.doc_id, l.leaf, s.d AS subroot, r.d AS root, sha256(coalesce(all_d, '')) AS proof_sha256,
+         list_reduce(list_prepend(held, coalesce(p, [])), lambda a, x: sha256(
+           CASE x[1] WHEN 'L' THEN x[2:] || a WHEN 'R' THEN a || x[2:] ELSE a END)) AS folded_root
+  FROM leaves l LEFT JOIN proofs USING (j, i)
+  JOIN (SELECT j, d FROM tree WHERE n = 1) s USING (j) CROSS JOIN (SELECT d FROM top WHERE n = 1) r)
+SELECT *, folded_root = root AS verified FROM folded
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir)).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query("op12_mix", r"""
+WITH RECURSIVE quality AS (
+  SELECT doc_id, CASE WHEN coalesce(min(quality), 1) = 1 AND coalesce(max(toxic), 0) = 0 THEN 2.0 ELSE 0.5 END AS w
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+sized AS MATERIALIZED (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         -ln((CAST('0x' || sha256('mix:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:13] AS BIGINT) + 0.5::DOUBLE)
+             / 4503599627370496::DOUBLE) / coalesce(w, 1.0)::DOUBLE AS draw
+  FROM documents LEFT JOIN quality USING (doc_id)),
+src AS MATERIALIZED (
+  SELECT source, z, 2.0::DOUBLE * z AS cap, ([5, 2, 1])[(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1]::DOUBLE AS w
+  FROM (SELECT source, sum(size)::BIGINT AS z FROM sized GROUP BY source)),
+total AS (SELECT 1.5::DOUBLE * sum(z)::BIGINT AS words FROM src),
+unit AS (
+  SELECT 0.0::DOUBLE AS u
+  UNION
+  SELECT CASE WHEN free > 0 THEN greatest(u, (words - spent) / free) ELSE u END FROM (
+    SELECT u, words, sum(CASE WHEN w * u > cap THEN cap ELSE 0 END) AS spent, sum(CASE WHEN w * u > cap THEN 0 ELSE w END) AS free
+    FROM unit, src, total GROUP BY u, words)),
+budget AS (
+  SELECT source, z, least(w * u, cap) AS target FROM src, (SELECT max(u) AS u FROM unit)),
+rest AS (
+  SELECT source, z, target, CASE WHEN z > 0 THEN CAST(floor(target / z) AS BIGINT) ELSE 0 END AS epochs FROM budget),
+drawn AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY draw, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before FROM sized)
+SELECT doc_id, d.source, CAST(size AS BIGINT) AS size, z AS source_size, target,
+       CAST(epochs * size + greatest(0, least(size, CAST(floor(target + 0.5) AS BIGINT) - epochs * z - before)) AS BIGINT) AS taken, epochs
+FROM drawn d JOIN rest r ON d.source IS NOT DISTINCT FROM r.source
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir), mixing.label_weights(documents(spark, sf_dir, "labels")))
+
+
+@query("op13_resample", f"""
+WITH {_CRC_TABLE},
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, ws FROM (SELECT doc_id, {_SPLIT} AS ws FROM documents)),
+b AS (SELECT {_SPLIT} AS ws FROM benchmark),
+df AS MATERIALIZED (
+  SELECT r, unnest(ws) AS f FROM d
+  UNION ALL SELECT r, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM d
+  UNION ALL SELECT r, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM d),
+bf AS MATERIALIZED (
+  SELECT unnest(ws) AS f FROM b
+  UNION ALL SELECT unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM b
+  UNION ALL SELECT unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM b),
+bucket AS MATERIALIZED (
+  SELECT f, {_crc("h")} % 10000 AS k FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf)), crc_table),
+s AS (SELECT k, count(*) AS s FROM df JOIN bucket USING (f) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM bf JOIN bucket USING (f) GROUP BY k),
+gain AS (
+  SELECT k, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM df) + 10000)::DOUBLE
+                 / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM bf) + 10000)::DOUBLE))) AS BIGINT) AS g
+  FROM s FULL JOIN t USING (k)),
+w AS (
+  SELECT r, count(*) AS n_features, sum(g) AS weight FROM df JOIN bucket USING (f) JOIN gain USING (k) GROUP BY r),
+scored AS (
+  SELECT doc_id, len(ws) AS n_words, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || doc_id)[1:8] AS BIGINT) + 0.5::DOUBLE)
+              / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (r)),
+turn AS (
+  SELECT *, n_words >= 20 AND score IS NOT NULL AS may,
+         row_number() OVER (PARTITION BY n_words >= 20 AND score IS NOT NULL ORDER BY score DESC, doc_id, weight DESC) AS place
+  FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN may AND place <= (SELECT count(*) FROM turn WHERE may) * 5 // 100 THEN place END AS rank
+FROM turn
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.resample(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")

@@ -11,9 +11,18 @@ blocks, sure up to ``SURE`` bits (up to ``radius`` if there are more blocks than
 further apart with a probability that grows with their common words. ``RADIUS`` lies above nearly all pairs at ``SIMILARITY``.
 Of each connected group the occurrence with the smallest (doc_id, line number) stays.
 
-Only distinct lines are compared, and only those with a neighbour are fetched as text, once.
-Null texts stay null, empty tables give empty results, ``doc_id`` is a key; rows without one
-are left as they are.
+Only different lines are compared, in two steps. First the links that span a bucket's groups
+within the radius are verified, each pair once however many buckets report it. Where all of a
+bucket's links hold, nothing is left to ask there. The members of the other buckets then meet with
+their texts, and pairs that are not connected yet are verified until they are. Nothing depends on
+how far groups within the radius chain from bucket to bucket; crowded buckets are cut into chunks,
+every two of which meet.
+
+Null texts stay null and empty tables give empty results. Rows without a doc_id are left as they
+are. Rows that repeat a doc_id are each judged by their own text, and the line in the smallest
+(doc_id, line number, text hash) stays; rows that repeat doc_id and text are one document met twice
+and lose the same lines. Equal lines of one document are ties by line number. Extra columns are
+kept under ``row``, whatever their names. Long texts are read whole, in stretches of lines.
 """
 
 from __future__ import annotations
@@ -25,13 +34,13 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm.common import join_checked, settle, shuffle_width
 from ticketmill.llm.components import connected_components
-from ticketmill.llm.hamming import CHUNK, block_buckets, bucket_links
+from ticketmill.llm.hamming import CHUNK, block_buckets, bucket_spans, chunk_pairs
 from ticketmill.llm.substrings import _ODD, WordHashes, mix
 
 MIN_WORDS = 5
 RADIUS = 20
 SURE = 3
-BLOCKS = 6
+BLOCKS = 5
 BANDS = 12
 SIMILARITY = 0.8
 WORDS_AT_ONCE = 1 << 17
@@ -79,41 +88,46 @@ def line_prints(lines: list[list[bytes]], hashes: WordHashes):
 
 
 def occurrences(docs: DataFrame, least_words: int = MIN_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, line, digest, fp and bands of every judged line; bands are null below ``min_words``."""
+    """doc_id, rid, line, digest, fp and bands of every judged line; bands are null below ``min_words``. ``rid`` tells texts apart."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         hashes = WordHashes()
 
-        def emit(ids, numbers, lines):
+        def emit(ids, rids, numbers, lines):
             digest, prints, keys = line_prints(lines, hashes)
             long = np.array([len(x) >= min_words for x in lines])
             bands = pa.ListArray.from_arrays(
                 pa.array(np.r_[0, np.cumsum(long * BANDS)], pa.int32(), mask=np.r_[~long, False]), pa.array(keys[long].ravel()))
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digest), pa.array(prints), bands],
-                names=["doc_id", "line", "digest", "fp", "bands"])
+                [pa.array(ids, pa.int64()), pa.array(rids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digest), pa.array(prints), bands],
+                names=["doc_id", "rid", "line", "digest", "fp", "bands"])
 
         for batch in batches:
-            ids, numbers, lines, held = [], [], [], 0
-            for doc_id, text in zip(*batch.columns):
-                doc_id, text = doc_id.as_py(), text.as_py()
+            ids, rids, numbers, lines, held = [], [], [], [], 0
+            for doc_id, rid, text in zip(*batch.columns):
+                doc_id, rid, text = doc_id.as_py(), rid.as_py(), text.as_py()
                 for k, line in enumerate((text or "").encode().lower().split(b"\n")):
                     words = line.split()
                     if words and len(words) >= least_words:
                         ids.append(doc_id)
+                        rids.append(rid)
                         numbers.append(k)
                         lines.append(words)
                         held += len(words)
                     if held >= WORDS_AT_ONCE:
-                        yield emit(ids, numbers, lines)
-                        ids, numbers, lines, held = [], [], [], 0
+                        yield emit(ids, rids, numbers, lines)
+                        ids, rids, numbers, lines, held = [], [], [], [], 0
             if lines:
-                yield emit(ids, numbers, lines)
+                yield emit(ids, rids, numbers, lines)
 
-    return docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, line int, digest long, fp long, bands array<int>")
+    return docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), row_id(), "text").mapInArrow(
+        run, "doc_id long, rid long, line int, digest long, fp long, bands array<int>")
+
+
+def row_id():
+    return F.xxhash64("text").alias("rid")
 
 
 def edit_similar(a: str, b: str, similarity: float) -> bool:
@@ -153,11 +167,12 @@ def edit_similar(a: str, b: str, similarity: float) -> bool:
     return distance <= limit
 
 
-def verified(prints, texts: list[str], radius: int, similarity: float) -> list[tuple[int, int]]:
-    """Spanning links among the members of a unit; connected members are not compared again."""
+def verified(prints, texts: list[str], labels: list[int], radius: int, similarity: float) -> list[tuple[int, int]]:
+    """Spanning links among members of a unit; members already connected, as equal labels are, are not compared again."""
     import numpy as np
 
-    root = np.arange(len(texts))
+    first: dict[int, int] = {}
+    root = np.array([first.setdefault(x, i) for i, x in enumerate(labels)])
     links = []
     # Letter counts bound the distance from below: an edit moves at most two of them.
     counts = np.zeros((len(texts), LETTER_BINS), np.int32)
@@ -166,74 +181,73 @@ def verified(prints, texts: list[str], radius: int, similarity: float) -> list[t
     sizes = np.array([len(t) for t in texts])
     limits = (1 - similarity) * sizes + 1e-9
     for i in range(1, len(texts)):
-        near = np.flatnonzero(np.bitwise_count(prints[:i] ^ prints[i]) <= radius)
+        near = np.flatnonzero((root[:i] != root[i]) & (np.bitwise_count(prints[:i] ^ prints[i]) <= radius))
         least = (np.abs(counts[near] - counts[i]).sum(axis=1) + 1) // 2
         near = near[least <= np.maximum(limits[near], limits[i]).astype(np.int64)]
         while len(near):
             j = int(near[0])
             if edit_similar(texts[i], texts[j], similarity):
                 links.append((i, j))
-                mine, theirs = root[i], root[j]
-                if mine == i:
-                    root[i] = theirs
-                else:
-                    root[root == mine] = theirs
+                root[root == root[i]] = root[j]
                 near = near[root[near] != root[i]]
             else:
                 near = near[1:]
     return links
 
 
-def removals(
-    docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS, blocks: int = BLOCKS, similarity: float = SIMILARITY,
-    least_words: int = MIN_WORDS,
-) -> DataFrame:
-    """doc_id, removed: the line numbers (from 0) that go, for documents that lose any."""
-    lines = settle(occurrences(docs, least_words, min_words), "lines")
-    distinct = settle(lines.groupBy("digest").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands"),
-        F.count(F.lit(1)).alias("n")), "distinct")
-    fuzzy = distinct.filter(F.col("bands").isNotNull()).select("digest", "fp", "first", "bands")
-    prints = settle(fuzzy.groupBy("fp").agg(F.count(F.lit(1)).alias("sharers")), "prints")
-    spread = block_buckets(prints.select("fp"), radius if radius < blocks else min(SURE, blocks - 1), blocks)
-    banded = fuzzy.select("fp", F.posexplode("bands")).select("fp", F.xxhash64("pos", "col").alias("bucket"))
-    near = connected_components(bucket_links(spread.union(banded), radius))
-    judged = settle(prints.join(near, prints.fp == near.node, "left").filter(
-        F.col("component").isNotNull() | (F.col("sharers") > 1)).select("fp", F.coalesce("component", "fp").alias("label")), "judged")
-    asked = settle(join_checked(fuzzy.drop("bands"), judged, "fp", "inner", 16).select("digest", "fp", "label", "first.*"), "asked")
-    sizes = asked.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    per_doc = settle(asked.join(sizes, "label").groupBy("doc_id").agg(
-        F.collect_list(F.struct("line", "digest", "fp", "label", "n")).alias("asked")), "per-doc")
+def line_texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked`` (doc_id, rid, line, digest, fp) as digest, fp, text: each line fetched from its document, once."""
+    per_doc = settle(asked.groupBy("doc_id", "rid").agg(F.collect_list(F.struct("line", "digest", "fp")).alias("asked")), "per-doc")
 
     def fetch(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        schema = pa.schema([("digest", pa.int64()), ("fp", pa.int64()), ("label", pa.int64()), ("n", pa.int64()), ("text", pa.string())])
+        schema = pa.schema([("digest", pa.int64()), ("fp", pa.int64()), ("text", pa.string())])
         for batch in batches:
             for row in range(batch.num_rows):
                 text, asked = (c[0].as_py() for c in batch.slice(row, 1).columns)
                 parts = text.encode().lower().split(b"\n")
-                out = [(a["digest"], a["fp"], a["label"], a["n"], b" ".join(parts[a["line"]].split()).decode()) for a in asked]
+                out = [(a["digest"], a["fp"], b" ".join(parts[a["line"]].split()).decode()) for a in asked]
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*out), schema)], schema=schema)
 
-    texts = join_checked(docs.select(F.col("doc_id").cast("long"), "text"), per_doc, "doc_id", "inner",
-                         "24 + 36 * cast(size(asked) as bigint)")
-    fetched = texts.select("text", "asked").mapInArrow(fetch, "digest long, fp long, label long, n long, text string")
-    # As for fingerprints: a large group is cut into chunks, and each pair of chunks meets.
-    parts = F.ceil(F.col("n") / CHUNK).cast("int")
-    own = F.pmod(F.hash("digest"), parts)
-    units = F.when(parts == 1, F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))).otherwise(
-        F.transform(F.filter(F.sequence(F.lit(0), parts - 1), lambda c: c != own),
-                    lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y"))))
-    placed = fetched.select("digest", "fp", "text", "label", F.explode(units).alias("u")).select(
-        F.xxhash64("label", "u.x", "u.y").alias("unit"), "digest", "fp", "text")
+    texts = join_checked(docs.select(F.col("doc_id").cast("long"), row_id(), "text"), per_doc, ["doc_id", "rid"], "inner",
+                         "32 + 20 * cast(size(asked) as bigint)")
+    # Rows that repeat doc_id and text answer alike.
+    return texts.select("text", "asked").mapInArrow(fetch, "digest long, fp long, text string").dropDuplicates(["digest"])
+
+
+def _check_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """``pairs`` (a, b: prints) with the digests da, db of their first lines and whether those are similar."""
+    def check(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            held = [edit_similar(x, y, similarity) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(held, pa.bool_())], names=["a", "b", "da", "db", "held"])
+
+    first = texts.filter("lead")
+    left = first.select(F.col("fp").alias("a"), F.col("digest").alias("da"), F.col("text").alias("ta"))
+    right = first.select(F.col("fp").alias("b"), F.col("digest").alias("db"), F.col("text").alias("tb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "da", "db", "ta", "tb").mapInArrow(
+        check, "a long, b long, da long, db long, held boolean")
+
+
+def _ask_again(members: DataFrame, texts: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Links (a, b: digests) among the members (fp, place) of places, by texts (digest, fp, text, label)."""
+    held = members.join(texts.select("fp", "digest", "label"), "fp")
+    split = held.groupBy("place").agg(
+        (F.min("label") < F.max("label")).alias("apart"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.count(F.lit(1)).alias("n"))
+    # Places with the same members are asked once.
+    places = settle(split.filter("apart").groupBy("x", "n").agg(F.min("place").alias("place")).select("place"), "places")
+    named = settle(join_checked(held, places, "place", "left_semi", 16).select("place", "digest"), "open-members")
+    placed = chunk_pairs(named, "place", "digest", CHUNK).select("unit", "digest").join(texts, "digest")
 
     def verify(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         def close(members):
-            links = verified(np.array([m[1] for m in members]), [m[2] for m in members], radius, similarity)
+            links = verified(np.array([m[1] for m in members]), [m[2] for m in members], [m[3] for m in members], radius, similarity)
             return pa.RecordBatch.from_arrays(
                 [pa.array([members[i][0] for i, _ in links], pa.int64()), pa.array([members[j][0] for _, j in links], pa.int64())],
                 names=["a", "b"])
@@ -249,17 +263,56 @@ def removals(
         if len(members) > 1:
             yield close(members)
 
-    width = shuffle_width(docs.sparkSession)
-    links = placed.repartition(width, "unit").sortWithinPartitions("unit", "digest").mapInArrow(verify, "a long, b long")
+    width = shuffle_width(texts.sparkSession)
+    return placed.select("unit", "digest", "fp", "text", "label").repartition(width, "unit").sortWithinPartitions(
+        "unit", "digest").mapInArrow(verify, "a long, b long")
+
+
+def removals(
+    docs: DataFrame, min_words: int = MIN_WORDS, radius: int = RADIUS, blocks: int = BLOCKS, similarity: float = SIMILARITY,
+    least_words: int = MIN_WORDS,
+) -> DataFrame:
+    """doc_id, rid, removed: the line numbers (from 0) that go, for documents that lose any."""
+    lines = settle(occurrences(docs, least_words, min_words), "lines")
+    distinct = settle(lines.groupBy("digest").agg(
+        F.min(F.struct("doc_id", "line", "rid")).alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands"),
+        F.count(F.lit(1)).alias("n")), "distinct")
+    fuzzy = distinct.filter(F.col("bands").isNotNull())
+    # A print stands for the line with its smallest digest; lines that share one are asked again below.
+    prints = settle(fuzzy.groupBy("fp").agg(F.count(F.lit(1)).alias("sharers"), F.min("digest").alias("lead")), "prints")
+    spread = block_buckets(prints.select("fp"), radius if radius < blocks else min(SURE, blocks - 1), blocks).union(
+        fuzzy.select("fp", F.posexplode("bands")).select("fp", F.xxhash64("pos", "col").alias("bucket")))
+    reported, large = bucket_spans(spread, radius)
+    reported = settle(reported, "reported")
+    pairs = settle(reported.select("a", "b").distinct(), "pairs")
+
+    linked = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().withColumn("linked", F.lit(True))
+    wanted = settle(prints.join(linked, "fp", "left").filter("linked OR sharers > 1").select("fp", "sharers", "lead"), "wanted")
+    asked = join_checked(fuzzy.select("digest", "fp", "first"), wanted.select("fp"), "fp", "inner", 16)
+    texts = settle(line_texts(docs, asked.select("digest", "fp", "first.*")).join(
+        wanted.select(F.col("lead").alias("digest"), F.lit(True).alias("is_lead")), "digest", "left").select(
+        "digest", "fp", "text", F.coalesce("is_lead", F.lit(False)).alias("lead")), "texts")
+    checked = settle(_check_pairs(pairs, texts, similarity), "checked")
+    sure = checked.filter("held").select(F.col("da").alias("a"), F.col("db").alias("b"))
+    labels = connected_components(sure)
+
+    shared = wanted.filter("sharers > 1").select("fp")
+    members = spread.select("fp", F.col("bucket").alias("place")).distinct().union(large).union(
+        shared.select("fp", F.col("fp").alias("place")))
+    failed = reported.join(checked.filter("not held").select("a", "b"), ["a", "b"]).select("place")
+    among = join_checked(members, settle(shared, "shared"), "fp", "left_semi", 16).select("place")
+    open_places = settle(failed.union(among).distinct(), "open-places")
+    labelled = settle(texts.join(labels, texts.digest == labels.node, "left").select(
+        "digest", "fp", "text", F.coalesce("component", "digest").alias("label")), "labelled")
+    links = sure.union(_ask_again(join_checked(members, open_places, "place", "left_semi", 16), labelled, radius, similarity))
     groups = connected_components(links)
+
     grouped = settle(distinct.join(groups, distinct.digest == groups.node, "left").select(
         "digest", F.coalesce("component", "digest").alias("grp"), "first", "n"), "grouped")
     keep = grouped.groupBy("grp").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).filter("total > 1")
-    decided = settle(grouped.join(keep, "grp").select(
-        "digest", F.col("keep.doc_id").alias("keep_doc"), F.col("keep.line").alias("keep_line")), "decided")
-    gone = join_checked(lines, decided, "digest", "inner", 24).filter(
-        (F.col("doc_id") != F.col("keep_doc")) | (F.col("line") != F.col("keep_line")))
-    return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("removed"))
+    decided = settle(grouped.join(keep, "grp").select("digest", "keep"), "decided")
+    gone = join_checked(lines, decided, "digest", "inner", 48).filter(F.struct("doc_id", "line", "rid") != F.col("keep"))
+    return gone.groupBy("doc_id", "rid").agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
 def drop_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -268,12 +321,12 @@ def drop_lines(docs: DataFrame, gone: DataFrame) -> DataFrame:
     ``row`` holds the input columns, so extra columns cannot clash. ``kept`` is the new text.
     """
     gone = settle(gone, "gone")
-    packed = docs.select("doc_id", F.struct("*").alias("row"))
+    packed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_id(), F.struct("*").alias("row"))
     lines = F.split(F.col("row.text"), "\n", -1)
     text = F.col("row.text")
     n = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     rest = F.array_except(F.sequence(F.lit(0), n - 1), F.col("removed"))
-    joined = join_checked(packed, gone, "doc_id", "left", "24 + 4 * cast(size(removed) as bigint)")
+    joined = join_checked(packed, gone, ["doc_id", "rid"], "left", "32 + 4 * cast(size(removed) as bigint)")
     return joined.select(
         "doc_id", "row",
         F.when(F.col("row.text").isNull(), 0).otherwise(n).cast("long").alias("n_lines"),

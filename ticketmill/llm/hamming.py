@@ -162,19 +162,25 @@ def block_buckets(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
 
 def bucket_links(spread: DataFrame, radius: int) -> DataFrame:
     """Links (a, b) that span, in every bucket of ``spread`` (fp, bucket), the groups within ``radius``."""
+    return bucket_spans(spread, radius)[0].select("a", "b")
+
+
+def bucket_spans(spread: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b, place) that span, in every bucket of ``spread`` (fp, bucket), the groups within ``radius``,
+    and the members (fp, place) of the places that large buckets are cut into; other places are buckets."""
     width = shuffle_width(spread.sparkSession)
 
     def links(values, groups):
         i, j = span(values.view("<u8"), groups, radius)
-        return values[i], values[j]
+        return values[i], values[j], groups[i]
 
     def meet(batches: Iterator) -> Iterator:
-        """Links of small buckets; members of large ones are handed on (bucket, fp)."""
+        """Links of small buckets; members of large ones are handed on (fp, fp, bucket)."""
         import numpy as np
 
         for values, groups, whole in runs(batches):
             if not whole:
-                yield record(groups, values, True)
+                yield record(values, values, groups, True)
                 continue
             starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
             size = np.repeat(np.diff(np.r_[starts, len(groups)]), np.diff(np.r_[starts, len(groups)]))
@@ -182,34 +188,39 @@ def bucket_links(spread: DataFrame, radius: int) -> DataFrame:
             if few.any():
                 yield record(*links(values[few], groups[few]), False)
             if many.any():
-                yield record(groups[many], values[many], True)
+                yield record(values[many], values[many], groups[many], True)
 
     def compare(batches: Iterator) -> Iterator:
         for values, groups, _ in runs(batches, limit=None):
             yield record(*links(values, groups), False)
 
-    met = settle(spread.repartition(width, "bucket").sortWithinPartitions("bucket", "fp").mapInArrow(
-        meet, "a long, b long, large boolean"), "met")
-    large = met.filter("large").select(F.col("a").alias("bucket"), F.col("b").alias("fp"))
-    counts = large.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    parts = F.ceil(F.col("n") / CHUNK).cast("int")
-    own = F.pmod(F.hash("fp"), parts)
-    units = F.transform(
+    form = "a long, b long, place long, large boolean"
+    met = settle(spread.select("fp", "bucket").repartition(width, "bucket").sortWithinPartitions("bucket", "fp").mapInArrow(
+        meet, form), "met")
+    large = met.filter("large").select(F.col("a").alias("fp"), F.col("place").alias("bucket"))
+    placed = chunk_pairs(large, "bucket", "fp", CHUNK).select("fp", F.col("unit").alias("place"))
+    rest = placed.repartition(width, "place").sortWithinPartitions("place", "fp").mapInArrow(compare, form)
+    return met.filter("not large").union(rest).drop("large"), placed
+
+
+def chunk_pairs(members: DataFrame, group: str, member: str, chunk: int) -> DataFrame:
+    """``members`` with ``unit``: each group larger than ``chunk`` is cut, and every two chunks of it meet in a unit."""
+    counts = members.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / chunk).cast("int")
+    own = F.pmod(F.hash(member), parts)
+    units = F.when(parts == 1, F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))).otherwise(F.transform(
         F.filter(F.sequence(F.lit(0), parts - 1), lambda c: c != own),
-        lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y")),
-    )
-    placed = large.join(counts, "bucket").select("fp", "bucket", F.explode(units).alias("u")).select(
-        "fp", F.xxhash64("bucket", "u.x", "u.y").alias("unit"))
-    rest = placed.repartition(width, "unit").sortWithinPartitions("unit", "fp").mapInArrow(
-        compare, "a long, b long, large boolean")
-    return met.filter("not large").union(rest).select("a", "b")
+        lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y"))))
+    return members.join(counts, group).select(*members.columns, F.explode(units).alias("_u")).select(
+        *members.columns, F.xxhash64(group, "_u.x", "_u.y").alias("unit"))
 
 
-def record(a, b, large: bool):
+def record(a, b, place, large: bool):
     import numpy as np
     import pyarrow as pa
 
-    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), large))], names=["a", "b", "large"])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a), pa.array(b), pa.array(place), pa.array(np.full(len(a), large))], names=["a", "b", "place", "large"])
 
 
 def runs(batches: Iterator, limit: int | None = 200_000, rows: int = 50_000) -> Iterator:

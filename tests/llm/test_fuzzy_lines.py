@@ -4,8 +4,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ticketmill.llm import fuzzy_lines, hamming
-from ticketmill.llm.substrings import WordHashes
+from ticketmill.llm import fuzzy_lines
 
 
 def distance(a, b):
@@ -24,6 +23,40 @@ def test_edit_similarity(a, b, similarity):
     assert fuzzy_lines.edit_similar(a, b, similarity) == (distance(a, b) <= limit)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "bb", "cc dd", "e", "é"]), max_size=8), max_size=6))
+def test_prints_do_not_depend_on_what_stands_around(lines):
+    text = "\n".join(" \t".join(x) for x in lines).encode() + b"\n"
+    number, words, digest, prints, keys = fuzzy_lines.prints_of(text)
+    want = [(k, x.split()) for k, x in enumerate(text.split(b"\n")) if x.split()]
+    assert number.tolist() == [k for k, _ in want] and words.tolist() == [len(w) for _, w in want]
+    for i, (_, w) in enumerate(want):
+        alone = fuzzy_lines.prints_of(b"\n \n" + b" ".join(w) + b"\n")
+        assert (alone[2][0], alone[3][0], alone[4][0].tolist()) == (digest[i], prints[i], keys[i].tolist())
+    same = {}
+    assert all(same.setdefault(d, w) == w for d, (_, w) in zip(digest.tolist(), want))
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 255), min_size=1, max_size=40), st.integers(1, 6), st.integers(0, 4))
+def test_near_trees(values, width, radius):
+    values = np.array(values, np.int64)
+    groups = np.sort(np.arange(len(values)) // width)
+    parent, root = fuzzy_lines.near_trees(values, groups, radius)
+    up = list(range(len(values)))
+
+    def find(x):
+        return x if up[x] == x else find(up[x])
+
+    for i in range(len(values)):
+        for j in range(i):
+            if groups[i] == groups[j] and np.bitwise_count(values[i] ^ values[j]) <= radius:
+                up[max(find(i), find(j))] = min(find(i), find(j))
+    assert [find(i) for i in range(len(values))] == [find(i) for i in root.tolist()]
+    assert len(set(root.tolist())) == len({find(i) for i in range(len(values))})
+    assert all(p == i and root[i] == i or np.bitwise_count(values[p] ^ values[i]) <= radius for i, p in enumerate(parent.tolist()))
+
+
 def brute(rows, radius, similarity, min_words):
     """Kept lines by document, from all pairs of lines."""
     lines = []
@@ -31,7 +64,7 @@ def brute(rows, radius, similarity, min_words):
         for k, line in enumerate((text or "").split("\n")):
             words = line.encode().lower().split()
             if len(words) >= min_words and doc_id is not None:
-                print_ = fuzzy_lines.line_prints([words], WordHashes())[1][0]
+                print_ = fuzzy_lines.prints_of(b" ".join(words) + b"\n")[3][0]
                 lines.append((doc_id, k, b" ".join(words).decode(), print_))
     lines.sort(key=lambda x: x[:2])
     up = list(range(len(lines)))
@@ -106,9 +139,9 @@ def test_production_setting_against_all_pairs(spark, monkeypatch):
     assert all(want[d] == "" for d in got if got[d] == "")  # nothing that all pairs would keep is lost
     lost = [d for d in want if want[d] == ""]
     missed = [d for d in lost if got[d] != ""]
-    assert len(lost) > 60 and len(missed) <= 0.03 * len(lost)
+    # Up to a sixth of the words and one more are new here, the far end of what the band keys reach.
+    assert len(lost) > 60 and len(missed) <= 0.1 * len(lost)
     monkeypatch.setattr(fuzzy_lines, "CHUNK", 5)
-    monkeypatch.setattr(hamming, "CHUNK", 7)
     assert {r["doc_id"]: r["kept"] for r in fuzzy_lines.drop_lines(docs, fuzzy_lines.removals(docs)).collect()} == got
 
 

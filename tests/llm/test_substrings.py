@@ -61,3 +61,24 @@ def test_periodic_text_and_empty_table(spark):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substrings.remove_repeats(docs).collect()}
     assert got[2] == (61, 60, "b") and got[1][1] == 0
     assert substrings.remove_repeats(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("shard_runs", [1, 500])
+def test_repeated_doc_ids(spark, shard_runs):
+    rng = random.Random(21)
+    w = " ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(30))
+    near = w.split()[:24] + ["other"] + w.split()[25:]
+    rows = [(1, w), (2, w), (2, "short"), (2, None), (3, " ".join(near)), (3, w), (3, w), (4, "x " + w), (4, " ".join(near) + " y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS rid", "2 AS start", "'x' AS spans").drop("rid")
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in substrings.remove_repeats(docs, 10, 4, shard_runs).collect()), key=str)
+    first = {}
+    for doc_id, text in sorted(rows, key=lambda r: r[0]):
+        words = (text or "").split()
+        for i in range(len(words) - 9):
+            first.setdefault(tuple(words[i:i + 10]), doc_id)
+    want = []
+    for doc_id, text in rows:
+        words = (text or "").split()
+        gone = {k for i in range(len(words) - 9) if first[tuple(words[i:i + 10])] < doc_id for k in range(i, i + 10)}
+        want.append((doc_id, len(words), len(gone), " ".join(x for i, x in enumerate(words) if i not in gone)))
+    assert got == sorted(want, key=str)

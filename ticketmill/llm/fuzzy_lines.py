@@ -27,6 +27,7 @@ kept under ``row``, whatever their names. Long texts are read whole, in stretche
 
 from __future__ import annotations
 
+import os.path
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -34,8 +35,8 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm.common import join_checked, settle, shuffle_width
 from ticketmill.llm.components import connected_components
-from ticketmill.llm.hamming import CHUNK, block_buckets, bucket_spans, chunk_pairs
-from ticketmill.llm.substrings import _ODD, WordHashes, mix
+from ticketmill.llm.hamming import CHUNK, block_buckets, runs
+from ticketmill.llm.substrings import _ODD, mix, stretches
 
 MIN_WORDS = 5
 RADIUS = 20
@@ -43,48 +44,90 @@ SURE = 3
 BLOCKS = 5
 BANDS = 12
 SIMILARITY = 0.8
-WORDS_AT_ONCE = 1 << 17
+BYTES_AT_ONCE = 1 << 20
+SEGMENTS = 1024
 LETTER_BINS = 64
 STRETCH = 120
 
 
-def line_prints(lines: list[list[bytes]], hashes: WordHashes):
-    """(digest, SimHash, band keys) of normalised lines given as words; every line has a word."""
+def _powers(n: int):
+    """Powers of the odd multiplier and their inverses, kept for the next call."""
     import numpy as np
-    import xxhash
 
-    digest = np.array([xxhash.xxh64_intdigest(b" ".join(x)) for x in lines], "<u8").view("<i8")
+    if n > len(_POWERS[0]):
+        for k, base in enumerate((_ODD, pow(_ODD, -1, 1 << 64))):
+            _POWERS[k] = np.cumprod(np.r_[np.uint64(1), np.full(2 * n, base, np.uint64)], dtype=np.uint64)
+    return _POWERS
+
+
+_POWERS: list = [(), ()]
+
+
+def prints_of(text: bytes):
+    """Lines of a lowered text (each ended by a newline) that hold a word: number, words, digest, SimHash, band keys.
+
+    All words of all lines are cut, hashed and summed as arrays; nothing runs word by word.
+    """
+    import numpy as np
+
+    data = np.frombuffer(text, np.uint8)
+    is_word = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    turns = np.flatnonzero(np.diff(np.r_[False, is_word].view(np.int8)))
+    begin, end = turns[::2], turns[1::2]
+    if not len(begin):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none, np.zeros((0, BANDS), np.int32)
+    # A word's hash is its bytes as digits, by differences of a running sum.
+    powers, back = _powers(len(data))
+    sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:len(data)], dtype=np.uint64)
+    h = mix((sums[end - 1] - np.where(begin > 0, sums[begin - 1], np.uint64(0))) * back[begin])
+    line = np.searchsorted(np.flatnonzero(data == 10), begin)
+    first = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+    words = np.diff(np.r_[first, len(line)])
+    digest = stretches(h, first, first + words).view(np.int64)
+    length = np.add.reduceat(end - begin, first) + words
     # Each word once, in order of appearance, so that pairs of neighbours are different too.
-    once = [list(dict.fromkeys(x)) for x in lines]
-    sizes = np.array([len(x) for x in once])
-    h = hashes.of([w for x in once for w in x])
-    starts = np.cumsum(sizes) - sizes
+    once = np.unique(mix(h + line.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), return_index=True)[1]
+    once.sort()
+    h, line_once = h[once], line[once]
+    starts = np.flatnonzero(np.r_[True, line_once[1:] != line_once[:-1]])
+    sizes = np.diff(np.r_[starts, len(h)])
     pairs = np.r_[mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]), np.uint64(0)]
-    bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    pair_bits = np.unpackbits(pairs.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    pair_bits[starts[1:] - 1] = 0  # pairs across lines
-    pair_bits[-1] = 0
-    bits += pair_bits
-    # Eight one-byte counters are added at a time, over stretches too short to overflow them.
-    stretches = -(-sizes // STRETCH)
-    first = np.cumsum(stretches) - stretches
-    begins = np.repeat(starts, stretches) + STRETCH * (np.arange(stretches.sum()) - np.repeat(first, stretches))
-    partial = np.add.reduceat(bits.view("<u8"), begins, axis=0).view(np.uint8)
-    total = np.add.reduceat(partial, first, axis=0, dtype=np.int32)
-    prints = np.packbits(total * 2 > (2 * sizes - 1)[:, None], axis=1, bitorder="little").view("<i8").ravel()
-    prints = prints & np.int64(0x7FFFFFFFFFFFFFFF)  # 63 bits: numpy counts the bits of a signed number's absolute value
-    ends = starts + sizes - 1
-    keys = np.empty((len(lines), BANDS), np.uint32)
+    ends = starts + sizes - 1  # where a pair would reach into the next line
+    prints = _majority(h, pairs, starts, sizes, ends)
+    keys = np.empty((len(first), BANDS), np.uint32)
     # Classes of length, in two grids half a class apart: what may be similar is parted in one of them at most.
-    steps = np.log([sum(map(len, x)) + len(x) for x in lines]) / (2 * np.log(1 / SIMILARITY))
+    steps = np.log(length) / (2 * np.log(1 / SIMILARITY))
     for k in range(BANDS):
         odd = np.uint64(0xD6E8FEB86659FD93 + 2 * k)
         least_pair = mix(pairs * odd)
-        least_pair[ends] = np.uint64(0xFFFFFFFFFFFFFFFF)  # pairs across lines
+        least_pair[ends] = np.uint64(0xFFFFFFFFFFFFFFFF)
         least_word = np.minimum.reduceat(mix(h * odd), starts)
         keys[:, k] = mix(np.minimum.reduceat(least_pair, starts) * np.uint64(_ODD) + least_word
                          + (steps + k % 2 / 2).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    return digest, prints, keys.view("<i4")
+    return line[first], words, digest, prints, keys.view(np.int32)
+
+
+def _majority(h, pairs, starts, sizes, ends):
+    """SimHashes: the bits that over half of a line's word and pair hashes have."""
+    import numpy as np
+
+    # Eight one-byte counters are added at a time, over segments too short to overflow them.
+    segments = -(-sizes // STRETCH)
+    first = np.cumsum(segments) - segments
+    begins = np.repeat(starts, segments) + STRETCH * (np.arange(segments.sum()) - np.repeat(first, segments))
+    across = np.zeros(len(h), bool)
+    across[ends] = True
+    partial = []
+    for k in range(0, len(begins), SEGMENTS):
+        low, high = begins[k], begins[k + SEGMENTS] if k + SEGMENTS < len(begins) else len(h)
+        bits, more = (np.unpackbits(x[low:high].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") for x in (h, pairs))
+        more[across[low:high]] = 0
+        bits += more
+        partial.append(np.add.reduceat(bits.view("<u8"), begins[k:k + SEGMENTS] - low, axis=0).view(np.uint8))
+    total = np.add.reduceat(np.concatenate(partial), first, axis=0, dtype=np.int32)
+    prints = np.packbits(total * 2 > (2 * sizes - 1)[:, None], axis=1, bitorder="little").view("<i8").ravel()
+    return prints & np.int64(0x7FFFFFFFFFFFFFFF)  # 63 bits: numpy counts the bits of a signed number's absolute value
 
 
 def occurrences(docs: DataFrame, least_words: int = MIN_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
@@ -93,34 +136,35 @@ def occurrences(docs: DataFrame, least_words: int = MIN_WORDS, min_words: int =
         import numpy as np
         import pyarrow as pa
 
-        hashes = WordHashes()
-
-        def emit(ids, rids, numbers, lines):
-            digest, prints, keys = line_prints(lines, hashes)
-            long = np.array([len(x) >= min_words for x in lines])
+        def emit(ids, rids, texts):
+            number, words, digest, prints, keys = prints_of(b"\n".join(texts) + b"\n")
+            offset = np.cumsum([0] + [t.count(b"\n") + 1 for t in texts])
+            judged = words >= max(1, least_words)
+            number, words, digest, prints, keys = (x[judged] for x in (number, words, digest, prints, keys))
+            row = np.searchsorted(offset, number, side="right") - 1
+            long = words >= min_words
             bands = pa.ListArray.from_arrays(
                 pa.array(np.r_[0, np.cumsum(long * BANDS)], pa.int32(), mask=np.r_[~long, False]), pa.array(keys[long].ravel()))
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(rids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digest), pa.array(prints), bands],
+                [pa.array(np.array(ids, np.int64)[row]), pa.array(np.array(rids, np.int64)[row]),
+                 pa.array((number - offset[row]).astype(np.int32)), pa.array(digest), pa.array(prints), bands],
                 names=["doc_id", "rid", "line", "digest", "fp", "bands"])
 
         for batch in batches:
-            ids, rids, numbers, lines, held = [], [], [], [], 0
+            ids, rids, texts, held = [], [], [], 0
             for doc_id, rid, text in zip(*batch.columns):
-                doc_id, rid, text = doc_id.as_py(), rid.as_py(), text.as_py()
-                for k, line in enumerate((text or "").encode().lower().split(b"\n")):
-                    words = line.split()
-                    if words and len(words) >= least_words:
-                        ids.append(doc_id)
-                        rids.append(rid)
-                        numbers.append(k)
-                        lines.append(words)
-                        held += len(words)
-                    if held >= WORDS_AT_ONCE:
-                        yield emit(ids, rids, numbers, lines)
-                        ids, rids, numbers, lines, held = [], [], [], [], 0
-            if lines:
-                yield emit(ids, rids, numbers, lines)
+                text = text.as_py()
+                if not text:
+                    continue
+                ids.append(doc_id.as_py())
+                rids.append(rid.as_py())
+                texts.append(text.encode().lower())
+                held += len(texts[-1])
+                if held >= BYTES_AT_ONCE:
+                    yield emit(ids, rids, texts)
+                    ids, rids, texts, held = [], [], [], 0
+            if texts:
+                yield emit(ids, rids, texts)
 
     return docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), row_id(), "text").mapInArrow(
         run, "doc_id long, rid long, line int, digest long, fp long, bands array<int>")
@@ -135,13 +179,12 @@ def edit_similar(a: str, b: str, similarity: float) -> bool:
     limit = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
     if abs(len(a) - len(b)) > limit:
         return False
-    i, top = 0, min(len(a), len(b))
-    while i < top and a[i] == b[i]:
-        i += 1
-    j = 0
-    while j < top - i and a[-1 - j] == b[-1 - j]:
-        j += 1
-    a, b = a[i:len(a) - j], b[i:len(b) - j]
+    if closely_worded(a, b, limit):
+        return True
+    i = len(os.path.commonprefix([a, b]))
+    a, b = a[i:], b[i:]
+    i = len(os.path.commonprefix([a[::-1], b[::-1]]))
+    a, b = a[:len(a) - i], b[:len(b) - i]
     if max(len(a), len(b)) <= limit:
         return True
     if not a or not b:
@@ -167,6 +210,135 @@ def edit_similar(a: str, b: str, similarity: float) -> bool:
     return distance <= limit
 
 
+def near_trees(values, groups, radius: int):
+    """For every member of a group of consecutive members: the one it was found near, and its root (indices).
+
+    Each connected group within the radius gets a tree whose links are near pairs themselves. All
+    groups are searched at once, one member of each a round; a group ends when all its members are found.
+    """
+    import numpy as np
+
+    n = len(values)
+    parent, root, state = np.arange(n), np.arange(n), np.zeros(n, np.int8)  # 0 not found, 1 waiting, 2 searched from
+    rows = np.arange(n)
+    while len(rows):
+        g = groups[rows]
+        starts = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+        sizes = np.diff(np.r_[starts, len(rows)])
+        # Waiting members first, then the first that is not found yet, which is a root.
+        turn = np.where(state[rows] == 1, 0, n) + np.arange(len(rows))
+        seeds = rows[np.minimum.reduceat(turn, starts) % n]
+        state[seeds] = 2
+        seed = np.repeat(seeds, sizes)
+        found = rows[(state[rows] == 0) & (np.bitwise_count(values[rows] ^ values[seed]) <= radius)]
+        by = seed[np.searchsorted(rows, found)]
+        parent[found], root[found], state[found] = by, root[by], 1
+        open_ = np.add.reduceat(state[rows] == 0, starts, dtype=np.int64)
+        waiting = np.add.reduceat(state[rows] == 1, starts, dtype=np.int64)
+        going = np.repeat((open_ > 1) | ((open_ == 1) & (waiting > 0)), sizes)
+        rows = rows[going & (state[rows] < 2)]
+    return parent, root
+
+
+def bucket_groups(spread: DataFrame, radius: int) -> DataFrame:
+    """unit, fp, near: members of the groups of two or more within ``radius`` in every bucket of ``spread`` (fp, bucket).
+
+    A unit is one such group; each member but one was found ``near`` another, at most ``radius`` bits off.
+    Buckets beyond ``CHUNK`` are cut, and every two chunks meet in a task.
+    """
+    import numpy as np
+
+    width = shuffle_width(spread.sparkSession)
+    form = "unit long, fp long, near long, large boolean"
+
+    def close(values, groups):
+        import pyarrow as pa
+
+        parent, root = near_trees(values, groups, radius)
+        together = np.zeros(len(values), bool)
+        together[root[root != np.arange(len(values))]] = True
+        together |= root != np.arange(len(values))
+        unit = mix(groups.view(np.uint64) * np.uint64(_ODD) + values[root].view(np.uint64)).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(unit[together]), pa.array(values[together]), pa.array(values[parent][together]), pa.array(np.zeros(together.sum(), bool))],
+            names=["unit", "fp", "near", "large"])
+
+    def hand_on(values, groups):
+        import pyarrow as pa
+
+        return pa.RecordBatch.from_arrays(
+            [pa.array(groups), pa.array(values), pa.array(values), pa.array(np.ones(len(values), bool))], names=["unit", "fp", "near", "large"])
+
+    def meet(batches: Iterator) -> Iterator:
+        for values, groups, whole in runs(batches):
+            if not whole:
+                yield hand_on(values, groups)
+                continue
+            starts = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
+            size = np.repeat(np.diff(np.r_[starts, len(groups)]), np.diff(np.r_[starts, len(groups)]))
+            few, many = (size > 1) & (size <= CHUNK), size > CHUNK
+            if few.any():
+                yield close(values[few], groups[few])
+            if many.any():
+                yield hand_on(values[many], groups[many])
+
+    def compare(batches: Iterator) -> Iterator:
+        for values, groups, _ in runs(batches, limit=None):
+            yield close(values, groups)
+
+    met = settle(spread.select("fp", "bucket").repartition(width, "bucket").sortWithinPartitions("bucket", "fp").mapInArrow(
+        meet, form), "met")
+    large = met.filter("large").select("fp", F.col("unit").alias("bucket"))
+    rest = chunk_pairs(large, "bucket", "fp", CHUNK).select("fp", "unit").repartition(width, "unit").sortWithinPartitions(
+        "unit", "fp").mapInArrow(compare, form)
+    return met.filter("not large").union(rest).drop("large")
+
+
+def chunk_pairs(members: DataFrame, group: str, member: str, chunk: int) -> DataFrame:
+    """``members`` with ``unit``: each group larger than ``chunk`` is cut, and every two chunks of it meet in a unit."""
+    counts = members.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / chunk).cast("int")
+    own = F.pmod(F.hash(member), parts)
+    units = F.when(parts == 1, F.array(F.struct(F.lit(0).alias("x"), F.lit(0).alias("y")))).otherwise(F.transform(
+        F.filter(F.sequence(F.lit(0), parts - 1), lambda c: c != own),
+        lambda c: F.struct(F.least(c, own).alias("x"), F.greatest(c, own).alias("y"))))
+    return members.join(counts, group).select(*members.columns, F.explode(units).alias("_u")).select(
+        *members.columns, F.xxhash64(group, "_u.x", "_u.y").alias("unit"))
+
+
+def closely_worded(a: str, b: str, limit: int) -> bool:
+    """Whether an edit script of whole words, found in one walk over both, needs at most ``limit`` edits."""
+    x, y, i, j, cost = a.split(" "), b.split(" "), 0, 0, 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            i, j = i + 1, j + 1
+            continue
+        if i + 1 < len(x) and x[i + 1] == y[j]:
+            cost, i = cost + len(x[i]) + 1, i + 1
+        elif j + 1 < len(y) and x[i] == y[j + 1]:
+            cost, j = cost + len(y[j]) + 1, j + 1
+        else:
+            cost, i, j = cost + max(len(x[i]), len(y[j])), i + 1, j + 1
+        if cost > limit:
+            return False
+    return cost + sum(len(w) + 1 for w in x[i:]) + sum(len(w) + 1 for w in y[j:]) <= limit
+
+
+def letters(text: str):
+    """How often code points of each of ``LETTER_BINS`` classes stand in a text."""
+    import numpy as np
+
+    return np.bincount(np.frombuffer(text.encode("utf-32-le"), "<u4") % LETTER_BINS, minlength=LETTER_BINS)
+
+
+def may_be_similar(a: str, b: str, similarity: float) -> bool:
+    """False if the letter counts alone need more edits than ``similarity`` allows: an edit moves at most two of them."""
+    import numpy as np
+
+    limit = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+    return abs(len(a) - len(b)) <= limit and int(np.abs(letters(a) - letters(b)).sum() + 1) // 2 <= limit
+
+
 def verified(prints, texts: list[str], labels: list[int], radius: int, similarity: float) -> list[tuple[int, int]]:
     """Spanning links among members of a unit; members already connected, as equal labels are, are not compared again."""
     import numpy as np
@@ -177,7 +349,7 @@ def verified(prints, texts: list[str], labels: list[int], radius: int, similarit
     # Letter counts bound the distance from below: an edit moves at most two of them.
     counts = np.zeros((len(texts), LETTER_BINS), np.int32)
     for i, text in enumerate(texts):
-        counts[i] = np.bincount(np.frombuffer(text.encode("utf-32-le"), "<u4") % LETTER_BINS, minlength=LETTER_BINS)
+        counts[i] = letters(text)
     sizes = np.array([len(t) for t in texts])
     limits = (1 - similarity) * sizes + 1e-9
     for i in range(1, len(texts)):
@@ -222,7 +394,8 @@ def _check_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataF
         import pyarrow as pa
 
         for batch in batches:
-            held = [edit_similar(x, y, similarity) for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
+            held = [may_be_similar(x, y, similarity) and edit_similar(x, y, similarity)
+                    for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(held, pa.bool_())], names=["a", "b", "da", "db", "held"])
 
     first = texts.filter("lead")
@@ -233,13 +406,13 @@ def _check_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataF
 
 
 def _ask_again(members: DataFrame, texts: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """Links (a, b: digests) among the members (fp, place) of places, by texts (digest, fp, text, label)."""
+    """Links (a, b: digests) among the members (unit, fp) of units, by texts (digest, fp, text, label)."""
     held = members.join(texts.select("fp", "digest", "label"), "fp")
-    split = held.groupBy("place").agg(
+    split = held.groupBy("unit").agg(
         (F.min("label") < F.max("label")).alias("apart"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.count(F.lit(1)).alias("n"))
-    # Places with the same members are asked once.
-    places = settle(split.filter("apart").groupBy("x", "n").agg(F.min("place").alias("place")).select("place"), "places")
-    named = settle(join_checked(held, places, "place", "left_semi", 16).select("place", "digest"), "open-members")
+    # Units with the same members are asked once.
+    units = settle(split.filter("apart").groupBy("x", "n").agg(F.min("unit").alias("unit")).select("unit"), "units")
+    named = settle(join_checked(held, units, "unit", "left_semi", 16).select(F.col("unit").alias("place"), "digest"), "open-members")
     placed = chunk_pairs(named, "place", "digest", CHUNK).select("unit", "digest").join(texts, "digest")
 
     def verify(batches: Iterator) -> Iterator:
@@ -282,9 +455,9 @@ def removals(
     prints = settle(fuzzy.groupBy("fp").agg(F.count(F.lit(1)).alias("sharers"), F.min("digest").alias("lead")), "prints")
     spread = block_buckets(prints.select("fp"), radius if radius < blocks else min(SURE, blocks - 1), blocks).union(
         fuzzy.select("fp", F.posexplode("bands")).select("fp", F.xxhash64("pos", "col").alias("bucket")))
-    reported, large = bucket_spans(spread, radius)
-    reported = settle(reported, "reported")
-    pairs = settle(reported.select("a", "b").distinct(), "pairs")
+    members = settle(bucket_groups(spread, radius), "members")
+    pairs = settle(members.filter("fp <> near").select(
+        F.least("fp", "near").alias("a"), F.greatest("fp", "near").alias("b")).distinct(), "pairs")
 
     linked = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().withColumn("linked", F.lit(True))
     wanted = settle(prints.join(linked, "fp", "left").filter("linked OR sharers > 1").select("fp", "sharers", "lead"), "wanted")
@@ -296,15 +469,16 @@ def removals(
     sure = checked.filter("held").select(F.col("da").alias("a"), F.col("db").alias("b"))
     labels = connected_components(sure)
 
-    shared = wanted.filter("sharers > 1").select("fp")
-    members = spread.select("fp", F.col("bucket").alias("place")).distinct().union(large).union(
-        shared.select("fp", F.col("fp").alias("place")))
-    failed = reported.join(checked.filter("not held").select("a", "b"), ["a", "b"]).select("place")
-    among = join_checked(members, settle(shared, "shared"), "fp", "left_semi", 16).select("place")
-    open_places = settle(failed.union(among).distinct(), "open-places")
+    # Asked again: units with a link that fails, and those with a print that several lines share.
+    shared = settle(wanted.filter("sharers > 1").select("fp"), "shared")
+    failed = checked.filter("not held").select("a", "b")
+    broken = members.withColumns({"a": F.least("fp", "near"), "b": F.greatest("fp", "near")}).join(failed, ["a", "b"]).select("unit")
+    open_units = settle(broken.union(join_checked(members, shared, "fp", "left_semi", 16).select("unit")).distinct(), "open-units")
+    again = join_checked(members.select("unit", "fp"), open_units, "unit", "left_semi", 16).union(
+        shared.select(F.col("fp").alias("unit"), "fp"))
     labelled = settle(texts.join(labels, texts.digest == labels.node, "left").select(
         "digest", "fp", "text", F.coalesce("component", "digest").alias("label")), "labelled")
-    links = sure.union(_ask_again(join_checked(members, open_places, "place", "left_semi", 16), labelled, radius, similarity))
+    links = sure.union(_ask_again(again, labelled, radius, similarity))
     groups = connected_components(links)
 
     grouped = settle(distinct.join(groups, distinct.digest == groups.node, "left").select(

@@ -16,8 +16,11 @@ pass every shard; here the corpus is cut so that each window can only match in o
 4. A hash with more than ``SHARD_RUNS`` different runs (what surrounds a passage that very
    many documents share) is cut finer: by the hash of each whole window, met in an aggregate.
 
-Null and short texts lose nothing. ``doc_id`` is a key; a row without one neither takes nor
-gives. Hashes have 64 bits; runs meet on two of them, windows in a shard word by word.
+Null and short texts lose nothing, an empty table gives no rows. A row without a doc_id neither takes
+nor gives. Rows that repeat a doc_id are each judged by their own text, and take nothing from each other,
+since neither doc_id is the smaller; windows that repeat inside one document stay. Extra columns are
+ignored, whatever their names; long texts are read whole. Hashes have 64 bits; runs meet on two of them
+(2), whole windows of crowded hashes on one (4), windows in a shard word by word.
 """
 
 from __future__ import annotations
@@ -164,6 +167,11 @@ def spans(places) -> list[int]:
     return np.stack([places[np.r_[0, cut + 1]], places[np.r_[cut, len(places) - 1]] + 1], 1).ravel().tolist()
 
 
+def row_id():
+    """Tells rows of one doc_id apart by their texts."""
+    return F.xxhash64("text").alias("rid")
+
+
 def _all_runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
     def cut(batches: Iterator) -> Iterator:
         import numpy as np
@@ -173,40 +181,41 @@ def _all_runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 some = batch.slice(at, 200)
-                ids, parts = [], []
-                for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist()):
+                ids, rids, parts = [], [], []
+                for doc_id, rid, text in zip(*(c.to_pylist() for c in some.columns)):
                     words = (text or "").encode().split()
                     if len(words) >= window:
                         parts.append(runs(hashes.of(words), window, gram))
                         ids.append(np.full(len(parts[-1][0]), doc_id))
+                        rids.append(np.full(len(parts[-1][0]), rid))
                 if ids:
                     mh, cd, start, n = (np.concatenate(c) for c in zip(*parts))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(mh.view("<i8")), pa.array(cd.view("<i8")), pa.array(np.concatenate(ids)),
-                         pa.array(start.astype("<i4")), pa.array(n.astype("<i4"))],
-                        names=["mh", "cd", "doc_id", "start", "n"])
+                         pa.array(np.concatenate(rids)), pa.array(start.astype("<i4")), pa.array(n.astype("<i4"))],
+                        names=["mh", "cd", "doc_id", "rid", "start", "n"])
 
-    return docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        cut, "mh long, cd long, doc_id long, start int, n int")
+    return docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), row_id(), "text").mapInArrow(
+        cut, "mh long, cd long, doc_id long, rid long, start int, n int")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_runs: int = SHARD_RUNS) -> DataFrame:
-    """doc_id, spans: flat pairs [first word, past last word) to remove, unsorted and overlapping."""
+    """doc_id, rid, spans: flat pairs [first word, past last word) to remove, unsorted and overlapping."""
     every = settle(_all_runs(docs, window, gram), "runs")
     shared = every.groupBy("mh").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
     shared = settle(shared.select("mh"), "shared")
     live = settle(join_checked(every, shared, "mh", "left_semi", 16), "live")
     content = settle(live.groupBy("mh", "cd").agg(
-        F.min(F.struct("doc_id", "start", "n")).alias("first"), F.max("doc_id").alias("hi")), "content")
+        F.min(F.struct("doc_id", "rid", "start", "n")).alias("first"), F.max("doc_id").alias("hi")), "content")
     later = content.filter(F.col("hi") > F.col("first.doc_id")).select("mh", "cd", F.col("first.doc_id").alias("lo"))
     whole = live.join(later, ["mh", "cd"]).filter(F.col("doc_id") > F.col("lo")).select(
-        "doc_id", F.array(F.col("start"), F.col("start") + F.col("n") + (window - 1)).alias("span"))
+        "doc_id", "rid", F.array(F.col("start"), F.col("start") + F.col("n") + (window - 1)).alias("span"))
 
     # First holders of different contents under one hash may still share windows.
     variety = content.groupBy("mh").agg(F.count(F.lit(1)).alias("variety")).filter("variety > 1")
     asked = content.join(variety, "mh").select(
         "mh", "cd", "first.*", (F.col("variety") > shard_runs).alias("finer"))
-    per_doc = settle(asked.groupBy("doc_id").agg(
+    per_doc = settle(asked.groupBy("doc_id", "rid").agg(
         F.collect_list(F.struct("mh", "cd", "start", "n", "finer")).alias("asked")), "asked")
 
     def fetch(batches: Iterator) -> Iterator:
@@ -231,9 +240,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sh
                     out.append((a["mh"], a["cd"], doc_id, *held))
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*out), schema)], schema=schema)
 
-    # A doc_id is a key, so only one row of a repeated one is asked.
-    texts = docs.select(F.col("doc_id").cast("long"), "text")
-    held = join_checked(texts, per_doc, "doc_id", "inner", "24 + 32 * cast(size(asked) as bigint)")
+    texts = docs.select(F.col("doc_id").cast("long"), row_id(), "text")
+    held = join_checked(texts, per_doc, ["doc_id", "rid"], "inner", "32 + 32 * cast(size(asked) as bigint)")
     fetched = settle(held.select("doc_id", "text", "asked").mapInArrow(
         fetch, "mh long, cd long, doc_id long, words binary, windows array<bigint>"), "fetched")
 
@@ -273,8 +281,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sh
     hits = in_shards.union(alone).join(
         content.select("mh", "cd", F.col("first.doc_id").alias("doc_id")), ["mh", "cd"])
     partial = live.join(hits, ["mh", "cd", "doc_id"]).select(
-        "doc_id", F.transform("hit", lambda x, k: x + F.col("start") + F.when(k % 2 == 1, window - 1).otherwise(0)).alias("span"))
-    return whole.union(partial).groupBy("doc_id").agg(F.flatten(F.collect_list("span")).alias("spans"))
+        "doc_id", "rid", F.transform("hit", lambda x, k: x + F.col("start") + F.when(k % 2 == 1, window - 1).otherwise(0)).alias("span"))
+    return whole.union(partial).groupBy("doc_id", "rid").agg(F.flatten(F.collect_list("span")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_runs: int = SHARD_RUNS) -> DataFrame:
@@ -308,7 +316,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
                      pa.array(cols[2], pa.string()), pa.array(cols[3], pa.list_(pa.int32()))],
                     names=["doc_id", "n_words", "n_removed", "kept", "removed"])
 
-    joined = join_checked(docs.select(F.col("doc_id").cast("long"), "text"), found, "doc_id", "left",
-                          "24 + 4 * cast(size(spans) as bigint)")
+    joined = join_checked(docs.select(F.col("doc_id").cast("long"), row_id(), "text"), found, ["doc_id", "rid"], "left",
+                          "32 + 4 * cast(size(spans) as bigint)")
     return joined.select("doc_id", "text", "spans").mapInArrow(
         cut, "doc_id long, n_words long, n_removed long, kept string, removed array<int>")

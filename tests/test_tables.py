@@ -304,3 +304,23 @@ def test_clean_job_is_incremental(spark, target):
     assert jobs.run_clean(target.read(), clean)["processed"] == 1
     assert jobs.run_clean(target.read(), clean, reprocess=True)["processed"] == 3
     assert clean.read().count() == 3
+
+
+def test_no_update_is_lost_while_a_run_is_on(spark, target):
+    """A version taken in before the last run stamped its rows is still found, and a re-run touches only what changed."""
+    clean = S.table(spark, fresh_path(spark, "c"), "clean.tickets", bucket_rows=10).ensure()
+    first = settle(raw(spark, (1, "first", 1, 1), (2, "same", 1, 1), (3, None, 1, 1)), "raw")
+    second = settle(raw(spark, (1, "second", 1, 2), (2, "same", 1, 5), (3, None, 1, 1)), "raw")  # arrives while the run is on
+    assert jobs.run_clean(first, clean)["processed"] == 3
+    stamped = {r.ticket_id: r.processed_at for r in clean.read().collect()}
+    assert second.agg(F.max("ingested_at")).first()[0] < min(stamped.values())
+    assert jobs.run_clean(second, clean)["processed"] == 1
+    after = {r.ticket_id: (r.text_full, r.processed_at) for r in clean.read().collect()}
+    assert after[1][0] == "Asunto: second" and after[2][1] == stamped[2] and after[3][1] == stamped[3]
+    assert jobs.run_clean(second, clean)["processed"] == 0
+
+
+def test_input_hash_tells_columns_and_nulls_apart(spark):
+    rows = [("a", None, "", "x"), (None, "a", "", "x"), ("a", "", None, "x"), ("", "a", None, "x"), ("a", None, "", "y")]
+    df = spark.createDataFrame(rows, "subject string, description string, comments_json string, channel string")
+    assert df.select(jobs.input_hash().alias("h")).distinct().count() == len(rows)

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ticketmill.operators import centroids as N
 from ticketmill.operators import density, embedding, intents, neighbors, profile, reduction, silhouette
+from ticketmill.operators.agreement import agreement as label_agreement
+from ticketmill.operators.agreement import contingency
 from ticketmill.plans import jobs
 from ticketmill.session import fresh_path
 from ticketmill.sources import tables as S
@@ -148,12 +150,99 @@ def agreement(truth, got):
     return (both - expected) / ((a + b) / 2 - expected)
 
 
-@pytest.mark.parametrize("summaries, floor", [(4096, 0.99), (120, 0.7)])
-def test_density_finds_blobs_and_noise(spark, summaries, floor):
+def plain_density(x, least, samples):
+    """The same hierarchy from all distances, by plain loops: labels by excess of mass."""
+    n = len(x)
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    core = np.sort(d, axis=1)[:, samples]
+    reach = np.maximum(d, np.maximum(core[:, None], core[None]))
+    i, j = np.triu_indices(n, 1)
+    order = np.lexsort((j, i, reach[i, j]))
+    floor = reach[i, j][reach[i, j] > 0].min() * 1e-3
+    group = {k: ([k], None) for k in range(n)}  # members and the candidate they are, once big enough
+    at, kids, born, left = list(range(n)), [], {}, []
+    for e in order:
+        a, b = at[i[e]], at[j[e]]
+        if a == b:
+            continue
+        level = 1 / max(reach[i[e], j[e]], floor)
+        (ma, ca), (mb, cb) = group[a], group[b]
+        if ca is not None and cb is not None:
+            kids.append((ca, cb))
+            left.append([])
+            c = len(kids) - 1
+            for k, m in ((ca, ma), (cb, mb)):
+                born[k] = level
+                left[c] += [(level, p) for p in m]
+        elif ca is None and cb is None and len(ma) + len(mb) >= least:
+            kids.append(())
+            left.append([(level, p) for p in ma + mb])
+            c = len(kids) - 1
+        else:
+            c = ca if ca is not None else cb
+            if c is not None:
+                left[c] += [(level, p) for p in (mb if ca is not None else ma)]
+        group[a] = (ma + mb, c)
+        for p in mb:
+            at[p] = a
+    best, chosen = {}, {}
+    for c in range(len(kids)):
+        own = sum(v - born.get(c, 0) for v, _ in left[c])
+        rest = sum(best[k] for k in kids[c])
+        chosen[c] = c in born and not (kids[c] and rest > own)
+        best[c] = own if chosen[c] else rest
+    labels, todo, picked = np.full(n, -1), [c for c in range(len(kids)) if c not in born], []
+    while todo:
+        c = todo.pop()
+        if chosen[c]:
+            picked.append((-len(left[c]), min(p for _, p in left[c]), c))
+        else:
+            todo += kids[c]
+    for number, (_, _, c) in enumerate(sorted(picked)):
+        labels[[p for _, p in left[c]]] = number
+    return labels
+
+
+def test_density_finds_blobs_and_noise(spark):
     x, truth = blobs()
-    got = density.density_cluster(frame(spark, x), "id", "v", max_summaries=summaries).orderBy("id").collect()
+    got = density.density_cluster(frame(spark, x), "id", "v").orderBy("id").collect()
     labels = np.array([r.cluster_id for r in got])
-    assert len(got) == len(x) and agreement(truth, labels) >= floor
+    assert len(got) == len(x) and agreement(truth, labels) >= 0.99
+    # Over a graph of all pairs the labels are those of the plain hierarchy, however the work is cut.
+    y = np.concatenate([x[::3], x[:4], np.random.default_rng(3).normal(size=(40, 8)) * 0.3])
+    graph = neighbors.neighbor_graph(frame(spark, y), "id", "v", len(y))
+    for least, samples, chunk in ((12, 4, 50_000), (8, 3, 500)):
+        h = density.hierarchy(graph, samples, chunk)
+        got = [r.cluster_id for r in density.labels_of(h, least, chunk).orderBy("id").collect()]
+        assert got == plain_density(y, least, samples).tolist()
+
+
+def test_density_joins_far_groups_that_the_graph_leaves_apart(spark):
+    rng = np.random.default_rng(9)
+    x = np.concatenate([c + rng.normal(size=(60, 4)) for c in (0.0, 40.0, 43.0, 300.0)])
+    got = np.array([r.cluster_id for r in density.density_cluster(frame(spark, x), "id", "v", 25, k=6).orderBy("id").collect()])
+    assert agreement(plain_density(x, 25, 5), got) >= 0.97
+
+
+def test_runs_agree(spark):
+    x, _ = blobs()
+    runs, pairs, fates = density.stability_runs(frame(spark, x), "id", "v", [(20, 5), (20, 5), (120, 5)])
+    runs, pairs = runs.orderBy("run").collect(), {(r["first"], r["second"]): r for r in pairs.collect()}
+    assert [r["total_tickets"] for r in runs] == [len(x)] * 3 and runs[0]["n_clusters"] == 4 and runs[2]["n_clusters"] == 0
+    assert pairs[0, 1]["adjusted_rand"] == 1 and pairs[0, 2]["adjusted_rand"] < 0.1 and pairs[0, 1]["points"] == len(x)
+    kept = {(r["first"], r["second"], r["cluster_id"]): r["kept"] for r in fates.collect()}
+    assert all(kept[0, 1, c] == 1 and kept[0, 2, c] == 0 for c in range(4))
+
+
+def test_agreement(spark):
+    rng = np.random.default_rng(4)
+    a, b = rng.integers(0, 5, 300), rng.integers(0, 4, 300)
+    b[:200] = a[:200] % 4
+    rows = [(int(x), int(y)) for x, y in zip(a, b)] + [(None, 1)]
+    table = contingency(spark.createDataFrame(rows, "a long, b long"), "a", "b")
+    got = label_agreement(table, "a", "b").first()
+    assert got["points"] == 300 and abs(got["adjusted_rand"] - agreement(a, b)) < 1e-9
+    assert tuple(label_agreement(table.limit(0), "a", "b").first()) == (0, None)
 
 
 def test_density_on_copies_noise_and_nothing(spark):

@@ -8,7 +8,7 @@ from ticketmill.catalog.base import DECORATED_SQL, TICKETS_SQL, decorated, query
 from ticketmill.catalog.tables import _DOC_CLUSTER_SQL, _FEEDBACK_SQL, doc_cluster, feedback
 from ticketmill.functions import vectors as V
 from ticketmill.operators import centroids as N
-from ticketmill.operators import density, embedding, kpis, labels, neighbors, reduction, silhouette
+from ticketmill.operators import agreement, density, embedding, kpis, labels, neighbors, reduction, silhouette
 from ticketmill.operators import intents as T
 from ticketmill.operators.tickets import missing_from, non_noise
 from ticketmill.plans import jobs
@@ -576,5 +576,64 @@ SELECT m AS min_cluster_size, s AS min_samples, (SELECT count(*) FROM embeddings
 FROM (VALUES (20::BIGINT, 5::BIGINT), (30, 5), (20, 10)) t(m, s)""")
 def int2(spark, sf):
     reduced = settle(reduction.reduce(table(spark, sf, "embeddings"), "embedding", 5).select("vec_id", "reduced"), "r")
-    runs = density.stability_runs(reduced, "vec_id", "reduced", [(20, 5), (30, 5), (20, 10)])
+    runs, _, _ = density.stability_runs(reduced, "vec_id", "reduced", [(20, 5), (30, 5), (20, 10)])
     return runs.select("min_cluster_size", "min_samples", F.col("total_tickets").alias("total"))
+
+
+# Vectors moved apart by their label: the labels are then the clusters, which SQL can tell.
+_GROUPS_SQL = """
+WITH g AS (SELECT vec_id, min(vec_id) OVER (PARTITION BY label) AS first_member, count(*) OVER (PARTITION BY label) AS members FROM embeddings)"""
+
+
+def spread_vectors(spark, sf):
+    e = table(spark, sf, "embeddings")
+    moved = F.transform("embedding", lambda x, i: x.cast("double") + F.when(i == F.col("label"), 6.0).otherwise(0.0))
+    return e.select("vec_id", "label", moved.alias("v"))
+
+
+def by_member(found, key="vec_id"):
+    """Each clustered row with the smallest id and the size of its cluster."""
+    heads = found.filter("cluster_id >= 0").groupBy("cluster_id").agg(F.min(key).alias("first_member"), F.count(F.lit(1)).alias("members"))
+    return found.join(heads, "cluster_id", "left").select(F.col(key).alias("vec_id"), "first_member", "members")
+
+
+@query("ml3_cluster_members", f"{_GROUPS_SQL} SELECT vec_id, first_member, members FROM g")
+def ml3_members(spark, sf):
+    """Who is in whose cluster, row by row."""
+    return by_member(settle(density.density_cluster(spread_vectors(spark, sf), "vec_id", "v"), "found"))
+
+
+@query("ml6_cluster_rows", f"{_GROUPS_SQL} SELECT vec_id, first_member, members, false AS is_noise FROM g")
+def ml6_rows(spark, sf):
+    """The clustering job's table, row by row: unit vectors, reduced, clustered, upserted."""
+    clusters = S.table(spark, fresh_path(spark, "clusters"), "features.clusters").ensure()
+    jobs.run_clustering(spread_vectors(spark, sf).select(F.col("vec_id").alias("ticket_id"), F.col("v").alias("embedding_vector")), clusters)
+    rows = clusters.read()
+    noise = rows.select(F.col("ticket_id").alias("vec_id"), "is_noise")
+    return by_member(rows.select("ticket_id", "cluster_id"), "ticket_id").join(noise, "vec_id")
+
+
+@query("int2_run_agreement", """
+SELECT a AS first, b AS second, (SELECT count(*) FROM embeddings) AS points, 1.0::DOUBLE AS adjusted_rand,
+       (SELECT count(DISTINCT label) FROM embeddings) AS clusters, 1.0::DOUBLE AS least_kept
+FROM (VALUES (0::BIGINT, 1::BIGINT), (0, 2), (1, 2)) t(a, b)""")
+def int2_agreement(spark, sf):
+    """Three settings over one neighbour graph: pairs of runs, and the least share that a cluster keeps."""
+    _, pairs, fates = density.stability_runs(spread_vectors(spark, sf), "vec_id", "v", [(20, 5), (25, 5), (20, 8)])
+    kept = fates.groupBy("first", "second").agg(F.count(F.lit(1)).alias("clusters"), F.min("kept").alias("least_kept"))
+    return pairs.join(kept, ["first", "second"])
+
+
+@query("int2_label_agreement", """
+WITH l AS (SELECT label AS a, CASE WHEN vec_id % 3 = 0 THEN vec_id % 4 ELSE label % 5 END::BIGINT AS b FROM embeddings),
+t AS (SELECT a, b, count(*) AS n FROM l GROUP BY 1, 2),
+p AS (SELECT sum(n * (n - 1) / 2) AS same, sum(n) AS points FROM t),
+pa AS (SELECT sum(m * (m - 1) / 2) AS p FROM (SELECT sum(n) AS m FROM t GROUP BY a)),
+pb AS (SELECT sum(m * (m - 1) / 2) AS p FROM (SELECT sum(n) AS m FROM t GROUP BY b)),
+e AS (SELECT points::BIGINT AS points, same, pa.p AS pa, pb.p AS pb, pa.p * pb.p / (points * (points - 1) / 2) AS expected FROM p, pa, pb)
+SELECT points, round((same - expected) / ((pa + pb) / 2 - expected), 6) AS adjusted_rand FROM e""")
+def int2_labels(spark, sf):
+    other = F.when(F.col("vec_id") % 3 == 0, F.col("vec_id") % 4).otherwise(F.col("label") % 5)
+    both = table(spark, sf, "embeddings").select(F.col("label").alias("a"), other.alias("b"))
+    found = agreement.agreement(settle(agreement.contingency(both, "a", "b"), "contingency"), "a", "b")
+    return found.withColumn("adjusted_rand", F.round("adjusted_rand", 6))

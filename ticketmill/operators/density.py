@@ -1,334 +1,285 @@
-"""Hierarchical density clustering with noise, by way of bounded summaries.
-
-Points are first condensed: every point joins its nearest of at most
-``max_summaries`` pivots, and each pivot keeps count, sum and sum of squares (the
-"data bubbles" of Breunig et al., SIGMOD 2001). Up to that many different vectors each
-pivot stands for its own copies alone and the hierarchy is that of the points themselves.
-Beyond, no point is left out, but it is only represented by its bubble, and the labels are
-an approximation that can differ widely from the uncapped ones. Null vectors are left out. Everything
-that grows with the data is a narrow pass or a sum with map-side combine. The
-mutual-reachability tree over the summaries is grown in rounds, each round finding
-every component's least outgoing edge in parallel (Boruvka). Only that tree, bounded
-by the number of summaries, is condensed on the driver (Campello et al., 2013).
+"""Hierarchical density clustering with noise over a neighbour graph.
+
+The steps of the published hierarchy (Campello et al., 2013), each as a Spark job over tables:
+
+1. Different vectors become nodes; each is joined to its ``GRAPH_K`` nearest (``neighbor_graph``).
+2. An edge weighs the largest of its length and the core distances of its ends, where a core
+   distance reaches ``min_samples`` other points, copies included.
+3. Least-edge rounds give the minimum spanning forest. Trees the graph leaves apart are joined by
+   the shortest edges between samples of trees whose means are neighbours.
+4. Edges in order of weight join the points up; ``merge_sizes`` finds what size each side then has.
+   An edge between two sides of ``min_cluster_size`` points or more is a split. Every other point
+   lands, at the weight at which its side first belongs to so many points.
+5. Only the splits, at most one for every ``min_cluster_size`` points, come to the driver as a
+   tree of candidate clusters; their masses are sums over the points, and the choice by excess of
+   mass is joined back.
+
+No step samples, caps or summarises points, and no table of points or edges reaches the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketmill.functions import vectors as V
-from ticketmill.operators.centroids import nearest_rows, pairwise, stack
-from ticketmill.session import settle
+from ticketmill.operators.agreement import agreement, contingency
+from ticketmill.operators.centroids import noise_summary, pairwise, stack
+from ticketmill.operators.graphs import CHUNK, connected_components, merge_sizes, spanning_forest
+from ticketmill.operators.neighbors import Graph, _knn_distinct, neighbor_graph
+from ticketmill.operators.tickets import top_per_group
+from ticketmill.session import join_checked, settle
 
 # --- Fixed values ------------------------------------------------------------
 MIN_SAMPLES = 5
 MIN_CLUSTER_SIZE = 20
 MIN_CLUSTER_SHARE = 0.03
 # -----------------------------------------------------------------------------
-MAX_SUMMARIES = 4096
+GRAPH_K = 15
+BRIDGE_NODES = 128
+BRIDGE_TREES = 8
 
 
 def default_min_cluster_size(n: int) -> int:
     return max(MIN_CLUSTER_SIZE, int(n * MIN_CLUSTER_SHARE))
 
 
-def _assign(points: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """id, v, summary: the nearest pivot of every point, in one narrow pass."""
-    shipped = points.sparkSession.sparkContext.broadcast(pivots)
+def core_distances(graph: Graph, min_samples: int) -> DataFrame:
+    """node, weight, rid, v, core: the distance within which ``min_samples`` other points lie.
 
-    def nearest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if b.empty:
-                continue
-            yield pd.DataFrame({
-                "id": b["id"], "v": b["v"], "summary": nearest_rows(stack(b["v"]), shipped.value)[0],
-            })
-
-    return points.mapInPandas(nearest, "id long, v array<double>, summary long")
-
-
-def _summaries(assigned: DataFrame, count: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Size, mean and extent of each summary; at most ``count`` rows reach the driver.
-
-    Each task adds up its own batches, so one row per task and summary is shuffled
-    even if a third of all points share a summary.
+    A node with fewer neighbours than that in the graph takes its farthest one.
     """
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, total, squares = np.zeros(count), np.zeros((count, width)), np.zeros(count)
-        for b in batches:
-            if b.empty:
-                continue
-            x, s = stack(b["v"]), b["summary"].to_numpy()
-            n += np.bincount(s, minlength=count)
-            squares += np.bincount(s, weights=(x * x).sum(1), minlength=count)
-            np.add.at(total, s, x)
-        used = np.flatnonzero(n)
-        yield pd.DataFrame({
-            "summary": used, "n": n[used].astype(np.int64), "total": list(total[used]),
-            "squares": squares[used],
-        })
-
-    parts = assigned.select("v", "summary").mapInPandas(
-        partial, "summary long, n long, total array<double>, squares double"
-    )
-    rows = parts.groupBy("summary").agg(
-        F.sum("n").alias("n"), V.sum_vector(F.col("total")).alias("total"), F.sum("squares").alias("squares")
-    ).collect()
-    n, mean, extent = np.zeros(count), np.zeros((count, width)), np.zeros(count)
-    for r in rows:
-        i, m, total = r["summary"], r["n"], np.array(r["total"])
-        n[i], mean[i] = m, total / m
-        if m > 1:
-            # Mean pairwise distance inside the bubble, from its moments.
-            inner = (2 * m * r["squares"] - 2 * (total @ total)) / (m * (m - 1))
-            # Rounding alone can leave a trace where all members are equal.
-            extent[i] = np.sqrt(inner) if inner > 1e-12 * max(r["squares"] / m, 1e-300) else 0.0
-    return n, mean, extent
-
-
-class _Bubbles:
-    """The shipped geometry: means, sizes, and distances inside each bubble."""
-
-    def __init__(self, mean: np.ndarray, n: np.ndarray, extent: np.ndarray):
-        self.mean, self.n, self.extent = mean, n, extent
-
-    def inner(self, k: float | np.ndarray) -> np.ndarray:
-        """Expected distance to the k-th neighbour within a bubble."""
-        return (k / np.maximum(self.n, 1)) ** (1.0 / max(self.mean.shape[1], 1)) * self.extent
-
-    def between(self, rows: np.ndarray) -> np.ndarray:
-        """Distances from some bubbles to all: gap between borders, plus inner spacing."""
-        d = pairwise(self.mean[rows], self.mean)
-        if not self.extent.any():
-            return d
-        near = self.inner(1)
-        gap = d - self.extent[rows][:, None] - self.extent[None, :]
-        apart = gap + near[rows][:, None] + near[None, :]
-        return np.where(gap >= 0, apart, np.maximum(near[rows][:, None], near[None, :]))
-
-
-ROWS_PER_TASK = 256  # by 4096 summaries: an 8 MB matrix
-
-
-def _row_frame(spark, count: int) -> DataFrame:
-    return spark.range(0, count, 1, -(-count // ROWS_PER_TASK)).withColumnRenamed("id", "i")
-
-
-def _core_distances(spark, bubbles: _Bubbles, min_samples: int) -> np.ndarray:
-    """Distance within which a member of each bubble sees ``min_samples`` other points."""
-    shipped = spark.sparkContext.broadcast((bubbles.mean, bubbles.n, bubbles.extent))
-
-    def core(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        b = _Bubbles(*shipped.value)
-        inside = b.inner(min_samples)
-        for batch in batches:
-            rows = batch["i"].to_numpy()
-            d = b.between(rows)
-            d[np.arange(len(rows)), rows] = -1.0  # own bubble first
-            order = np.argsort(d, axis=1)
-            others = np.take_along_axis(np.broadcast_to(b.n, d.shape), order, 1).cumsum(1) - 1
-            at = np.minimum((others < min_samples).sum(1), d.shape[1] - 1)
-            far = np.take_along_axis(d, np.take_along_axis(order, at[:, None], 1), 1)[:, 0]
-            yield pd.DataFrame({"i": rows, "core": np.where(at == 0, inside[rows], np.maximum(far, 0))})
-
-    out = np.zeros(len(bubbles.n))
-    for r in _row_frame(spark, len(out)).mapInPandas(core, "i long, core double").collect():
-        out[r["i"]] = r["core"]
-    return out
-
-
-def _spanning_tree(spark, bubbles: _Bubbles, core: np.ndarray) -> list[tuple[float, int, int]]:
-    """Minimum spanning tree under mutual reachability; log2(summaries) rounds at most."""
-    count = len(core)
-    geometry = spark.sparkContext.broadcast((bubbles.mean, bubbles.n, bubbles.extent, core))
-    component = np.arange(count)
-    tree: list[tuple[float, int, int]] = []
-    while len(tree) < count - 1:
-        shipped = spark.sparkContext.broadcast(component)
-
-        def cheapest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            *shape, core = geometry.value
-            b, comp = _Bubbles(*shape), shipped.value
+    weights = graph.nodes.select(F.col("node").alias("nid"), F.col("weight").alias("theirs"))
+    so_far = F.sum("theirs").over(Window.partitionBy("node").orderBy("distance", "nid"))
+    reached = graph.near.join(weights, "nid").withColumn("seen", so_far).groupBy("node").agg(
+        F.min(F.struct(F.col("seen"), F.col("distance"))).alias("first"),
+        F.sort_array(F.collect_list(F.struct("seen", "distance"))).alias("steps"))
+    need = F.lit(min_samples) - F.col("weight") + 1
+    enough = F.filter("steps", lambda s: s["seen"] >= need)
+    core = F.when(need <= 0, 0.0).otherwise(F.coalesce(
+        F.get(enough, 0)["distance"], F.array_max("steps")["distance"], F.lit(0.0)))
+    return settle(graph.nodes.join(reached, "node", "left").select("node", "weight", "rid", "v", core.alias("core")), "core")
+
+
+def _bridges(forest: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
+    """``forest`` (x, y, w) with edges added until all ``nodes`` hang together."""
+    while True:
+        found = connected_components(forest.select(F.col("x").alias("a"), F.col("y").alias("b")), chunk)
+        trees = settle(nodes.join(found, "node", "left").select(
+            "node", "v", "core", F.coalesce("component", "node").alias("tree")), "trees")
+        if trees.select("tree").distinct().limit(2).count() < 2:
+            return forest
+        sample = top_per_group(trees, "tree", [F.xxhash64("node"), F.col("node")], BRIDGE_NODES)
+        held = settle(sample.groupBy("tree").agg(
+            V.mean_vector(F.col("v")).alias("mean"), F.sort_array(F.collect_list(F.struct("node", "core", "v"))).alias("held")), "samples")
+        near = _knn_distinct(held.select(F.col("tree").alias("rid"), F.col("mean").alias("v")), BRIDGE_TREES + 1, None, 4096)
+        pairs = near.filter("rid <> nid").select(F.least("rid", "nid").alias("a"), F.greatest("rid", "nid").alias("b")).distinct()
+
+        def shortest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                rows = batch["i"].to_numpy()
-                w = np.maximum(b.between(rows), np.maximum(core[rows][:, None], core[None, :]))
-                w[comp[rows][:, None] == comp[None, :]] = np.inf
-                j = w.argmin(1)
-                yield pd.DataFrame({
-                    "comp": comp[rows], "w": w[np.arange(len(rows)), j],
-                    "lo": np.minimum(rows, j), "hi": np.maximum(rows, j),
-                })
-
-        best = (
-            _row_frame(spark, count)
-            .mapInPandas(cheapest, "comp long, w double, lo long, hi long")
-            .groupBy("comp").agg(F.min(F.struct("w", "lo", "hi")).alias("e"))
-            .select("e.*").distinct().collect()
-        )
-        shipped.unpersist()
-        for e in sorted(best):
-            a, b = component[e["lo"]], component[e["hi"]]
-            if a != b:
-                component[component == b] = a
-                tree.append((e["w"], e["lo"], e["hi"]))
-    return sorted(tree)
-
-
-def _select_clusters(
-    tree: list[tuple[float, int, int]], weight: np.ndarray, core: np.ndarray, least: int
-) -> np.ndarray:
-    """Labels per summary by excess of mass; -1 is noise.
-
-    ``tree`` is merged upwards. A group of at least ``least`` points is a cluster
-    candidate from the level where it splits off down to where it falls apart; its
-    mass is the sum over members of 1/leaving level minus 1/birth level.
+                out = []
+                for a, b, one, two in zip(batch["a"], batch["b"], batch["one"], batch["two"]):
+                    d = pairwise(np.array([s["v"] for s in one]), np.array([s["v"] for s in two]))
+                    d = np.maximum(d, np.maximum(np.array([s["core"] for s in one])[:, None], [s["core"] for s in two]))
+                    i, j = np.unravel_index(d.argmin(), d.shape)
+                    out.append((a, b, float(d[i, j]), one[i]["node"], two[j]["node"]))
+                yield pd.DataFrame(out, columns=["a", "b", "w", "x", "y"])
+
+        spans = settle(
+            pairs.join(held.select(F.col("tree").alias("a"), F.col("held").alias("one")), "a")
+            .join(held.select(F.col("tree").alias("b"), F.col("held").alias("two")), "b")
+            .select("a", "b", "one", "two").mapInPandas(shortest, "a long, b long, w double, x long, y long"), "spans")
+        chosen = spanning_forest(spans.select("a", "b", "w"), chunk).select(F.col("x").alias("a"), F.col("y").alias("b"))
+        forest = settle(forest.union(spans.join(chosen, ["a", "b"]).select("x", "y", "w")), "bridged")
+
+
+@dataclass
+class Hierarchy:
+    """``merges`` (x, y, w, place, size_x, size_y) in order of weight, over ``nodes`` (node, weight, rid, core)."""
+
+    graph: Graph
+    nodes: DataFrame
+    merges: DataFrame
+    points: int
+    floor: float
+
+
+def hierarchy(graph: Graph, min_samples: int = MIN_SAMPLES, chunk: int = CHUNK) -> Hierarchy:
+    """The whole merge tree of a neighbour graph; every ``min_cluster_size`` can be read from it."""
+    nodes = core_distances(graph, min_samples)
+    ends = graph.near.select(F.least("node", "nid").alias("a"), F.greatest("node", "nid").alias("b"), "distance")
+    ca, cb = (nodes.select(F.col("node").alias(e), F.col("core").alias(f"c{e}")) for e in "ab")
+    edges = ends.join(ca, "a").join(cb, "b").select("a", "b", F.greatest("distance", "ca", "cb").alias("w"))
+    forest = _bridges(spanning_forest(edges, chunk), nodes, chunk)
+    merges = merge_sizes(forest, nodes, chunk)
+    points = nodes.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
+    least = merges.filter("w > 0").agg(F.min("w")).first()[0]
+    return Hierarchy(graph, nodes, merges, points, (least or 1.0) * 1e-3)
+
+
+def _landed(h: Hierarchy, least: int, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """The splits (w, place, ax, ay), and where every node lands: node, weight, rid, stretch, at (place), level.
+
+    A stretch is what hangs together without the splits; within one, points land one side at a
+    time on a single growing group.
     """
-    count = len(weight)
-    if count == 0:
-        return np.zeros(0, dtype=int)
-    positive = [w for w, _, _ in tree if w > 0]
-    floor = (min(positive) if positive else 1.0) * 1e-3
+    x_big, y_big = F.col("size_x") >= least, F.col("size_y") >= least
+    merges = h.merges
+    together = connected_components(merges.filter(~(x_big & y_big)).select(F.col("x").alias("a"), F.col("y").alias("b")), chunk)
+    small = connected_components(merges.filter(F.col("size_x") + F.col("size_y") < least).select(F.col("x").alias("a"), F.col("y").alias("b")), chunk)
+    lands = merges.filter(F.col("size_x") + F.col("size_y") >= least)
+    sides = lands.filter(~x_big).select(F.col("x").alias("node"), "place", "w").union(
+        lands.filter(~y_big).select(F.col("y").alias("node"), "place", "w"))
+    small = small.withColumnRenamed("component", "side")
+    landing = sides.join(small, "node", "left").select(F.coalesce("side", "node").alias("side"), "place", "w")
+    named = h.nodes.select("node", "weight", "rid", "core").join(small, "node", "left").withColumn("side", F.coalesce("side", "node"))
+    big = F.col("weight") >= least
+    placed = named.join(landing, "side", "left").join(together, "node", "left").select(
+        "node", "weight", "rid", F.coalesce("component", "node").alias("stretch"),
+        F.when(big, -1).otherwise(F.col("place")).alias("at"), F.when(big, F.col("core")).otherwise(F.col("w")).alias("level"))
+    placed = settle(placed.filter("at IS NOT NULL"), "landed")
+    own = placed.select("node", "stretch")
+    splits = merges.filter(x_big & y_big).join(own.toDF("x", "ax"), "x").join(own.toDF("y", "ay"), "y").select("w", "place", "ax", "ay")
+    return splits, placed
+
+
+def labels_of(h: Hierarchy, least: int | None = None, chunk: int = CHUNK) -> DataFrame:
+    """id and cluster_id by excess of mass; -1 is noise, clusters are numbered by falling size, then smallest id."""
+    least = least or default_min_cluster_size(h.points)
+    spark = h.nodes.sparkSession
+    splits, placed = _landed(h, least, chunk)
+    tree = sorted(splits.collect(), key=lambda r: r["place"])  # at most points / least rows
+    if not tree:
+        return h.graph.members.select("id", F.lit(-1).cast("long").alias("cluster_id"))
 
     def density(level: float) -> float:
-        return 1.0 / max(level, floor)
-
-    # Merge tree: nodes 0..count-1 are leaves, each merge adds one.
-    parent_of = list(range(count))
-    top = list(range(count))
-    children: dict[int, tuple[int, int, float]] = {}
-    mass = list(weight.astype(float))
-
-    def root(x: int) -> int:
-        while parent_of[x] != x:
-            parent_of[x] = parent_of[parent_of[x]]
-            x = parent_of[x]
-        return x
-
-    for level, a, b in tree:
-        ra, rb = root(a), root(b)
-        node = len(mass)
-        children[node] = (top[ra], top[rb], level)
-        mass.append(mass[top[ra]] + mass[top[rb]])
-        parent_of[rb] = ra
-        top[ra] = node
-
-    def leaves(node: int) -> list[int]:
-        out, todo = [], [node]
-        while todo:
-            x = todo.pop()
-            if x in children:
-                todo += children[x][:2]
-            else:
-                out.append(x)
-        return out
-
-    # Walk down, cutting a candidate wherever it splits into two that are big enough.
-    born: list[float] = []
-    stability: list[float] = []
-    kids: list[list[int]] = []
-    starts: list[int] = []
-
-    def open_candidate(node: int, birth: float) -> int:
-        born.append(birth)
-        stability.append(0.0)
-        kids.append([])
-        starts.append(node)
-        return len(born) - 1
-
-    top_node = len(mass) - 1
-    first_level = children[top_node][2] if top_node in children else core[0]
-    todo = [(top_node, open_candidate(top_node, density(first_level)))]
-    while todo:
-        node, cand = todo.pop()
-        if node not in children:
-            # One summary is left: its points leave at the density inside it.
-            stability[cand] += mass[node] * max(density(core[node]) - born[cand], 0.0)
-            continue
-        a, b, level = children[node]
-        now = density(level)
-        big = [x for x in (a, b) if mass[x] >= least]
-        if len(big) == 2:
-            stability[cand] += mass[node] * (now - born[cand])
-            for x in (a, b):
-                kid = open_candidate(x, now)
-                kids[cand].append(kid)
-                todo.append((x, kid))
-            continue
-        for x in (a, b):
-            if big == [x]:
-                todo.append((x, cand))
-            else:
-                stability[cand] += mass[x] * (now - born[cand])
-
-    # Bottom-up choice; the root itself is never a cluster.
-    chosen = [False] * len(born)
-    best = list(stability)
-    for cand in range(len(born) - 1, 0, -1):
-        below = sum(best[k] for k in kids[cand])
-        if kids[cand] and below > stability[cand]:
-            best[cand] = below
-        else:
-            chosen[cand] = True
-    labels = np.full(count, -1)
-    picked, todo = [], list(kids[0])
-    while todo:
-        cand = todo.pop()
-        if chosen[cand]:
-            picked.append((-mass[starts[cand]], min(leaves(starts[cand])), cand))
-        else:
-            todo += kids[cand]
-    for number, (_, _, cand) in enumerate(sorted(picked)):
-        labels[leaves(starts[cand])] = number
-    return labels
+        return 1.0 / max(level, h.floor)
+
+    # Candidates: every stretch, and every joining of two. ``bottom`` is where one falls apart, ``top`` where it is born.
+    current: dict[int, int] = {}
+    stretches: list[int] = []
+    kids: list[tuple[int, ...]] = []
+    bottom: list[tuple[int, float]] = []
+    top: list[tuple[int, float]] = []
+    parent: list[int] = []
+    up: dict[int, int] = {}
+
+    def root(s: int) -> int:
+        while up.setdefault(s, s) != s:
+            up[s] = up[up[s]]
+            s = up[s]
+        return s
+
+    def candidate(below: tuple[int, ...], at: tuple[int, float]) -> int:
+        kids.append(below)
+        bottom.append(at)
+        top.append((np.iinfo(np.int64).max, np.inf))
+        parent.append(-1)
+        return len(kids) - 1
+
+    for r in tree:
+        pair = []
+        for s in (r["ax"], r["ay"]):
+            if s not in up:
+                up[s] = s
+                stretches.append(s)
+                current[s] = candidate((), (-2, 0.0))
+            pair.append(root(s))
+        two = tuple(current[s] for s in pair)
+        new = candidate(two, (r["place"], r["w"]))
+        for c in two:
+            top[c], parent[c] = (r["place"], r["w"]), new
+        up[pair[1]] = pair[0]
+        current[pair[0]] = new
+
+    leaf_of = {}
+    for c, s in zip((c for c in range(len(kids)) if not kids[c]), stretches):
+        leaf_of[s] = c
+    rows = []
+    for s, c in leaf_of.items():
+        while c != -1:
+            rows.append((s, c, bottom[c][0], top[c][0]))
+            c = parent[c]
+    spans = settle(spark.createDataFrame(pd.DataFrame(rows, columns=["stretch", "candidate", "low", "high"])), "spans")
+    within = join_checked(placed, spans, "stretch", "inner", 40).filter("at > low AND at < high")
+    within = settle(within.select("node", "weight", "rid", "level", "candidate"), "within")
+    mass = within.groupBy("candidate").agg(
+        F.sum("weight").alias("n"), F.sum(F.col("weight") / F.greatest("level", F.lit(h.floor))).alias("left"), F.min("rid").alias("first"))
+    n, left, first = np.zeros(len(kids)), np.zeros(len(kids)), np.full(len(kids), np.iinfo(np.int64).max)
+    for r in mass.collect():
+        n[r["candidate"]], left[r["candidate"]], first[r["candidate"]] = r["n"], r["left"], r["first"]
+
+    # Children stand before parents. A cluster at least as massive as its best descendants is chosen; a root never is.
+    best, chosen = np.zeros(len(kids)), np.zeros(len(kids), bool)
+    for c in range(len(kids)):
+        below = sum(n[k] for k in kids[c])
+        own = left[c] + below * density(bottom[c][1]) - (n[c] + below) * (0.0 if parent[c] < 0 else density(top[c][1]))
+        n[c] += below
+        for k in kids[c]:
+            first[c] = min(first[c], first[k])
+        rest = sum(best[k] for k in kids[c])
+        chosen[c] = parent[c] >= 0 and not (kids[c] and rest > own)
+        best[c] = own if chosen[c] else rest
+    label, picked = np.full(len(kids), -1, np.int64), []
+    for c in reversed(range(len(kids))):  # parents first
+        if parent[c] >= 0 and label[parent[c]] >= 0:
+            label[c] = label[parent[c]]
+        elif chosen[c]:
+            label[c] = c
+            picked.append((-n[c], first[c], c))
+    number = {c: k for k, (_, _, c) in enumerate(sorted(picked))}
+    names = settle(spark.createDataFrame(pd.DataFrame({
+        "candidate": np.arange(len(kids)), "cluster_id": [number.get(x, -1) for x in label.tolist()]})), "names")
+    labelled = join_checked(within, names, "candidate", "inner", 16).select("node", "cluster_id")
+    return h.graph.members.join(labelled, "node", "left").select(
+        "id", F.coalesce("cluster_id", F.lit(-1)).cast("long").alias("cluster_id"))
 
 
 def density_cluster(
     df: DataFrame, id_col: str, vec: str, min_cluster_size: int | None = None,
-    min_samples: int = MIN_SAMPLES, max_summaries: int = MAX_SUMMARIES,
+    min_samples: int = MIN_SAMPLES, k: int = GRAPH_K, method: str = "exact", chunk: int = CHUNK,
 ) -> DataFrame:
-    """id and cluster_id; -1 is noise, clusters are numbered by falling size."""
-    spark = df.sparkSession
-    points = settle(
-        df.filter(F.col(vec).isNotNull()).select(F.col(id_col).cast("long").alias("id"), V.as_doubles(F.col(vec)).alias("v")),
-        "points",
-    )
-    # Copies of a vector are one candidate, so the limit counts different vectors.
-    chosen = points.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(max_summaries).collect()
-    if not chosen:
-        return points.select(F.col("id").alias(id_col), F.lit(-1).cast("long").alias("cluster_id"))
-    pivots = np.unique(np.array([r["v"] for r in chosen]), axis=0)
-    assigned = settle(_assign(points, pivots), "assigned")
-    n, mean, extent = _summaries(assigned, len(pivots), pivots.shape[1])
-    used = np.flatnonzero(n)
-    bubbles = _Bubbles(mean[used], n[used], extent[used])
-    if min_cluster_size is None:
-        min_cluster_size = default_min_cluster_size(int(n.sum()))
-    core = _core_distances(spark, bubbles, min_samples)
-    tree = _spanning_tree(spark, bubbles, core)
-    labels = _select_clusters(tree, bubbles.n, core, min_cluster_size)
-    names = spark.createDataFrame(
-        pd.DataFrame({"summary": used.astype("int64"), "cluster_id": labels.astype("int64")})
-    )
-    return assigned.select("id", "summary").join(F.broadcast(names), "summary").select(
-        F.col("id").alias(id_col), "cluster_id"
-    )
+    """id and cluster_id of every row with a vector; -1 is noise, clusters are numbered by falling size."""
+    graph = neighbor_graph(df, id_col, vec, max(k, min_samples), method=method)
+    return labels_of(hierarchy(graph, min_samples, chunk), min_cluster_size, chunk).withColumnRenamed("id", id_col)
 
 
 def stability_runs(
-    df: DataFrame, id_col: str, vec: str, configs: list[tuple[int | None, int]]
-) -> DataFrame:
-    """One clustering per (min_cluster_size, min_samples), reported side by side."""
-    from ticketmill.operators.centroids import noise_summary
-
-    out = None
-    for size, samples in configs:
-        run = noise_summary(density_cluster(df, id_col, vec, size, samples)).withColumns({
-            "min_cluster_size": F.lit(size).cast("long"), "min_samples": F.lit(samples).cast("long"),
-        })
-        out = run if out is None else out.unionByName(run)
-    return out
+    df: DataFrame, id_col: str, vec: str, configs: list[tuple[int | None, int]], k: int = GRAPH_K,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One clustering per (min_cluster_size, min_samples), all over one neighbour graph and one merge tree per min_samples.
+
+    Gives the runs (run, sizes, noise), their agreement pair by pair (first, second, points, adjusted_rand),
+    and what becomes of each cluster (first, second, cluster_id, members, partner, kept: the largest
+    share of its members that one cluster of the other run holds).
+    """
+    graph = neighbor_graph(df, id_col, vec, max(k, *(s for _, s in configs)))
+    trees = {s: hierarchy(graph, s) for s in sorted({s for _, s in configs})}
+    runs = [settle(labels_of(trees[s], size), "run") for size, s in configs]
+    summary = pairs = fates = None
+    for i, ((size, samples), run) in enumerate(zip(configs, runs)):
+        row = noise_summary(run).withColumns({
+            "run": F.lit(i).cast("long"), "min_cluster_size": F.lit(size).cast("long"), "min_samples": F.lit(samples).cast("long")})
+        summary = row if summary is None else summary.unionByName(row)
+        for j in range(len(runs)):
+            if i == j:
+                continue
+            both = run.join(runs[j].withColumnRenamed("cluster_id", "other"), "id")
+            table = settle(contingency(both, "cluster_id", "other"), "contingency")
+            marks = {"first": F.lit(i).cast("long"), "second": F.lit(j).cast("long")}
+            if i < j:
+                one = agreement(table, "cluster_id", "other").withColumns(marks)
+                pairs = one if pairs is None else pairs.unionByName(one)
+            held = table.filter("cluster_id >= 0")
+            size_of = held.groupBy("cluster_id").agg(F.sum("n").alias("members"))
+            fate = top_per_group(held.filter("other >= 0"), "cluster_id", [F.col("n").desc(), F.col("other")], 1).select(
+                "cluster_id", F.col("other").alias("partner"), "n")
+            fate = size_of.join(fate, "cluster_id", "left").select(
+                "cluster_id", "members", "partner", (F.coalesce("n", F.lit(0)) / F.col("members")).alias("kept")).withColumns(marks)
+            fates = fate if fates is None else fates.unionByName(fate)
+    return summary, pairs, fates

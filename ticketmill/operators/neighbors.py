@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ticketmill.functions import vectors as V
 from ticketmill.operators.centroids import every, nearest_rows, pairwise, stack
+from ticketmill.operators.ranking import running_total
 from ticketmill.operators.tickets import top_per_group
 from ticketmill.session import settle
 
@@ -194,6 +196,34 @@ def _knn_hashed(reps: DataFrame, k: int, tables: int = HASH_TABLES, planes: int
     return top_per_group(best, "rid", [F.col("distance"), F.col("nid")], k).select("rid", "nid", "distance")
 
 
+@dataclass
+class Graph:
+    """``members`` (id, node), ``nodes`` (node from 0, rid: smallest id, weight: copies, v) and ``near`` (node, nid, distance)."""
+
+    members: DataFrame
+    nodes: DataFrame
+    near: DataFrame
+
+
+def neighbor_graph(df: DataFrame, id_col: str, vec: str, k: int, method: str = "exact") -> Graph:
+    """Each different vector with its ``k`` nearest others; rows without a vector are left out.
+
+    Copies are one node of that weight, so a vector that a third of all rows share is one row here.
+    """
+    if method not in ("exact", "lsh"):
+        raise ValueError(f"unknown method {method}")
+    keyed = settle(df.filter(F.col(vec).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), V.as_doubles(F.col(vec)).alias("v")).withColumn("h", F.sha2(F.to_json("v"), 256)), "keyed")
+    reps = settle(keyed.groupBy("h").agg(
+        F.min("id").alias("rid"), F.first("v").alias("v"), F.count(F.lit(1)).alias("weight")).withColumn("all", F.lit("")), "reps")
+    nodes = settle(running_total(reps, "all", [F.col("h")], name="node").select("node", "rid", "weight", "v", "h"), "nodes")
+    found = nodes.select(F.col("node").alias("rid"), "v")
+    near = _knn_hashed(found, k + 1) if method == "lsh" else _knn_distinct(found, k + 1, None, TILE_ROWS)
+    near = settle(near.filter("rid <> nid").select(F.col("rid").alias("node"), "nid", "distance"), "near")
+    members = settle(keyed.select("id", "h").join(nodes.select("h", "node"), "h").select("id", "node"), "members")
+    return Graph(members, nodes.drop("h"), near)
+
+
 def top_k_similar(
     df: DataFrame, id_col: str, vec: str, k: int = 5, *, normalize: bool = True,
     pivots: int | None = None, tile_rows: int = TILE_ROWS, method: str = "exact",

@@ -37,15 +37,8 @@ def redaction_audit(
     which redactions happen (rules in turn, last match first within a rule).
     Rows without an at sign or digit are dropped before any rule runs.
     """
-    df = df.select(id_col, F.col(col).alias("_t0")).filter(P.may_hold_pii(F.col("_t0")))
-    hit_cols = []
-    for i, rule in enumerate(rules):
-        df = df.withColumns({
-            f"_h{i}": P.rule_hits(F.col(f"_t{i}"), rule),
-            f"_t{i + 1}": P.apply_rule(F.col(f"_t{i}"), rule),
-        }).drop(f"_t{i}")
-        hit_cols.append(f"_h{i}")
-    return df.select(id_col, F.posexplode(F.concat(*hit_cols)).alias("step", "h")).select(
+    hits = P.all_hits(F.col(col), tuple(rules))
+    return df.filter(P.may_hold_pii(F.col(col))).select(id_col, F.posexplode(hits).alias("step", "h")).select(
         id_col, F.col("step").cast("long").alias("step"), "h.type",
         F.col("h.original_length").cast("long").alias("original_length"),
         F.col("h.position").cast("long").alias("position"),
@@ -58,22 +51,13 @@ def hits_by_type(df: DataFrame, col: str, rules: Sequence[P.Rule] = P.RULES) ->
     Hits are counted per row first, so at most one number per rule and row goes on,
     and partial sums leave eight rows per task to shuffle.
     """
-    df = df.select(F.col(col).alias("_t0")).filter(P.may_hold_pii(F.col("_t0")))
-    counts = []
-    for i, rule in enumerate(rules):
-        df = df.withColumns({
-            f"_n{i}": F.regexp_count(F.col(f"_t{i}"), F.lit(rule.regex)),
-            f"_t{i + 1}": P.apply_rule(F.col(f"_t{i}"), rule),
-        }).drop(f"_t{i}")
-        counts.append(F.struct(F.lit(rule.name).alias("type"), F.col(f"_n{i}").alias("n")))
-    return (
-        df.select(F.explode(F.array(*counts)).alias("x"))
-        .groupBy("x.type")
-        .agg(
-            F.sum("x.n").cast("long").alias("hits"),
-            F.count_if(F.col("x.n") > 0).cast("long").alias("texts"),
-        )
-    )
+    rules = tuple(rules)
+    # Every type has a row, hits or not, as long as there are texts to look at.
+    none = F.array(*[F.struct(F.lit(r.name).alias("type"), F.lit(0).alias("n")) for r in rules])
+    counts = df.filter(P.may_hold_pii(F.col(col))).select(
+        F.explode(F.concat(P.hit_counts(F.col(col), rules), none)).alias("x"))
+    return counts.groupBy("x.type").agg(
+        F.sum("x.n").cast("long").alias("hits"), F.count_if(F.col("x.n") > 0).cast("long").alias("texts"))
 
 
 def leftover_pii(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.functions import pii as P
@@ -16,15 +16,19 @@ from ticketmill.operators.embedding import MODEL_VERSION, embed, embed_with, fit
 from ticketmill.operators.quality import cleaning_stats
 from ticketmill.operators.redaction import TEXT_FIELDS, redact
 from ticketmill.operators.tickets import first_n, missing_from, with_text
+from ticketmill.schemas import CLEAN_INPUTS
 from ticketmill.session import settle
 from ticketmill.sources.tables import SnapshotTable, load_embeddings
 
+# The raw columns that ``clean_tickets`` reads.
+CLEANED_FROM = ("subject", "description", "comments_json", "channel")
+
 Encode = Callable[[list[str]], list[list[float]]]
 
 
-def clean_and_redact(raw: DataFrame, rules: Sequence[P.Rule] = P.RULES) -> DataFrame:
-    """Raw rows to clean rows plus ``is_faulty``, in one narrow lazy plan."""
-    cleaned = clean_tickets(raw)
+def clean_and_redact(raw: DataFrame, rules: Sequence[P.Rule] = P.RULES, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Raw rows to clean rows plus ``is_faulty`` and the columns ``keep``, in one narrow lazy plan."""
+    cleaned = clean_tickets(raw, keep)
     return redact(cleaned, TEXT_FIELDS, rules, "has_pii_redacted").withColumn(
         "processed_at", F.current_timestamp()
     )
@@ -36,29 +40,44 @@ def run_clean(
 ) -> dict[str, float]:
     """Clean what is not yet clean, or has changed since (or everything), and upsert it by ticket.
 
-    Tickets whose comments are malformed are counted as errors and, with ``quarantine``,
-    stored there; they are tried again once they are updated, not on every run.
+    A ticket has changed if the fingerprint of the columns that cleaning reads differs from the one
+    that ``processed_inputs`` holds for it. Clock times play no part, so a version that arrives while a run is
+    on is found by the next run, and one that changes other columns only is not cleaned again.
+    New ``rules`` need ``reprocess``. Tickets whose comments are malformed are counted as errors and,
+    with ``quarantine``, stored there; they are tried again once they change, not on every run.
     """
-    todo = raw
+    inputs = processed_inputs(clean)
+    todo = raw.withColumn("input_hash", input_hash())
     if not reprocess:
-        todo = outdated(todo, clean.read())
-        if quarantine is not None:
-            todo = outdated(todo, quarantine.read())
+        todo = changed(todo, inputs.read())
     todo = settle(first_n(todo, limit), "todo")
-    done = settle(clean_and_redact(todo, rules), "cleaned")
+    done = settle(clean_and_redact(todo, rules, keep=("input_hash",)), "cleaned")
     stats = cleaning_stats(done).first().asDict()
-    clean.upsert(done.filter(~F.col("is_faulty")), keep=(), order=("processed_at",))
+    good = done.filter(~F.col("is_faulty"))
+    clean.upsert(good, keep=(), order=("processed_at",))
     if quarantine is not None:
-        bad = todo.join(done.filter("is_faulty").select("ticket_id", "processed_at"), "ticket_id")
+        bad = todo.join(done.filter("is_faulty").select("ticket_id", "input_hash", "processed_at"), ["ticket_id", "input_hash"])
         quarantine.upsert(bad, keep=(), order=("processed_at",))
+    # Last, so that a run that dies before is done again, with the same result.
+    inputs.upsert(good if quarantine is None else done, keep=(), order=("processed_at",))
     return stats
 
 
-def outdated(raw: DataFrame, done: DataFrame) -> DataFrame:
-    """Tickets that ``done`` lacks, or that were taken in again after it processed them."""
-    seen = done.select("ticket_id", F.col("processed_at").alias("_at"))
+def processed_inputs(clean: SnapshotTable) -> SnapshotTable:
+    """ticket_id, input_hash, processed_at of what ``run_clean`` has processed, beside the clean table."""
+    return SnapshotTable(clean.spark, f"{clean.path}.inputs", CLEAN_INPUTS, bucket_rows=clean.bucket_rows).ensure()
+
+
+def input_hash() -> Column:
+    """Fingerprint of what cleaning reads of a raw ticket; a null differs from any text, also in the next column."""
+    return F.xxhash64(*[c for name in CLEANED_FROM for c in (F.col(name), F.col(name).isNull())])
+
+
+def changed(raw: DataFrame, done: DataFrame) -> DataFrame:
+    """Tickets (with ``input_hash``) that ``done`` lacks or made from other input."""
+    seen = done.select("ticket_id", F.col("input_hash").alias("_seen"), F.lit(True).alias("_known"))
     fresh = raw.join(seen, "ticket_id", "left")
-    return fresh.filter(F.col("_at").isNull() | (F.col("ingested_at") > F.col("_at"))).drop("_at")
+    return fresh.filter(F.col("_known").isNull() | ~F.col("_seen").eqNullSafe(F.col("input_hash"))).drop("_seen", "_known")
 
 
 def run_embeddings(
@@ -91,15 +110,13 @@ def run_embeddings(
 
 def cluster_vectors(
     vectors: DataFrame, min_cluster_size: int | None = None,
-    dimensions: int = reduction.CLUSTER_DIMENSIONS, max_summaries: int = density.MAX_SUMMARIES,
+    dimensions: int = reduction.CLUSTER_DIMENSIONS,
 ) -> tuple[DataFrame, DataFrame]:
     """(ticket_id, embedding_vector) to cluster rows, and the reduced points with labels."""
     reduced = settle(
         reduction.reduce(vectors, "embedding_vector", dimensions).select("ticket_id", "reduced"), "reduced"
     )
-    labelled = density.density_cluster(
-        reduced, "ticket_id", "reduced", min_cluster_size, max_summaries=max_summaries
-    )
+    labelled = density.density_cluster(reduced, "ticket_id", "reduced", min_cluster_size)
     points = settle(reduced.join(labelled, "ticket_id"), "labelled")
     rows = reduction.plot_coordinates(distance_to_centroid(points, "ticket_id", "reduced")).select(
         "ticket_id", "cluster_id", "distance_to_centroid",

@@ -33,6 +33,8 @@ CLEAN_TICKETS = _table(
 )
 # Tickets that cleaning could not read, as they came.
 QUARANTINE = T.StructType([*RAW_TICKETS, T.StructField("processed_at", _TS, False)])
+# Beside the clean table (ours): the fingerprint of the input that each ticket was last processed from.
+CLEAN_INPUTS = _table(ticket_id=_req(_LONG), input_hash=_req(_LONG), processed_at=_req(_TS))
 EMBEDDINGS = _table(
     ticket_id=_req(_LONG), embedding_vector=T.ArrayType(_DBL),
     model_version=_req(_STR), created_at=_req(_TS),

@@ -7,7 +7,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from ticketmill.llm import merkle, ranking
+from ticketmill.llm import merkle
+from ticketmill.operators import ranking
 
 SCHEMA = "doc_id long, source string, lang string, n_chars long, text string"
 COLUMNS = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

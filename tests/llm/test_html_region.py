@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from ticketmill.llm import html_region
@@ -35,6 +37,29 @@ def test_unclosed_and_odd_markup():
     assert html_region.main_text("<p>" + "word " * 200_000, WEIGHTS) == ("word " * 200_000).strip()
 
 
+@pytest.mark.parametrize("wrap", [
+    '<div class="layout with-sidebar"><article>{}</article></div>', '<div id="page" class="site no-sidebar header-fixed"><article>{}</article></div>',
+    '<form id=aspnet><div class="content">{}</div></form>', '<div class="sidebarRight menu-open"><div>{}</div></div>'])
+def test_names_on_wrappers_say_nothing(wrap):
+    more = "<p>" + "some more words of the article that fill the page " * 8 + "</p>"
+    page = AROUND.replace("{}", wrap.replace("{}", ARTICLE + more))
+    assert html_region.main_text(page, WEIGHTS).startswith(TEXT + " some more") and "thanks" not in html_region.main_text(page, WEIGHTS)
+
+
+def test_long_comments_do_not_become_the_article():
+    page = "<article><h1>Title</h1><p>" + "short text " * 6 + "</p></article><div class=comments><p>" + "long reply here " * 60 + "</p></div>"
+    assert "reply" not in html_region.main_text(page, WEIGHTS)
+
+
+@pytest.mark.parametrize("page", [
+    "<i>" * 150_000 + "x y z" + "</b>" * 150_000, '<a href="x ' * 150_000, '<a href="x ' * 150_000 + ">", "<a '>' \">\" " * 100_000,
+    "<script <style " * 100_000, "<!-- " * 200_000, "<p><div>" * 100_000 + "</p>" * 100_000])
+def test_time_grows_with_the_length(page):
+    start = time.perf_counter()
+    html_region.main_text(page, WEIGHTS)
+    assert time.perf_counter() - start < 10
+
+
 def test_best_region_is_the_highest_sum():
     weights = {**WEIGHTS, "word": 1.0, "<div>": -3.0, "<p>": -0.5}
     page = "<div>a b</div><div></div><div></div><p>c d e f</p><p>g h</p><div></div><div></div>i"

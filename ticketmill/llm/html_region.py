@@ -9,8 +9,14 @@ furniture inside it, are the text.
 
 Scripts, styles, comments and other raw elements never enter the stream. Character references
 are decoded; white space inside a block becomes one space, blocks are trimmed and joined by
-one space; inline tags do not part words. Null and empty pages give an empty text, as do
-pages without a region of positive sum.
+one space; inline tags do not part words. A name says nothing on an element that holds most of the
+page's words and a headline or article, or nearly all words and only names of layout: that is a wrapper.
+
+Null and empty pages give an empty text, as do pages without a region of positive sum. Of regions
+of equal sum the earliest is taken. Rows that repeat a page are each extracted; an empty table gives
+no rows; extra columns are ignored, whatever their names. Very long pages are read whole, in time that
+grows with their length: end tags are looked up by a count of open names, an attribute list of more
+than ``ATTRIBUTES`` parts is read without regard to quotes.
 """
 
 from __future__ import annotations
@@ -30,6 +36,9 @@ SMOOTHING = 1.0
 LEAST_TAG_COST = 0.1
 LEAST_WORD_GAIN = 0.2
 
+ATTRIBUTES = 200
+MOST, NEARLY_ALL = 0.5, 0.8
+
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr".split())
@@ -44,86 +53,139 @@ FURNITURE_NAMES = frozenset(
     "header masthead topbar toolbar footer foot copyright sidebar side aside rail widget widgets related recommended "
     "share sharing social follow newsletter subscribe signup login search form comment comments commentlist disqus reply "
     "replies respond skip hidden contentinfo complementary".split())
+# Those that also tell how a page is laid out ("with-sidebar", "header-fixed").
+LAYOUT_NAMES = frozenset(
+    "banner nav navbar navigation menu header topbar toolbar footer sidebar side rail widget widgets search form".split())
 CONTENT_NAMES = frozenset("content article main post entry story body text".split())
 KNOWN_TAGS = frozenset(
     "a article b blockquote body br code dd div dl dt em figcaption figure h1 h2 h3 h4 h5 h6 header hr i img li main ol p pre "
     "section span strong table tbody td th thead tr u ul".split()) | FURNITURE_TAGS
 TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b[^>]*+>.*?(?:</(?P=raw)\s*+>|\Z)|<[!?][^>]*+>"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'){{0,{ATTRIBUTES}}}+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*+)(?P<attrs2>[^>]*+)>", re.I | re.S)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
-def is_furniture(name: str, attrs: str, inside_article: bool) -> bool:
+def furniture_names(name: str, attrs: str, inside_article: bool) -> frozenset | None:
+    """What makes an element furniture: its names, an empty set if nothing can excuse it, None if nothing does."""
     if name in BODY_TAGS:
-        return False
+        return None
+    if name == "form":
+        return frozenset(["form"])
     if name in FURNITURE_TAGS or name == "header" and not inside_article:
-        return True
+        return frozenset()
     if "=" not in attrs and "hidden" not in attrs:
-        return False
+        return None
     if HIDDEN.search(attrs):
-        return True
+        return frozenset()
+    found = set()
     for parts in NAMED.findall(attrs):
         for value in "".join(parts).split():
             words = re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower())
-            if FURNITURE_NAMES.intersection(words) and not CONTENT_NAMES.intersection(words):
-                return True
-    return False
+            if not CONTENT_NAMES.intersection(words):
+                found |= FURNITURE_NAMES.intersection(words)
+    return frozenset(found) or None
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
-    """(kind, payload, inside an article): kind is ``tag``, ``word``, ``link`` or ``chrome``.
+class Element:
+    """An open tag: what speaks against it, and the words and headlines of the page before and after it."""
+
+    __slots__ = ("name", "names", "words", "heads")
+
+    def __init__(self, name: str, names: frozenset | None, words: int, heads: int):
+        self.name, self.names, self.words, self.heads = name, names, -words, -heads
+
+    def is_furniture(self, words: int) -> bool:
+        if not self.names:
+            return self.names is not None
+        wraps = self.heads > 0 and self.words >= MOST * words or self.words >= NEARLY_ALL * words and self.names <= LAYOUT_NAMES
+        return not (wraps and self.words > 0)
 
-    The payload is a tag name or a stretch of decoded text; a tag that parts words has its
-    name, one that does not has the name after a ``~``.
-    """
-    stack: list[tuple[str, bool]] = []
-    furniture = links = articles = at = 0
+
+def events(page: str) -> tuple[list[tuple], int]:
+    """The page as (what, value, inside an article): text, tag, open or close of an element; and its number of words."""
+    out: list[tuple] = []
+    stack: list[Element] = []
+    open_names: Counter = Counter()
+    articles = words = heads = at = 0
+    hidden = False
 
     def text(upto: int):
+        nonlocal words
         if upto > at and (piece := page[at:upto]):
-            kind = "chrome" if furniture else "link" if links else "word"
-            return kind, html.unescape(piece) if "&" in piece else piece, articles > 0
-        return None
+            piece = html.unescape(piece) if "&" in piece else piece
+            words += len(piece.split())
+            out.append(("text", piece, articles > 0))
 
     def pop():
-        nonlocal furniture, links, articles
-        name, was = stack.pop()
-        furniture -= was
-        links -= name == "a"
-        articles -= name in ("article", "main")
-
-    for m in TOKEN.finditer(page):
-        if got := text(m.start()):
-            yield got
+        nonlocal articles
+        e = stack.pop()
+        open_names[e.name] -= 1
+        articles -= e.name in ("article", "main")
+        e.words += words
+        e.heads += heads
+        out.append(("close", e, articles > 0))
+
+    # Nothing behind the last bracket can be a tag, and looking there for one would never end.
+    for m in TOKEN.finditer(page, 0, page.rfind(">") + 1):
+        text(m.start())
         at = m.end()
         name = m["name"] or m["name2"]
         if name is None:
+            # A comment or raw element that nothing ends holds the rest of the page.
+            shut = f"</{m['raw'].lower()}" in m[0].lower() if m["raw"] else not m[0].startswith("<!--") or m[0].endswith("-->")
+            hidden = not shut
             if m["raw"] and m["raw"].lower() in ("select", "textarea", "object", "iframe", "video", "audio"):
-                yield "tag", m["raw"].lower(), articles > 0
+                out.append(("tag", m["raw"].lower(), articles > 0))
             continue
         name = name.lower()
+        shown = "~" + name if name in INLINE else name
         if m["end"] or m["end2"]:
-            if any(n == name for n, _ in reversed(stack)):
-                while stack[-1][0] != name:
+            if open_names[name]:
+                while stack[-1].name != name:
                     pop()
-                yield "tag", "~" + name if name in INLINE else name, articles > 0
+                out.append(("tag", shown, articles > 0))
                 pop()
             continue
         if name == "body" or name == "html":
             continue
+        heads += name in ("article", "main", "h1")
         if name not in VOID:
-            attrs = m["attrs"] or m["attrs2"] or ""
-            was = is_furniture(name, attrs, articles > 0)
-            stack.append((name, was))
-            furniture += was
-            links += name == "a"
+            e = Element(name, furniture_names(name, m["attrs"] or m["attrs2"] or "", articles > 0), words, heads)
+            stack.append(e)
+            open_names[name] += 1
             articles += name in ("article", "main")
-        yield "tag", "~" + name if name in INLINE else name, articles > 0
-    if got := text(len(page)):
-        yield got
+            out.append(("open", e, articles > 0))
+        out.append(("tag", shown, articles > 0))
+    rest = page[at:]
+    if hidden:
+        rest = ""
+    page = page[:at] + rest.partition("<!--")[0]
+    text(len(page))
+    while stack:
+        pop()
+    return out, words
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
+    """(kind, payload, inside an article): kind is ``tag``, ``word``, ``link`` or ``chrome``.
+
+    The payload is a tag name or a stretch of decoded text; a tag that parts words has its
+    name, one that does not has the name after a ``~``.
+    """
+    found, words = events(page)
+    furniture = links = 0
+    for what, value, inside in found:
+        if what == "text":
+            yield "chrome" if furniture else "link" if links else "word", value, inside
+        elif what == "tag":
+            yield "tag", value, inside
+        else:
+            step = 1 if what == "open" else -1
+            furniture += step * value.is_furniture(words)
+            links += step * (value.name == "a")
 
 
 def key(kind: str, payload: str) -> str:

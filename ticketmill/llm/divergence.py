@@ -10,7 +10,9 @@ distance must also stay below ``WORDLESS`` times that of a text without any comm
 Base counts (words are runs of anything but ASCII white space): see ``base_counts``. A text
 fails the base rule with fewer than ten words or more than a fifth of them in repeated
 five-word windows. Null and empty texts have no words and fail. With no reference at all
-(empty table, no ``lang``) only the base rule judges.
+(empty table, no ``lang``) only the base rule judges. A distance equal to its bound passes; of equally near
+references either gives the same distance. Rows that repeat a doc_id are each judged by their own text. Extra
+columns are ignored, whatever their names; very long texts are read whole, in a task's memory.
 """
 
 from __future__ import annotations
@@ -157,7 +159,7 @@ def distances(one, many):
 def judge(
     docs: DataFrame, refs: dict[str, dict] | None = None, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE
 ) -> DataFrame:
-    """doc_id, the base counts, char_distance and word_distance (null if not judged), base_failed, kept."""
+    """doc_id, the base counts, base_failed, kept, char_distance and word_distance (null if not judged)."""
     refs = references(docs) if refs is None else refs
     langs = sorted(refs)
 
@@ -209,4 +211,5 @@ def judge(
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-        "char_distance double, word_distance double, base_failed boolean, kept boolean")
+        "char_distance double, word_distance double, base_failed boolean, kept boolean").select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")

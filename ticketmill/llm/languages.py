@@ -10,7 +10,9 @@ carries its posterior probability. Null texts and texts without a letter are ``u
 The probabilities are learned by expectation-maximisation on word counts of a bounded sample:
 about ``SAMPLE_DOCS`` labelled rows of each language, chosen by a hash of doc_id (a parameter;
 the only sampling here). Predictions use whole texts and read no other column. Languages are
-expected to be few: a model holds vocabulary times languages numbers.
+expected to be few: a model holds vocabulary times languages numbers. Equal scores go to the first language by
+name. Rows that repeat a doc_id are each judged by their own text; very long texts are read whole, each different
+word once. Extra columns are kept beside the answer in ``row`` or ignored, whatever their names.
 """
 
 from __future__ import annotations

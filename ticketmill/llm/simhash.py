@@ -4,7 +4,9 @@ Words are runs of anything but ASCII white space, A-Z in lower case; features ar
 consecutive words (fewer words: the whole sequence), repeats included, hashed by XXH64 with
 seed 42. A bit is 1 if it is set in more than half of the hashes. Texts without words, null
 and empty ones included, get fingerprint 0 and are linked like any other. Rows with the same
-fingerprint meet before anything is compared, so copies cost one row of an aggregate.
+fingerprint meet before anything is compared, so copies cost one row of an aggregate. Rows that repeat a
+doc_id keep a row each, by their own texts. Extra columns are ignored, whatever their names; very long texts are
+hashed whole, in stretches of features.
 """
 
 from __future__ import annotations

@@ -5,9 +5,14 @@ maximisation (Dawid and Skene 1979) estimates from their agreement alone how acc
 is, on the counts of vote patterns over all documents, and so gives every pattern a posterior
 probability of good. Those posteriors are the soft labels of a logistic scorer over hashed
 words, word shapes and bucketed text statistics, fitted on a bounded sample: about
-``SAMPLE_DOCS`` documents chosen by a hash of their text (a parameter; the only sampling here).
-
-Null and empty texts are bad by the length labeller; all labellers silent leave the prior.
+``SAMPLE_DOCS`` different texts at most, chosen by a hash of the text and weighed by how many rows
+have them, each with its ``FIT_FEATURES`` commonest features (two parameters; the only sampling here).
+So what the driver holds is bounded, however long texts are and however often one repeats.
+
+Null and empty texts are bad by the length labeller; all labellers silent leave the prior. Rows that
+repeat a doc_id are each scored by their own text, and equal texts get equal scores; a score of exactly
+0.5 is kept. An empty table gives no rows; extra columns are ignored, whatever their names; very long texts
+are scored whole.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from pyspark.sql import functions as F
 from ticketmill.llm.divergence import CLASSES, _class_table, char_classes
 
 SAMPLE_DOCS = 4000
+FIT_FEATURES = 4096
 BUCKETS = 1 << 16
 EM_ROUNDS = 50
 FIT_ROUNDS = 300
@@ -145,36 +151,50 @@ def fit(docs: DataFrame, posterior: dict[str, float], total: int, sample_docs: i
     import numpy as np
 
     place = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1_000_000)) / F.lit(1e6)
-    chosen = docs.select("text").filter(place < min(1.0, sample_docs / max(1, total)))
+    chosen = docs.select(F.coalesce("text", F.lit("")).alias("text")).filter(place < min(1.0, sample_docs / max(1, total)))
+    chosen = chosen.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("n"))
 
     def features(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         table = _class_table()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text, n in zip(*(c.to_pylist() for c in batch.columns)):
                 s, words = statistics(text, table)
                 flat = [b for w in words for b in word_buckets(w)]
                 where, times = np.unique(np.array(flat, np.int64), return_counts=True)
+                if len(where) > FIT_FEATURES:
+                    most = np.sort(np.lexsort((where, -times))[:FIT_FEATURES])
+                    where, times = where[most], times[most]
                 extra = text_buckets(s)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([votes(s)]), pa.array([[*where.tolist(), *extra]], pa.list_(pa.int32())),
+                    [pa.array([n], pa.int64()), pa.array([votes(s)]), pa.array([[*where.tolist(), *extra]], pa.list_(pa.int32())),
                      pa.array([[*(times / max(1, len(words))).tolist(), *[0.2] * len(extra)]], pa.list_(pa.float64()))],
-                    names=["p", "at", "x"])
+                    names=["n", "p", "at", "x"])
 
-    rows = chosen.mapInArrow(features, "p string, at array<int>, x array<double>").collect()
-    weights = np.zeros(BUCKETS + 1)
+    rows = chosen.select("text", "n").mapInArrow(features, "n long, p string, at array<int>, x array<double>").collect()
+    rows.sort(key=lambda r: (r["p"], r["n"], r["at"], r["x"]))  # sums do not depend on the order of tasks
     if not rows:
-        return weights
+        return np.zeros(BUCKETS + 1)
+    return descend(rows, posterior)
+
+
+def descend(rows, posterior: dict[str, float], rounds: int = FIT_ROUNDS):
+    """The weights that fit posteriors of good to rows (n, p: votes, at, x: features) by gradient descent."""
+    import numpy as np
+
+    weights = np.zeros(BUCKETS + 1)
     y = np.array([posterior[r["p"]] for r in rows])
     sizes = np.array([len(r["at"]) for r in rows])
     at = np.concatenate([np.array(r["at"]) for r in rows])
     x = np.concatenate([np.array(r["x"]) for r in rows])
     row = np.repeat(np.arange(len(rows)), sizes)
+    share = np.array([r["n"] for r in rows], float)
+    share /= share.sum()
     squares, velocity = np.full(BUCKETS + 1, 1e-8), np.zeros(BUCKETS + 1)
-    for step in range(FIT_ROUNDS):
+    for _ in range(rounds):
         z = np.bincount(row, x * weights[at], len(rows)) + weights[-1]
-        error = (1 / (1 + np.exp(-z)) - y) / len(rows)
+        error = (1 / (1 + np.exp(-z)) - y) * share
         slope = np.r_[np.bincount(at, x * error[row], BUCKETS), error.sum()] + RIDGE * weights * np.r_[np.ones(BUCKETS), 0]
         velocity = 0.9 * velocity + 0.1 * slope
         squares = 0.99 * squares + 0.01 * slope * slope

@@ -368,41 +368,49 @@ def verified(prints, texts: list[str], labels: list[int], radius: int, similarit
 
 
 def line_texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """``asked`` (doc_id, rid, line, digest, fp) as digest, fp, text: each line fetched from its document, once."""
-    per_doc = settle(asked.groupBy("doc_id", "rid").agg(F.collect_list(F.struct("line", "digest", "fp")).alias("asked")), "per-doc")
+    """``asked`` (doc_id, rid, line) as digest, fp, text: each line fetched from its document, once.
+
+    Only line numbers travel to the documents; digests and prints are worked out again there.
+    """
+    per_doc = settle(asked.groupBy("doc_id", "rid").agg(F.collect_list("line").alias("asked")), "per-doc")
 
     def fetch(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        schema = pa.schema([("digest", pa.int64()), ("fp", pa.int64()), ("text", pa.string())])
         for batch in batches:
-            for row in range(batch.num_rows):
-                text, asked = (c[0].as_py() for c in batch.slice(row, 1).columns)
-                parts = text.encode().lower().split(b"\n")
-                out = [(a["digest"], a["fp"], b" ".join(parts[a["line"]].split()).decode()) for a in asked]
-                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*out), schema)], schema=schema)
+            found: list[bytes] = []
+            for text, numbers in zip(*batch.columns):
+                parts = text.as_py().encode().lower().split(b"\n")
+                found += [b" ".join(parts[k].split()) for k in numbers.as_py()]
+            if found:
+                _, _, digest, prints, _ = prints_of(b"\n".join(found) + b"\n")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(digest), pa.array(prints), pa.array([x.decode() for x in found])], names=["digest", "fp", "text"])
 
     texts = join_checked(docs.select(F.col("doc_id").cast("long"), row_id(), "text"), per_doc, ["doc_id", "rid"], "inner",
-                         "32 + 20 * cast(size(asked) as bigint)")
+                         "32 + 4 * cast(size(asked) as bigint)")
     # Rows that repeat doc_id and text answer alike.
-    return texts.select("text", "asked").mapInArrow(fetch, "digest long, fp long, text string").dropDuplicates(["digest"])
+    return texts.select("text", "asked").mapInArrow(fetch, "digest long, fp long, text string")
 
 
 def _check_pairs(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """``pairs`` (a, b: prints) with the digests da, db of their first lines and whether those are similar."""
+    """Those ``pairs`` (a, b: prints) whose first lines, in ``texts`` (fp, text), are similar."""
     def check(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
         for batch in batches:
             held = [may_be_similar(x, y, similarity) and edit_similar(x, y, similarity)
-                    for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(held, pa.bool_())], names=["a", "b", "da", "db", "held"])
+                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield batch.select([0, 1]).filter(held)
 
-    first = texts.filter("lead")
-    left = first.select(F.col("fp").alias("a"), F.col("digest").alias("da"), F.col("text").alias("ta"))
-    right = first.select(F.col("fp").alias("b"), F.col("digest").alias("db"), F.col("text").alias("tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "da", "db", "ta", "tb").mapInArrow(
-        check, "a long, b long, da long, db long, held boolean")
+    left = texts.select(F.col("fp").alias("a"), F.col("text").alias("ta"))
+    right = texts.select(F.col("fp").alias("b"), F.col("text").alias("tb"))
+    return settle(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long"), "held")
+
+
+def _apart(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """``links`` (a, b, ...) whose ends have different labels; a print without a row in ``labels`` is its own."""
+    la, lb = (labels.select(F.col("node").alias(e), F.col("component").alias(f"l{e}")) for e in "ab")
+    return links.join(la, "a", "left").join(lb, "b", "left").filter(
+        F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb")
 
 
 def _ask_again(members: DataFrame, texts: DataFrame, radius: int, similarity: float) -> DataFrame:
@@ -456,28 +464,35 @@ def removals(
     spread = block_buckets(prints.select("fp"), radius if radius < blocks else min(SURE, blocks - 1), blocks).union(
         fuzzy.select("fp", F.posexplode("bands")).select("fp", F.xxhash64("pos", "col").alias("bucket")))
     members = settle(bucket_groups(spread, radius), "members")
-    pairs = settle(members.filter("fp <> near").select(
-        F.least("fp", "near").alias("a"), F.greatest("fp", "near").alias("b")).distinct(), "pairs")
+    found = members.filter("fp <> near").select("unit", F.col("fp").alias("a"), F.col("near").alias("b"))
+    # One link of each print first; then only links between what that leaves apart.
+    parents = settle(found.groupBy("a").agg(F.min("b").alias("b")), "parents")
 
-    linked = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct().withColumn("linked", F.lit(True))
+    linked = parents.select(F.col("a").alias("fp")).union(parents.select("b")).distinct().withColumn("linked", F.lit(True))
     wanted = settle(prints.join(linked, "fp", "left").filter("linked OR sharers > 1").select("fp", "sharers", "lead"), "wanted")
     asked = join_checked(fuzzy.select("digest", "fp", "first"), wanted.select("fp"), "fp", "inner", 16)
-    texts = settle(line_texts(docs, asked.select("digest", "fp", "first.*")).join(
+    texts = settle(line_texts(docs, asked.select("first.*")).dropDuplicates(["digest"]).join(
         wanted.select(F.col("lead").alias("digest"), F.lit(True).alias("is_lead")), "digest", "left").select(
         "digest", "fp", "text", F.coalesce("is_lead", F.lit(False)).alias("lead")), "texts")
-    checked = settle(_check_pairs(pairs, texts, similarity), "checked")
-    sure = checked.filter("held").select(F.col("da").alias("a"), F.col("db").alias("b"))
-    labels = connected_components(sure)
-
-    # Asked again: units with a link that fails, and those with a print that several lines share.
+    leads = texts.filter("lead").select("fp", "text")
+    held = _check_pairs(parents, leads, similarity)
+    labels = settle(connected_components(held), "labels")
+    others = settle(_apart(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), labels).join(
+        parents.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "others")
+    held = held.union(_check_pairs(others, leads, similarity))
+    labels = settle(connected_components(held), "labels")
+
+    # Asked again: units with a link whose ends are still apart, and those with a print that several lines share.
     shared = settle(wanted.filter("sharers > 1").select("fp"), "shared")
-    failed = checked.filter("not held").select("a", "b")
-    broken = members.withColumns({"a": F.least("fp", "near"), "b": F.greatest("fp", "near")}).join(failed, ["a", "b"]).select("unit")
-    open_units = settle(broken.union(join_checked(members, shared, "fp", "left_semi", 16).select("unit")).distinct(), "open-units")
+    open_units = settle(_apart(found, labels).select("unit").union(
+        join_checked(members, shared, "fp", "left_semi", 16).select("unit")).distinct(), "open-units")
     again = join_checked(members.select("unit", "fp"), open_units, "unit", "left_semi", 16).union(
         shared.select(F.col("fp").alias("unit"), "fp"))
-    labelled = settle(texts.join(labels, texts.digest == labels.node, "left").select(
-        "digest", "fp", "text", F.coalesce("component", "digest").alias("label")), "labelled")
+    digest_of = wanted.select(F.col("fp"), "lead")
+    sure = held.join(digest_of.toDF("a", "da"), "a").join(digest_of.toDF("b", "db"), "b").select(
+        F.col("da").alias("a"), F.col("db").alias("b"))
+    labelled = texts.join(labels, texts.fp == labels.node, "left").select(
+        "digest", "fp", "text", F.when(F.col("lead"), F.coalesce("component", "fp")).otherwise(F.col("digest")).alias("label"))
     links = sure.union(_ask_again(again, labelled, radius, similarity))
     groups = connected_components(links)
 

@@ -11,12 +11,12 @@ blocks, sure up to ``SURE`` bits (up to ``radius`` if there are more blocks than
 further apart with a probability that grows with their common words. ``RADIUS`` lies above nearly all pairs at ``SIMILARITY``.
 Of each connected group the occurrence with the smallest (doc_id, line number) stays.
 
-Only different lines are compared, in two steps. First the links that span a bucket's groups
-within the radius are verified, each pair once however many buckets report it. Where all of a
-bucket's links hold, nothing is left to ask there. The members of the other buckets then meet with
-their texts, and pairs that are not connected yet are verified until they are. Nothing depends on
-how far groups within the radius chain from bucket to bucket; crowded buckets are cut into chunks,
-every two of which meet.
+Only different lines are compared, in two steps. First links that span a bucket's groups
+within the radius are found; one for each line is verified. Where that connects all links of a family
+of lines, nothing is left to ask. The members of other families then meet with their texts, once a
+family, and pairs that are not connected yet are verified until they are, nearest first. Nothing depends
+on how far groups within the radius chain from family to family; crowded buckets and families are cut
+into chunks, every two of which meet.
 
 Null texts stay null and empty tables give empty results. Rows without a doc_id are left as they
 are. Rows that repeat a doc_id are each judged by their own text, and the line in the smallest
@@ -243,7 +243,8 @@ def near_trees(values, groups, radius: int):
 def bucket_groups(spread: DataFrame, radius: int) -> DataFrame:
     """unit, fp, near: members of the groups of two or more within ``radius`` in every bucket of ``spread`` (fp, bucket).
 
-    A unit is one such group; each member but one was found ``near`` another, at most ``radius`` bits off.
+    A unit is named by the print its groups were searched from, mostly the smallest of a family of lines, so the groups
+    that a family forms in many buckets are one unit. Each other member was found ``near`` a member, at most ``radius`` bits off.
     Buckets beyond ``CHUNK`` are cut, and every two chunks meet in a task.
     """
     import numpy as np
@@ -258,9 +259,8 @@ def bucket_groups(spread: DataFrame, radius: int) -> DataFrame:
         together = np.zeros(len(values), bool)
         together[root[root != np.arange(len(values))]] = True
         together |= root != np.arange(len(values))
-        unit = mix(groups.view(np.uint64) * np.uint64(_ODD) + values[root].view(np.uint64)).view(np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(unit[together]), pa.array(values[together]), pa.array(values[parent][together]), pa.array(np.zeros(together.sum(), bool))],
+            [pa.array(values[root][together]), pa.array(values[together]), pa.array(values[parent][together]), pa.array(np.zeros(together.sum(), bool))],
             names=["unit", "fp", "near", "large"])
 
     def hand_on(values, groups):
@@ -353,7 +353,9 @@ def verified(prints, texts: list[str], labels: list[int], radius: int, similarit
     sizes = np.array([len(t) for t in texts])
     limits = (1 - similarity) * sizes + 1e-9
     for i in range(1, len(texts)):
-        near = np.flatnonzero((root[:i] != root[i]) & (np.bitwise_count(prints[:i] ^ prints[i]) <= radius))
+        off = np.bitwise_count(prints[:i] ^ prints[i])
+        near = np.flatnonzero((root[:i] != root[i]) & (off <= radius))
+        near = near[np.argsort(off[near], kind="stable")]
         least = (np.abs(counts[near] - counts[i]).sum(axis=1) + 1) // 2
         near = near[least <= np.maximum(limits[near], limits[i]).astype(np.int64)]
         while len(near):
@@ -465,7 +467,7 @@ def removals(
         fuzzy.select("fp", F.posexplode("bands")).select("fp", F.xxhash64("pos", "col").alias("bucket")))
     members = settle(bucket_groups(spread, radius), "members")
     found = members.filter("fp <> near").select("unit", F.col("fp").alias("a"), F.col("near").alias("b"))
-    # One link of each print first; then only links between what that leaves apart.
+    # One link of each print is verified by itself.
     parents = settle(found.groupBy("a").agg(F.min("b").alias("b")), "parents")
 
     linked = parents.select(F.col("a").alias("fp")).union(parents.select("b")).distinct().withColumn("linked", F.lit(True))
@@ -477,17 +479,13 @@ def removals(
     leads = texts.filter("lead").select("fp", "text")
     held = _check_pairs(parents, leads, similarity)
     labels = settle(connected_components(held), "labels")
-    others = settle(_apart(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), labels).join(
-        parents.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "others")
-    held = held.union(_check_pairs(others, leads, similarity))
-    labels = settle(connected_components(held), "labels")
 
     # Asked again: units with a link whose ends are still apart, and those with a print that several lines share.
     shared = settle(wanted.filter("sharers > 1").select("fp"), "shared")
     open_units = settle(_apart(found, labels).select("unit").union(
         join_checked(members, shared, "fp", "left_semi", 16).select("unit")).distinct(), "open-units")
     again = join_checked(members.select("unit", "fp"), open_units, "unit", "left_semi", 16).union(
-        shared.select(F.col("fp").alias("unit"), "fp"))
+        shared.select(F.col("fp").alias("unit"), "fp")).distinct()
     digest_of = wanted.select(F.col("fp"), "lead")
     sure = held.join(digest_of.toDF("a", "da"), "a").join(digest_of.toDF("b", "db"), "b").select(
         F.col("da").alias("a"), F.col("db").alias("b"))

@@ -5,8 +5,9 @@ The steps of the published hierarchy (Campello et al., 2013), each as a Spark jo
 1. Different vectors become nodes; each is joined to its ``GRAPH_K`` nearest (``neighbor_graph``).
 2. An edge weighs the largest of its length and the core distances of its ends, where a core
    distance reaches ``min_samples`` other points, copies included.
-3. Least-edge rounds give the minimum spanning forest. Trees the graph leaves apart are joined by
-   the shortest edges between samples of trees whose means are neighbours.
+3. Least-edge rounds give the minimum spanning forest. Trees the graph leaves apart, and tight groups
+   that it joins by way of lone points only, get the shortest edges between samples of groups whose
+   means are neighbours.
 4. Edges in order of weight join the points up; ``merge_sizes`` finds what size each side then has.
    An edge between two sides of ``min_cluster_size`` points or more is a split. Every other point
    lands, at the weight at which its side first belongs to so many points.
@@ -29,9 +30,9 @@ from pyspark.sql import functions as F
 
 from ticketmill.functions import vectors as V
 from ticketmill.operators.agreement import agreement, contingency
-from ticketmill.operators.centroids import noise_summary, pairwise, stack
+from ticketmill.operators.centroids import noise_summary, pairwise
 from ticketmill.operators.graphs import CHUNK, connected_components, merge_sizes, spanning_forest
-from ticketmill.operators.neighbors import Graph, _knn_distinct, neighbor_graph
+from ticketmill.operators.neighbors import TILE_ROWS, Graph, _knn_distinct, neighbor_graph
 from ticketmill.operators.tickets import top_per_group
 from ticketmill.session import join_checked, settle
 
@@ -66,6 +67,32 @@ def core_distances(graph: Graph, min_samples: int) -> DataFrame:
     return settle(graph.nodes.join(reached, "node", "left").select("node", "weight", "rid", "v", core.alias("core")), "core")
 
 
+def _short_edges(groups: DataFrame) -> DataFrame:
+    """a, b, w, x, y: the shortest edge x-y between samples of groups a and b of ``groups`` (node, v, core, tree).
+
+    Each group is held against those with the nearest means, by ``BRIDGE_NODES`` of its nodes at most.
+    """
+    sample = top_per_group(groups, "tree", [F.xxhash64("node"), F.col("node")], BRIDGE_NODES)
+    held = settle(sample.groupBy("tree").agg(
+        V.mean_vector(F.col("v")).alias("mean"), F.sort_array(F.collect_list(F.struct("node", "core", "v"))).alias("held")), "samples")
+    near = _knn_distinct(held.select(F.col("tree").alias("rid"), F.col("mean").alias("v")), BRIDGE_TREES + 1, None, TILE_ROWS)
+    pairs = near.filter("rid <> nid").select(F.least("rid", "nid").alias("a"), F.greatest("rid", "nid").alias("b")).distinct()
+
+    def shortest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for a, b, one, two in zip(batch["a"], batch["b"], batch["one"], batch["two"]):
+                d = pairwise(np.array([s["v"] for s in one]), np.array([s["v"] for s in two]))
+                d = np.maximum(d, np.maximum(np.array([s["core"] for s in one])[:, None], [s["core"] for s in two]))
+                i, j = np.unravel_index(d.argmin(), d.shape)
+                out.append((a, b, float(d[i, j]), one[i]["node"], two[j]["node"]))
+            yield pd.DataFrame(out, columns=["a", "b", "w", "x", "y"])
+
+    one, two = (held.select(F.col("tree").alias(e), F.col("held").alias(n)) for e, n in (("a", "one"), ("b", "two")))
+    return settle(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInPandas(
+        shortest, "a long, b long, w double, x long, y long"), "spans")
+
+
 def _bridges(forest: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
     """``forest`` (x, y, w) with edges added until all ``nodes`` hang together."""
     while True:
@@ -74,30 +101,28 @@ def _bridges(forest: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
             "node", "v", "core", F.coalesce("component", "node").alias("tree")), "trees")
         if trees.select("tree").distinct().limit(2).count() < 2:
             return forest
-        sample = top_per_group(trees, "tree", [F.xxhash64("node"), F.col("node")], BRIDGE_NODES)
-        held = settle(sample.groupBy("tree").agg(
-            V.mean_vector(F.col("v")).alias("mean"), F.sort_array(F.collect_list(F.struct("node", "core", "v"))).alias("held")), "samples")
-        near = _knn_distinct(held.select(F.col("tree").alias("rid"), F.col("mean").alias("v")), BRIDGE_TREES + 1, None, 4096)
-        pairs = near.filter("rid <> nid").select(F.least("rid", "nid").alias("a"), F.greatest("rid", "nid").alias("b")).distinct()
-
-        def shortest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                out = []
-                for a, b, one, two in zip(batch["a"], batch["b"], batch["one"], batch["two"]):
-                    d = pairwise(np.array([s["v"] for s in one]), np.array([s["v"] for s in two]))
-                    d = np.maximum(d, np.maximum(np.array([s["core"] for s in one])[:, None], [s["core"] for s in two]))
-                    i, j = np.unravel_index(d.argmin(), d.shape)
-                    out.append((a, b, float(d[i, j]), one[i]["node"], two[j]["node"]))
-                yield pd.DataFrame(out, columns=["a", "b", "w", "x", "y"])
-
-        spans = settle(
-            pairs.join(held.select(F.col("tree").alias("a"), F.col("held").alias("one")), "a")
-            .join(held.select(F.col("tree").alias("b"), F.col("held").alias("two")), "b")
-            .select("a", "b", "one", "two").mapInPandas(shortest, "a long, b long, w double, x long, y long"), "spans")
+        spans = _short_edges(trees)
         chosen = spanning_forest(spans.select("a", "b", "w"), chunk).select(F.col("x").alias("a"), F.col("y").alias("b"))
         forest = settle(forest.union(spans.join(chosen, ["a", "b"]).select("x", "y", "w")), "bridged")
 
 
+def _straightened(forest: DataFrame, nodes: DataFrame, min_samples: int, chunk: int) -> DataFrame:
+    """The merges of ``forest``, after giving its groups the short ways that the graph does not hold.
+
+    All neighbours of a point in a tight group lie inside it, so two such groups may only be joined by
+    way of some lone point between them. Groups of twice ``min_samples`` points or more are held against their
+    neighbours, and the forest is drawn again with the edges found.
+    """
+    merges = merge_sizes(forest, nodes, chunk)
+    apart = (F.col("size_x") >= 2 * min_samples) & (F.col("size_y") >= 2 * min_samples)
+    if merges.filter(apart).isEmpty():
+        return merges
+    groups = connected_components(merges.filter(~apart).select(F.col("x").alias("a"), F.col("y").alias("b")), chunk)
+    spans = _short_edges(settle(nodes.join(groups, "node").select("node", "v", "core", F.col("component").alias("tree")), "groups"))
+    edges = forest.union(spans.select("x", "y", "w")).toDF("a", "b", "w")
+    return merge_sizes(spanning_forest(edges, chunk), nodes, chunk)
+
+
 @dataclass
 class Hierarchy:
     """``merges`` (x, y, w, place, size_x, size_y) in order of weight, over ``nodes`` (node, weight, rid, core)."""
@@ -116,7 +141,7 @@ def hierarchy(graph: Graph, min_samples: int = MIN_SAMPLES, chunk: int = CHUNK)
     ca, cb = (nodes.select(F.col("node").alias(e), F.col("core").alias(f"c{e}")) for e in "ab")
     edges = ends.join(ca, "a").join(cb, "b").select("a", "b", F.greatest("distance", "ca", "cb").alias("w"))
     forest = _bridges(spanning_forest(edges, chunk), nodes, chunk)
-    merges = merge_sizes(forest, nodes, chunk)
+    merges = _straightened(forest, nodes, min_samples, chunk)
     points = nodes.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
     least = merges.filter("w > 0").agg(F.min("w")).first()[0]
     return Hierarchy(graph, nodes, merges, points, (least or 1.0) * 1e-3)

@@ -138,7 +138,8 @@ def _knn_hashed(reps: DataFrame, k: int, tables: int = HASH_TABLES, planes: int
     Random hyperplanes through the mean give each row a short sign code in each of
     ``tables`` tables; a row meets those of its own code and of the codes that differ in
     the sign it is least sure of. Buckets larger than a tile are cut by further planes, so
-    no task holds more than ``TILE_ROWS`` rows of a bucket however many share a code.
+    no task holds more than ``TILE_ROWS`` rows of a bucket however many share a code. More rows bring
+    more planes, so buckets keep their size and recall falls as the rows grow (figures in the README).
     """
     spark, n = reps.sparkSession, reps.count()
     if n == 0:
@@ -231,7 +232,8 @@ def top_k_similar(
     """The k nearest other rows of each row: id, rank, neighbor_id, distance.
 
     ``method="lsh"`` asks for the hashed route, whose work does not grow with the square of
-    the rows and which may miss neighbours (see ``_knn_hashed``); it is never chosen by size.
+    the rows and which misses more neighbours the more rows there are (see ``_knn_hashed``); it is never
+    chosen by size.
 
     On unit vectors (the default) Euclidean order is cosine order. Ties go to the
     lower id. Copies of a vector are handled once: the search runs over distinct

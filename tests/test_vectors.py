@@ -40,6 +40,38 @@ def test_neighbours_are_exact_with_many_cells_and_tiles(spark, cloud):
     assert max(abs(r.distance - want[r.id, r.rank][1]) for r in got) < 1e-9
 
 
+def shuffled_rows(df):
+    """Rows that the plan of ``df`` wrote to shuffles."""
+    df.collect()
+    todo, n = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if name == "ShuffleExchangeExec":
+                n += node.metrics().apply("shuffleRecordsWritten").value()
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return n
+
+
+def test_neighbour_search_sends_rows_to_groups_not_to_every_cell(spark):
+    x = np.random.default_rng(5).normal(size=(1600, 24))  # no bound can part cells of this cloud
+    df = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(x)], "rid long, v array<double>")
+    found = neighbors._knn_distinct(df, 5, None, 4096)
+    # 40 cells: 64,000 rows if each cell were sent all; its groups are at most twice GROUPS.
+    assert shuffled_rows(found) < 2 * 16 * len(x)
+    d = distances(x)
+    want = {i: sorted(np.argsort(d[i], kind="stable")[:5].tolist()) for i in range(len(x))}
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.rid, []).append(r.nid)
+    assert {i: sorted(v) for i, v in got.items()} == want
+
+
 def test_neighbours_of_few_rows(spark):
     x = np.array([[1.0, 0], [0, 1], [1, 0]])
     got = neighbors.top_k_similar(frame(spark, x), "id", "v", 5).orderBy("id", "rank").collect()

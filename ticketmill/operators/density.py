@@ -32,7 +32,7 @@ from ticketmill.functions import vectors as V
 from ticketmill.operators.agreement import agreement, contingency
 from ticketmill.operators.centroids import noise_summary, pairwise
 from ticketmill.operators.graphs import CHUNK, connected_components, merge_sizes, spanning_forest
-from ticketmill.operators.neighbors import TILE_ROWS, Graph, _knn_distinct, neighbor_graph
+from ticketmill.operators.neighbors import Graph, _knn_distinct, neighbor_graph
 from ticketmill.operators.tickets import top_per_group
 from ticketmill.session import join_checked, settle
 
@@ -75,7 +75,7 @@ def _short_edges(groups: DataFrame) -> DataFrame:
     sample = top_per_group(groups, "tree", [F.xxhash64("node"), F.col("node")], BRIDGE_NODES)
     held = settle(sample.groupBy("tree").agg(
         V.mean_vector(F.col("v")).alias("mean"), F.sort_array(F.collect_list(F.struct("node", "core", "v"))).alias("held")), "samples")
-    near = _knn_distinct(held.select(F.col("tree").alias("rid"), F.col("mean").alias("v")), BRIDGE_TREES + 1, None, TILE_ROWS)
+    near = _knn_distinct(held.select(F.col("tree").alias("rid"), F.col("mean").alias("v")), BRIDGE_TREES + 1, None)
     pairs = near.filter("rid <> nid").select(F.least("rid", "nid").alias("a"), F.greatest("rid", "nid").alias("b")).distinct()
 
     def shortest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -72,3 +72,12 @@ def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     token_planes.write_ids(docs, str(tmp_path / "ids"), VOCABULARY)
     assert token_planes.read_documents(spark, str(tmp_path / "ids"), digest=True).count() == 0
+
+
+def test_piece_cache_stays_small_over_many_different_words():
+    e = Encoder(VOCABULARY)
+    texts = [" ".join(f"q{i}" for i in range(at, at + 7000)) for at in range(0, 700_000, 7000)]
+    for text in texts[:-1]:
+        e.encode([text])
+    assert e.encode(texts[-1:]) == e.whole(texts[-1:])
+    assert len(e.new) + len(e.old) < 600_000  # two workers share what an executor has beside its heap

@@ -11,7 +11,7 @@ import itertools
 import os
 from functools import cache
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
 NEWLINE_ID = 198
 JOINED = 50
 MARKS = ".,;:!?"

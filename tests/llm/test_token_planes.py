@@ -81,3 +81,15 @@ def test_piece_cache_stays_small_over_many_different_words():
         e.encode([text])
     assert e.encode(texts[-1:]) == e.whole(texts[-1:])
     assert len(e.new) + len(e.old) < 600_000  # two workers share what an executor has beside its heap
+
+
+def test_texts_are_cut_into_the_runs_of_the_vocabulary():
+    e = Encoder(VOCABULARY)
+    words = ["naïve", "it's", "she'll", "12.5", "ab12cd", "x&&&", "(ok)", "!'s", "Łódź", "«a»", "end.\nNext", "a\n\nb", "m²", "漢字", "a\tb"]
+    texts = [f"{a} {b}" for a in words for b in words] + ["\n a", "a\n", " a", "a ", "'s", "\n"]
+    assert e.encode(texts) == e.encode(texts) == e.whole(texts)
+    # A word that other marks follow is learned once, whatever follows it.
+    e = Encoder(VOCABULARY)
+    ends = [".", ",", "&&&", ").", ".\nAt", "'s", "-x"]
+    assert e.encode([f"a verylongword{x}" for x in ends]) == e.whole([f"a verylongword{x}" for x in ends])
+    assert not e.new and sum("verylongword" in r for r in e.runs) == 1

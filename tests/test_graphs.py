@@ -3,8 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ticketmill.operators import graphs
+from ticketmill.session import settle
 
 
 class Sets:
@@ -69,3 +71,12 @@ def test_merge_sizes(spark, chunk):
     got = graphs.merge_sizes(spark.createDataFrame(forest, "x long, y long, w double"),
                              spark.createDataFrame(list(weight.items()), "node long, weight long"), chunk)
     assert {(r["x"], r["y"]): (r["w"], r["place"], r["size_x"], r["size_y"]) for r in got.collect()} == want
+
+
+def test_a_hundred_thousand_edges_need_no_rounds(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graphs, "settle", lambda df, label="stage": written.append(label) or settle(df, label))
+    edges = spark.range(100_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.lit(1.0).alias("w"))
+    assert graphs.connected_components(edges.select("a", "b")).select("component").distinct().count() == 1
+    assert graphs.spanning_forest(edges).count() == 100_000
+    assert written == ["edges", "components", "graph", "forest"]

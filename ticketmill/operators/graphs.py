@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ticketmill.operators.ranking import running_total
 from ticketmill.session import settle
 
-CHUNK = 50_000
+CHUNK = 400_000
 
 
 def _roots(a: np.ndarray, b: np.ndarray, keep=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -34,7 +34,7 @@ class Runs(dict):
     """Ids of runs; a new run's are taken from the older generation or else worked out."""
 
     def __init__(self, encode: Callable[[str], bytes], old: dict[str, bytes]):
-        self.encode, self.old = encode, dict(old)
+        self.encode, self.old = encode, old
 
     def __missing__(self, run: str) -> bytes:
         ids = self[run] = self.old.get(run) or self.encode(run)
@@ -119,6 +119,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.new) + len(self.runs) > CACHE_PIECES:
             self.old, self.new = self.new, {}
+            self.runs.old = {}  # two generations, no chain of them
             self.runs = Runs(self._run_ids, self.runs)
         known = self.new
         out: list = [b""] * len(texts)

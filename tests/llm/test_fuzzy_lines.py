@@ -3,6 +3,7 @@ import random
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ticketmill.llm import fuzzy_lines
 
@@ -23,6 +24,12 @@ def test_edit_similarity(a, b, similarity):
     assert fuzzy_lines.edit_similar(a, b, similarity) == (distance(a, b) <= limit)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet="abcé", max_size=20), st.lists(st.text(alphabet="abcé", max_size=20), min_size=1, max_size=6))
+def test_distances_side_by_side(text, others):
+    assert fuzzy_lines.distances(text, others) == [distance(text, x) for x in others]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["a", "bb", "cc dd", "e", "é"]), max_size=8), max_size=6))
 def test_prints_do_not_depend_on_what_stands_around(lines):
@@ -189,3 +196,50 @@ def test_queries_drop_equal_short_lines(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     assert {r["doc_id"]: r["n_removed"] for r in QUERIES["op8_fuzzy_lines"](spark, str(tmp_path)).collect()} == {1: 0, 2: 1, 3: 1}
     assert {r["doc_id"]: r["text"] for r in dedup_lines(spark, docs, "").collect()} == {1: rows[0][1], 2: "\ny", 3: "All rights reversed.\n "}
+
+
+def test_agreeing_in_two_blocks_by_chance_is_no_link(spark):
+    """Such pairs grow with the square of the lines; half of them differ in 19 bits or fewer, within the radius."""
+    from ticketmill.llm.hamming import block_buckets
+
+    rng, rows = np.random.default_rng(3), []
+    for _ in range(200):
+        a = int(rng.integers(0, 1 << 63))
+        rows += [(a,), (int(rng.integers(0, 1 << 63)) & ~((1 << 26) - 1) | a & (1 << 26) - 1,)]
+    near = int(rng.integers(0, 1 << 63))
+    rows += [(near,), (near ^ 0b111 << 30,)]
+    blocks = block_buckets(spark.createDataFrame(rows, "fp long"), 3, 5).select("fp", fuzzy_lines.of_kind(F.col("bucket"), F.lit(0)).alias("bucket"))
+    bands = spark.createDataFrame([(a, k // 2 * 2 + 1) for k, (a,) in enumerate(rows)], "fp long, bucket long")
+    found = fuzzy_lines.bucket_groups(blocks, fuzzy_lines.RADIUS, fuzzy_lines.BLOCK_RADIUS)
+    held = {r["fp"] for r in found.collect()}
+    assert {near, near ^ 0b111 << 30} <= held and len(held) <= 12
+    # The same lines met in a band are linked up to the radius.
+    assert fuzzy_lines.bucket_groups(bands, fuzzy_lines.RADIUS, fuzzy_lines.BLOCK_RADIUS).count() > 100
+
+
+def test_many_lines_against_one(monkeypatch):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(6):
+        words = ["".join(rng.choice("abcdef") for _ in range(5)) for _ in range(12)]
+        for _ in range(8):
+            other = list(words)
+            for k in rng.sample(range(12), rng.randint(0, 4)):
+                other[k] = "".join(rng.choice("abcdef") for _ in range(5))
+            texts.append(" ".join(other))
+    prints = np.zeros(len(texts), np.int64)
+
+    def groups():
+        up = list(range(len(texts)))
+        for i, j in fuzzy_lines.verified(prints, texts, list(range(len(texts))), 20, 0.8):
+            x, y = up[i], up[j]
+            up = [min(x, y) if u in (x, y) else u for u in up]
+        return up
+
+    monkeypatch.setattr(fuzzy_lines, "ALONE", 10**6)
+    want = groups()
+    for alone, at_once in ((0, 1), (0, 200), (1, 1 << 14)):
+        monkeypatch.setattr(fuzzy_lines, "ALONE", alone)
+        monkeypatch.setattr(fuzzy_lines, "AT_ONCE", at_once)
+        assert groups() == want
+    assert 6 <= len(set(want)) < len(texts)

@@ -9,6 +9,8 @@ and pairs of them, each once) differ in at most ``radius`` bits and their edit s
 blocks, sure up to ``SURE`` bits (up to ``radius`` if there are more blocks than that), and
 ``BANDS`` least hashes of a word and a pair of words with a class of length, which reach the pairs
 further apart with a probability that grows with their common words. ``RADIUS`` lies above nearly all pairs at ``SIMILARITY``.
+In a block's bucket a link reaches ``BLOCK_RADIUS`` bits: lines that agree in two blocks by chance, whose number grows with the
+square of the lines, mostly differ in 13 to 25 of the other bits, while similar lines so far apart hardly ever agree in two blocks.
 Of each connected group the occurrence with the smallest (doc_id, line number) stays.
 
 Only different lines are compared, in two steps. First links that span a bucket's groups
@@ -41,6 +43,7 @@ from ticketmill.llm.substrings import _ODD, mix, stretches
 MIN_WORDS = 5
 RADIUS = 20
 SURE = 3
+BLOCK_RADIUS = 10
 BLOCKS = 5
 BANDS = 12
 SIMILARITY = 0.8
@@ -48,6 +51,8 @@ BYTES_AT_ONCE = 1 << 20
 SEGMENTS = 1024
 LETTER_BINS = 64
 STRETCH = 120
+ALONE = 2  # lines that are compared with a line one by one, before many are at once
+AT_ONCE = 1 << 14  # characters of those
 
 
 def _powers(n: int):
@@ -210,9 +215,42 @@ def edit_similar(a: str, b: str, similarity: float) -> bool:
     return distance <= limit
 
 
-def near_trees(values, groups, radius: int):
+def distances(text: str, others: list[str]) -> list[int]:
+    """Edit distances of ``text`` to each of the ``others``, whose columns stand side by side in one wide integer.
+
+    A bit that no column uses parts them, so that no carry reaches the next one.
+    """
+    import numpy as np
+
+    sizes = [len(x) for x in others]
+    parting = 0xFFFFFFFF  # no code point
+    points = np.concatenate([np.r_[np.frombuffer(x.encode("utf-32-le"), "<u4"), np.uint32(parting)] for x in others])
+
+    def mask(held) -> int:
+        return int.from_bytes(np.packbits(held, bitorder="little").tobytes(), "little")
+
+    where = {c: mask(points == ord(c)) for c in set(text)}
+    ones = mask(points != parting)
+    low = mask(np.r_[True, points[:-1] == parting]) & ones
+    up, down = ones, 0
+    for c in text:
+        eq = where[c]
+        diagonal = ((((eq & up) + up) ^ up) | eq | down) & ones
+        right_up, right_down = down | ~(diagonal | up) & ones, up & diagonal
+        right_up, right_down = (right_up << 1 | low) & ones, right_down << 1 & ones
+        up, down = right_down | ~(diagonal | right_up) & ones, right_up & diagonal
+    found, at = [], 0
+    for n in sizes:
+        column = (1 << n) - 1
+        found.append(len(text) + (up >> at & column).bit_count() - (down >> at & column).bit_count())
+        at += n + 1
+    return found
+
+
+def near_trees(values, groups, radius):
     """For every member of a group of consecutive members: the one it was found near, and its root (indices).
 
+    ``radius`` is a number, or one for each member that is the same all over a group.
     Each connected group within the radius gets a tree whose links are near pairs themselves. All
     groups are searched at once, one member of each a round; a group ends when all its members are found.
     """
@@ -220,7 +258,7 @@ def near_trees(values, groups, radius: int):
 
     n = len(values)
     parent, root, state = np.arange(n), np.arange(n), np.zeros(n, np.int8)  # 0 not found, 1 waiting, 2 searched from
-    rows = np.arange(n)
+    rows, radius = np.arange(n), np.broadcast_to(radius, n)
     while len(rows):
         g = groups[rows]
         starts = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
@@ -230,7 +268,7 @@ def near_trees(values, groups, radius: int):
         seeds = rows[np.minimum.reduceat(turn, starts) % n]
         state[seeds] = 2
         seed = np.repeat(seeds, sizes)
-        found = rows[(state[rows] == 0) & (np.bitwise_count(values[rows] ^ values[seed]) <= radius)]
+        found = rows[(state[rows] == 0) & (np.bitwise_count(values[rows] ^ values[seed]) <= radius[rows])]
         by = seed[np.searchsorted(rows, found)]
         parent[found], root[found], state[found] = by, root[by], 1
         open_ = np.add.reduceat(state[rows] == 0, starts, dtype=np.int64)
@@ -240,9 +278,15 @@ def near_trees(values, groups, radius: int):
     return parent, root
 
 
-def bucket_groups(spread: DataFrame, radius: int) -> DataFrame:
-    """unit, fp, near: members of the groups of two or more within ``radius`` in every bucket of ``spread`` (fp, bucket).
+def of_kind(bucket, kind):
+    """``bucket`` with its lowest bit set to ``kind``: 1 for the bands, 0 for the blocks."""
+    return bucket.bitwiseAND(F.lit(-2)).bitwiseOR(kind)
+
+
+def bucket_groups(spread: DataFrame, radius: int, block_radius: int) -> DataFrame:
+    """unit, fp, near: members of the groups of two or more in every bucket of ``spread`` (fp, bucket).
 
+    Links reach ``radius`` bits in buckets with an odd number, ``block_radius`` in the others.
     A unit is named by the print its groups were searched from, mostly the smallest of a family of lines, so the groups
     that a family forms in many buckets are one unit. Each other member was found ``near`` a member, at most ``radius`` bits off.
     Buckets beyond ``CHUNK`` are cut, and every two chunks meet in a task.
@@ -255,7 +299,7 @@ def bucket_groups(spread: DataFrame, radius: int) -> DataFrame:
     def close(values, groups):
         import pyarrow as pa
 
-        parent, root = near_trees(values, groups, radius)
+        parent, root = near_trees(values, groups, np.where(groups & 1, np.uint8(radius), np.uint8(block_radius)))
         together = np.zeros(len(values), bool)
         together[root[root != np.arange(len(values))]] = True
         together |= root != np.arange(len(values))
@@ -289,7 +333,8 @@ def bucket_groups(spread: DataFrame, radius: int) -> DataFrame:
     met = settle(spread.select("fp", "bucket").repartition(width, "bucket").sortWithinPartitions("bucket", "fp").mapInArrow(
         meet, form), "met")
     large = met.filter("large").select("fp", F.col("unit").alias("bucket"))
-    rest = chunk_pairs(large, "bucket", "fp", CHUNK).select("fp", "unit").repartition(width, "unit").sortWithinPartitions(
+    rest = chunk_pairs(large, "bucket", "fp", CHUNK).select(
+        "fp", of_kind(F.col("unit"), F.col("bucket").bitwiseAND(F.lit(1))).alias("unit")).repartition(width, "unit").sortWithinPartitions(
         "unit", "fp").mapInArrow(compare, form)
     return met.filter("not large").union(rest).drop("large")
 
@@ -358,14 +403,21 @@ def verified(prints, texts: list[str], labels: list[int], radius: int, similarit
         near = near[np.argsort(off[near], kind="stable")]
         least = (np.abs(counts[near] - counts[i]).sum(axis=1) + 1) // 2
         near = near[least <= np.maximum(limits[near], limits[i]).astype(np.int64)]
+        tried = 0
         while len(near):
-            j = int(near[0])
-            if edit_similar(texts[i], texts[j], similarity):
-                links.append((i, j))
-                root[root == root[i]] = root[j]
-                near = near[root[near] != root[i]]
+            if tried < ALONE:
+                asked, similar = near[:1], [edit_similar(texts[i], texts[int(near[0])], similarity)]
             else:
-                near = near[1:]
+                asked = near[:max(1, int(np.searchsorted(np.cumsum(sizes[near]), AT_ONCE)))]
+                most = np.maximum(limits[asked], limits[i]).astype(np.int64)
+                similar = np.array(distances(texts[i], [texts[j] for j in asked.tolist()])) <= most
+            tried += 1
+            near = near[len(asked):]
+            for j, held in zip(asked.tolist(), similar):
+                if held and root[i] != root[j]:
+                    links.append((i, j))
+                    root[root == root[i]] = root[j]
+            near = near[root[near] != root[i]]
     return links
 
 
@@ -415,15 +467,16 @@ def _apart(links: DataFrame, labels: DataFrame) -> DataFrame:
         F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb")
 
 
-def _ask_again(members: DataFrame, texts: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """Links (a, b: digests) among the members (unit, fp) of units, by texts (digest, fp, text, label)."""
-    held = members.join(texts.select("fp", "digest", "label"), "fp")
+def _ask_again(members: DataFrame, texts: DataFrame, labelled: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Links (a, b: digests) among the members (unit, fp) of units, by texts (digest, text) and their labels (digest, fp, label)."""
+    held = settle(members.join(labelled, "fp").select("unit", "digest", "label"), "held-members")
     split = held.groupBy("unit").agg(
         (F.min("label") < F.max("label")).alias("apart"), F.bit_xor(F.xxhash64("digest")).alias("x"), F.count(F.lit(1)).alias("n"))
     # Units with the same members are asked once.
     units = settle(split.filter("apart").groupBy("x", "n").agg(F.min("unit").alias("unit")).select("unit"), "units")
     named = settle(join_checked(held, units, "unit", "left_semi", 16).select(F.col("unit").alias("place"), "digest"), "open-members")
-    placed = chunk_pairs(named, "place", "digest", CHUNK).select("unit", "digest").join(texts, "digest")
+    placed = chunk_pairs(named, "place", "digest", CHUNK).select("unit", "digest").join(
+        labelled, "digest").join(texts, "digest")
 
     def verify(batches: Iterator) -> Iterator:
         import numpy as np
@@ -463,12 +516,14 @@ def removals(
     fuzzy = distinct.filter(F.col("bands").isNotNull())
     # A print stands for the line with its smallest digest; lines that share one are asked again below.
     prints = settle(fuzzy.groupBy("fp").agg(F.count(F.lit(1)).alias("sharers"), F.min("digest").alias("lead")), "prints")
-    spread = block_buckets(prints.select("fp"), radius if radius < blocks else min(SURE, blocks - 1), blocks).union(
-        fuzzy.select("fp", F.posexplode("bands")).select("fp", F.xxhash64("pos", "col").alias("bucket")))
-    members = settle(bucket_groups(spread, radius), "members")
+    sure = radius if radius < blocks else min(SURE, blocks - 1)
+    spread = block_buckets(prints.select("fp"), sure, blocks).select("fp", of_kind(F.col("bucket"), F.lit(0)).alias("bucket")).union(
+        fuzzy.select("fp", F.posexplode("bands")).select("fp", of_kind(F.xxhash64("pos", "col"), F.lit(1)).alias("bucket")))
+    members = settle(bucket_groups(spread, radius, min(radius, max(sure, BLOCK_RADIUS))), "members")
     found = members.filter("fp <> near").select("unit", F.col("fp").alias("a"), F.col("near").alias("b"))
-    # One link of each print is verified by itself.
-    parents = settle(found.groupBy("a").agg(F.min("b").alias("b")), "parents")
+    # One link of each print, the nearest, is verified by itself.
+    off = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
+    parents = settle(found.groupBy("a").agg(F.min(F.struct(off, "b"))["b"].alias("b")), "parents")
 
     linked = parents.select(F.col("a").alias("fp")).union(parents.select("b")).distinct().withColumn("linked", F.lit(True))
     wanted = settle(prints.join(linked, "fp", "left").filter("linked OR sharers > 1").select("fp", "sharers", "lead"), "wanted")
@@ -487,11 +542,11 @@ def removals(
     again = join_checked(members.select("unit", "fp"), open_units, "unit", "left_semi", 16).union(
         shared.select(F.col("fp").alias("unit"), "fp")).distinct()
     digest_of = wanted.select(F.col("fp"), "lead")
-    sure = held.join(digest_of.toDF("a", "da"), "a").join(digest_of.toDF("b", "db"), "b").select(
+    checked = held.join(digest_of.toDF("a", "da"), "a").join(digest_of.toDF("b", "db"), "b").select(
         F.col("da").alias("a"), F.col("db").alias("b"))
-    labelled = texts.join(labels, texts.fp == labels.node, "left").select(
-        "digest", "fp", "text", F.when(F.col("lead"), F.coalesce("component", "fp")).otherwise(F.col("digest")).alias("label"))
-    links = sure.union(_ask_again(again, labelled, radius, similarity))
+    labelled = settle(texts.join(labels, texts.fp == labels.node, "left").select(
+        "digest", "fp", F.when(F.col("lead"), F.coalesce("component", "fp")).otherwise(F.col("digest")).alias("label")), "labelled")
+    links = checked.union(_ask_again(again, texts.select("digest", "text"), labelled, radius, similarity))
     groups = connected_components(links)
 
     grouped = settle(distinct.join(groups, distinct.digest == groups.node, "left").select(

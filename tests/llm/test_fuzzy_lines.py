@@ -243,3 +243,53 @@ def test_many_lines_against_one(monkeypatch):
         monkeypatch.setattr(fuzzy_lines, "AT_ONCE", at_once)
         assert groups() == want
     assert 6 <= len(set(want)) < len(texts)
+
+
+def test_a_text_is_cut_into_lines_once(spark):
+    """Cut again for each line that stays, this text alone takes minutes."""
+    import time
+
+    n = 30_000
+    text = "\n".join(f"line {k}" for k in range(n))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    gone = docs.select("doc_id", fuzzy_lines.row_id(), F.sequence(F.lit(0), F.lit(n - 1), F.lit(2)).alias("removed"))
+    began = time.monotonic()
+    row = fuzzy_lines.drop_lines(docs, gone).first()
+    assert time.monotonic() - began < 20
+    assert (row["n_lines"], row["n_removed"]) == (n, n // 2) and row["kept"] == "\n".join(f"line {k}" for k in range(1, n, 2))
+
+
+def test_buckets_travel_many_to_a_row(spark, monkeypatch):
+    """All pairs within the radius that share a bucket stay connected, however parts are packed and crowded."""
+    rng = np.random.default_rng(5)
+    values = rng.integers(0, 1 << 6, 300)
+    buckets = np.where(rng.random(300) < 0.4, 7, rng.integers(0, 12, 300))
+    spread = spark.createDataFrame(list(zip(values.tolist(), buckets.tolist())), "fp long, bucket long").repartition(3)
+
+    def groups(links):
+        up = list(range(64))
+        for a, b in links:
+            x, y = up[a], up[b]
+            up = [min(x, y) if u in (x, y) else u for u in up]
+        return up
+
+    want = groups([(a, b) for a, x in zip(values.tolist(), buckets.tolist()) for b, y in zip(values.tolist(), buckets.tolist())
+                   if x == y and (a ^ b).bit_count() <= (1 if x % 2 else 0)])
+    for packed, most, chunk in ((1 << 10, 1 << 21, 2048), (2, 8, 5)):
+        monkeypatch.setattr(fuzzy_lines, "PACKED", packed)
+        monkeypatch.setattr(fuzzy_lines, "PART_MOST", most)
+        monkeypatch.setattr(fuzzy_lines, "CHUNK", chunk)
+        found = fuzzy_lines.bucket_groups(spread, 1, 0).collect()
+        assert all((r["fp"] ^ r["near"]).bit_count() <= 1 for r in found)
+        assert groups([(r["fp"], r["near"]) for r in found]) == want
+
+
+def test_a_family_joined_to_another_asks_no_more(monkeypatch):
+    """Two groups that are connected already need one similar pair, not one of each member."""
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(20)]
+    texts = [" ".join(words[:19] + [f"{k:06d}"]) for k in range(80)]
+    asked, old = [], fuzzy_lines.similar_pairs
+    monkeypatch.setattr(fuzzy_lines, "similar_pairs", lambda texts, i, j, s: asked.append(len(i)) or old(texts, i, j, s))
+    assert len(fuzzy_lines.verified(np.zeros(80, np.int64), texts, [0] * 40 + [1] * 40, 20, 0.8)) == 1
+    assert sum(asked) == 1

@@ -149,12 +149,16 @@ def near_links(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
     return bucket_links(block_buckets(prints, radius, blocks), radius)
 
 
+def block_masks(radius: int, blocks: int) -> list[int]:
+    """The bits of every choice of ``blocks - radius`` blocks."""
+    edges = [round(64 * k / blocks) for k in range(blocks + 1)]
+    return [sum(((1 << edges[b + 1] - edges[b]) - 1) << edges[b] for b in kept) for kept in combinations(range(blocks), blocks - radius)]
+
+
 def block_buckets(prints: DataFrame, radius: int, blocks: int) -> DataFrame:
     """fp and bucket: every two prints within ``radius`` share a bucket."""
-    edges = [round(64 * k / blocks) for k in range(blocks + 1)]
     keys = []
-    for n, kept in enumerate(combinations(range(blocks), blocks - radius)):
-        mask = sum(((1 << edges[b + 1] - edges[b]) - 1) << edges[b] for b in kept)
+    for n, mask in enumerate(block_masks(radius, blocks)):
         signed = mask - (1 << 64) if mask >> 63 else mask
         keys.append(F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(F.lit(signed))))
     return prints.select("fp", F.explode(F.array(*keys)).alias("bucket"))

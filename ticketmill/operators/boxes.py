@@ -6,8 +6,11 @@ rounding; what passes is measured again in full, so results are exact.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BOX_ROWS = 64
 STEP_COLUMNS = 4096  # rows that a box is held against at a time
@@ -17,6 +20,11 @@ NOWHERE = 1e30  # squared distance of what only fills a box up
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
     """A column of equal-length arrays as a matrix, without an object for each row."""
+    widths = pc.unique(pc.list_value_length(column))
+    if len(widths) > 1 or widths.null_count:
+        raise ValueError(f"vectors of different widths: {widths.to_pylist()[:5]}")
+    if not len(column):
+        return np.empty((0, 0))
     parts = [c.flatten().to_numpy(zero_copy_only=False) for c in column.chunks if len(c)]
     return (parts[0] if len(parts) == 1 else np.concatenate(parts)).reshape(len(column), -1)
 
@@ -121,3 +129,75 @@ def improve(a: Boxes, dist: np.ndarray, near: np.ndarray, b: Boxes, ids: np.ndar
                 d[touched], i[touched] = far[best], who[best]
             at, width = at + width, min(2 * width, max(1, STEP_COLUMNS // b.rows.shape[1]))
         dist[mine], near[mine] = d, i
+
+
+class Lightest:
+    """For each tree (by code) its lightest edge to another one so far: w, x, y with x below y, and the other tree.
+
+    It starts from ``bound``, the weight of an edge that is known already (y is -1), which wins a tie; else the lower x, then y wins.
+    """
+
+    def __init__(self, bound: np.ndarray):
+        self.w, self.other = bound.copy(), np.full(len(bound), -1)
+        self.x, self.y = np.full(len(bound), -1), np.full(len(bound), -1)
+
+    def offer(self, tree: np.ndarray, other: np.ndarray, w: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+        order = np.lexsort((y, x, w, tree))
+        order = order[np.r_[True, tree[order][1:] != tree[order][:-1]]]
+        tree, other, w, x, y = (c[order] for c in (tree, other, w, x, y))
+        better = (w < self.w[tree]) | ((w == self.w[tree]) & ((x < self.x[tree]) | ((x == self.x[tree]) & (y < self.y[tree]))))
+        t = tree[better]
+        self.w[t], self.x[t], self.y[t], self.other[t] = w[better], x[better], y[better], other[better]
+
+
+@dataclass
+class Rows:
+    """What goes with the rows of a ``Boxes``: id, core distance, reach (no edge out of a row's tree, but known ones, is lighter), tree code."""
+
+    ids: np.ndarray
+    core: np.ndarray
+    reach: np.ndarray
+    tree: np.ndarray
+
+
+def reach_out(a: Boxes, mine: Rows, b: Boxes, theirs: Rows, best: Lightest) -> None:
+    """Offer ``best`` the lightest edges from rows of ``a`` to rows of ``b`` in other trees; an edge weighs its length or a core distance."""
+    slack, far_off = a.slack(b), 4 * (a.radius + b.radius) ** 2 + 1.0
+    trees = theirs.tree[b.rows]
+    alone = np.where((trees == trees[:, :1]).all(1), trees[:, 0], -1)  # the tree of a box that holds no other
+    floor = theirs.core[b.rows].min(1)
+    for box in range(len(a.rows)):
+        rows = a.rows[box, :a.sizes[box]]
+        tree, reach = mine.tree[rows], mine.reach[rows]
+
+        def limits() -> np.ndarray:
+            return np.where(reach < best.w[tree], best.w[tree], -1.0)
+
+        limit = limits()
+        if limit.max() < 0:
+            continue
+        least = np.maximum(a.gaps(box, b), floor)
+        todo = np.flatnonzero((least <= limit.max()) & ((alone < 0) | (alone != tree[0]) | (tree != tree[0]).any()))
+        todo = todo[np.argsort(least[todo], kind="stable")]
+        at, width = 0, 4
+        while at < len(todo):
+            limit = limits()
+            some = todo[at:at + width]
+            some = some[least[some] <= limit.max()]
+            if not len(some):
+                break
+            right, held = b.right[some].reshape(-1, b.right.shape[2]), b.rows[some].ravel()
+            less = np.where(limit < 0, -NOWHERE, np.minimum((np.maximum(limit, 0) / a.unit) ** 2 * (1 + 1e-6) + slack, far_off))
+            near = (a.left(box, less) @ right.T <= 0) & (tree[:, None] != trees[some].ravel()[None])
+            row, col = np.divmod(np.flatnonzero(near), len(held))
+            if len(row):
+                i, j = rows[row], held[col]
+                w = np.maximum(distances(a.x[i], b.x[j]), np.maximum(mine.core[i], theirs.core[j]))
+                keep = w <= limit[row]
+                i, j, w = i[keep], j[keep], w[keep]
+                if len(i):
+                    one, two = mine.ids[i], theirs.ids[j]
+                    x, y = np.minimum(one, two), np.maximum(one, two)
+                    best.offer(mine.tree[i], theirs.tree[j], w, x, y)
+                    best.offer(theirs.tree[j], mine.tree[i], w, x, y)
+            at, width = at + width, min(2 * width, max(1, STEP_COLUMNS // b.rows.shape[1]))

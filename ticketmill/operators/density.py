@@ -5,9 +5,8 @@ The steps of the published hierarchy (Campello et al., 2013), each as a Spark jo
 1. Different vectors become nodes; each is joined to its ``GRAPH_K`` nearest (``neighbor_graph``).
 2. An edge weighs the largest of its length and the core distances of its ends, where a core
    distance reaches ``min_samples`` other points, copies included.
-3. Least-edge rounds give the minimum spanning forest. Trees the graph leaves apart, and tight groups
-   that it joins by way of lone points only, get the shortest edges between samples of groups whose
-   means are neighbours.
+3. Least-edge rounds give the minimum spanning forest. Its edges that no pair outside the graph can undercut stay; what
+   they leave apart is joined by the lightest edges of all pairs, so the tree is that of all distances.
 4. Edges in order of weight join the points up; ``merge_sizes`` finds what size each side then has.
    An edge between two sides of ``min_cluster_size`` points or more is a split. Every other point
    lands, at the weight at which its side first belongs to so many points.
@@ -20,19 +19,19 @@ No step samples, caps or summarises points, and no table of points or edges reac
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketmill.functions import vectors as V
 from ticketmill.operators.agreement import agreement, contingency
-from ticketmill.operators.centroids import noise_summary, pairwise
+from ticketmill.operators.boxes import Boxes, Lightest, Rows, frame_of, matrix, reach_out
+from ticketmill.operators.centroids import noise_summary
 from ticketmill.operators.graphs import CHUNK, connected_components, merge_sizes, spanning_forest
-from ticketmill.operators.neighbors import Graph, _knn_distinct, neighbor_graph
+from ticketmill.operators.neighbors import Graph, Tiles, neighbor_graph, paired, spread, tiled
 from ticketmill.operators.tickets import top_per_group
 from ticketmill.session import join_checked, settle
 
@@ -42,8 +41,6 @@ MIN_CLUSTER_SIZE = 20
 MIN_CLUSTER_SHARE = 0.03
 # -----------------------------------------------------------------------------
 GRAPH_K = 15
-BRIDGE_NODES = 128
-BRIDGE_TREES = 8
 
 
 def default_min_cluster_size(n: int) -> int:
@@ -51,10 +48,11 @@ def default_min_cluster_size(n: int) -> int:
 
 
 def core_distances(graph: Graph, min_samples: int) -> DataFrame:
-    """node, weight, rid, v, core: the distance within which ``min_samples`` other points lie.
+    """node, weight, rid, v, core: the distance within which ``min_samples`` other points lie, reach: that of the last neighbour.
 
-    A node with fewer neighbours than that in the graph takes its farthest one.
+    A node with fewer neighbours than that in the graph takes its farthest one. The reach of one that neighbours all others is infinite.
     """
+    others = graph.nodes.count() - 1
     weights = graph.nodes.select(F.col("node").alias("nid"), F.col("weight").alias("theirs"))
     so_far = F.sum("theirs").over(Window.partitionBy("node").orderBy("distance", "nid"))
     reached = graph.near.join(weights, "nid").withColumn("seen", so_far).groupBy("node").agg(
@@ -64,63 +62,83 @@ def core_distances(graph: Graph, min_samples: int) -> DataFrame:
     enough = F.filter("steps", lambda s: s["seen"] >= need)
     core = F.when(need <= 0, 0.0).otherwise(F.coalesce(
         F.get(enough, 0)["distance"], F.array_max("steps")["distance"], F.lit(0.0)))
-    return settle(graph.nodes.join(reached, "node", "left").select("node", "weight", "rid", "v", core.alias("core")), "core")
+    far = F.coalesce(F.array_max("steps")["distance"], F.lit(0.0))
+    reach = F.when(F.size(F.coalesce("steps", F.array())) >= others, float("inf")).otherwise(far)
+    return settle(graph.nodes.join(reached, "node", "left").select(
+        "node", "weight", "rid", "v", core.alias("core"), reach.alias("reach")), "core")
 
 
-def _short_edges(groups: DataFrame) -> DataFrame:
-    """a, b, w, x, y: the shortest edge x-y between samples of groups a and b of ``groups`` (node, v, core, tree).
+def _lightest_out(tiles: Tiles, trees: DataFrame) -> DataFrame:
+    """tree, w, x, y: the lightest edge of every tree to a node of another one, if it weighs less than the tree's ``bound``.
 
-    Each group is held against those with the nearest means, by ``BRIDGE_NODES`` of its nodes at most.
+    ``trees`` holds node, core, reach, tree, bound. Exact: rows meet as in the neighbour search, tile by tile, and stay apart only where
+    a bound on their distance, or the reach of one, allows no lighter edge.
     """
-    sample = top_per_group(groups, "tree", [F.xxhash64("node"), F.col("node")], BRIDGE_NODES)
-    held = settle(sample.groupBy("tree").agg(
-        V.mean_vector(F.col("v")).alias("mean"), F.sort_array(F.collect_list(F.struct("node", "core", "v"))).alias("held")), "samples")
-    near = _knn_distinct(held.select(F.col("tree").alias("rid"), F.col("mean").alias("v")), BRIDGE_TREES + 1, None)
-    pairs = near.filter("rid <> nid").select(F.least("rid", "nid").alias("a"), F.greatest("rid", "nid").alias("b")).distinct()
-
-    def shortest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for a, b, one, two in zip(batch["a"], batch["b"], batch["one"], batch["two"]):
-                d = pairwise(np.array([s["v"] for s in one]), np.array([s["v"] for s in two]))
-                d = np.maximum(d, np.maximum(np.array([s["core"] for s in one])[:, None], [s["core"] for s in two]))
-                i, j = np.unravel_index(d.argmin(), d.shape)
-                out.append((a, b, float(d[i, j]), one[i]["node"], two[j]["node"]))
-            yield pd.DataFrame(out, columns=["a", "b", "w", "x", "y"])
-
-    one, two = (held.select(F.col("tree").alias(e), F.col("held").alias(n)) for e, n in (("a", "one"), ("b", "two")))
-    return settle(pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInPandas(
-        shortest, "a long, b long, w double, x long, y long"), "spans")
-
-
-def _bridges(forest: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
-    """``forest`` (x, y, w) with edges added until all ``nodes`` hang together."""
-    while True:
-        found = connected_components(forest.select(F.col("x").alias("a"), F.col("y").alias("b")), chunk)
-        trees = settle(nodes.join(found, "node", "left").select(
-            "node", "v", "core", F.coalesce("component", "node").alias("tree")), "trees")
-        if trees.select("tree").distinct().limit(2).count() < 2:
-            return forest
-        spans = _short_edges(trees)
-        chosen = spanning_forest(spans.select("a", "b", "w"), chunk).select(F.col("x").alias("a"), F.col("y").alias("b"))
-        forest = settle(forest.union(spans.join(chosen, ["a", "b"]).select("x", "y", "w")), "bridged")
-
-
-def _straightened(forest: DataFrame, nodes: DataFrame, min_samples: int, chunk: int) -> DataFrame:
-    """The merges of ``forest``, after giving its groups the short ways that the graph does not hold.
-
-    All neighbours of a point in a tight group lie inside it, so two such groups may only be joined by
-    way of some lone point between them. Groups of twice ``min_samples`` points or more are held against their
-    neighbours, and the forest is drawn again with the edges found.
+    most = trees.agg(F.max("bound")).first()[0]
+    rows = tiles.rows.join(trees.withColumnRenamed("node", "rid"), "rid").filter(F.col("reach") < most)
+    need = F.when(F.col("reach") < F.col("bound"), F.col("bound")).otherwise(float("-inf")).alias("need")
+    fields = ("rid", "v", "cell", "tile", "core", "reach", "tree", "bound")
+
+    def search(held: pa.Table) -> pa.Table:
+        x, tile, names = matrix(held["v"]), held["tile"].to_numpy(), held["tree"].to_numpy()
+        names, tree = np.unique(names, return_inverse=True)
+        bound = np.empty(len(names))
+        bound[tree] = held["bound"].to_numpy()
+        best, frame, sides = Lightest(bound), frame_of(x), []
+        for t in np.unique(tile):
+            at = np.flatnonzero(tile == t)
+            sides.append((Boxes(x[at], frame), Rows(held["rid"].to_numpy()[at], held["core"].to_numpy()[at], held["reach"].to_numpy()[at], tree[at])))
+        # One tile searches itself, two each other.
+        for mine, theirs in ((sides[0], sides[-1]), (sides[-1], sides[0]))[:len(sides)]:
+            if len(sides) > 1 or "pair" not in held.column_names:
+                reach_out(*mine, *theirs, best)
+        got = np.flatnonzero(best.y >= 0)
+        return pa.table({"tree": names[got], "w": best.w[got], "x": best.x[got], "y": best.y[got]})
+
+    found = "tree long, w double, x long, y long"
+    own = settle(spread(rows.select(*fields), "tile", len(tiles.cells)).groupBy("tile").applyInArrow(search, found), "spans")
+    if len(tiles.cells) > 1:
+        known = settle(own.groupBy("tree").agg(F.min("w").alias("known")), "known")
+        nearer = join_checked(rows, known, "tree", "left", 16).withColumn("bound", F.least("bound", F.coalesce("known", "bound")))
+        met = paired(tiles, nearer.select(*fields, need)).groupBy("pair").applyInArrow(search, found)
+        own = own.union(met)
+    return settle(own.groupBy("tree").agg(F.min(F.struct("w", "x", "y")).alias("e")).select("tree", "e.*"), "lightest")
+
+
+def _merges(forest: DataFrame, nodes: DataFrame, chunk: int) -> DataFrame:
+    """The merges of the spanning tree that all pairs of ``nodes`` have, from the ``forest`` of their neighbour graph.
+
+    A pair that the graph does not hold weighs no less than the ``reach`` of either node. So an edge of the forest no heavier than
+    the least reach on one of its sides is sure. What the sure ones leave apart is joined in rounds, each tree by its lightest edge
+    to any other node: one of the forest or one that the graph does not hold, searched for below the former's weight.
     """
     merges = merge_sizes(forest, nodes, chunk)
-    apart = (F.col("size_x") >= 2 * min_samples) & (F.col("size_y") >= 2 * min_samples)
-    if merges.filter(apart).isEmpty():
+    sure = F.greatest("reach_x", "reach_y") >= F.col("w")
+    kept = merges.filter(sure).select("x", "y", "w")
+    spare = merges.filter(~sure).select("x", "y", "w", F.lit(0).alias("found"))
+    joined = connected_components(kept.select(F.col("x").alias("a"), F.col("y").alias("b")), chunk)
+    trees = settle(nodes.join(joined, "node", "left").select("node", "core", "reach", F.coalesce("component", "node").alias("tree")), "trees")
+    if trees.select("tree").distinct().limit(2).count() < 2:
         return merges
-    groups = connected_components(merges.filter(~apart).select(F.col("x").alias("a"), F.col("y").alias("b")), chunk)
-    spans = _short_edges(settle(nodes.join(groups, "node").select("node", "v", "core", F.col("component").alias("tree")), "groups"))
-    edges = forest.union(spans.select("x", "y", "w")).toDF("a", "b", "w")
-    return merge_sizes(spanning_forest(edges, chunk), nodes, chunk)
+    tiles = tiled(nodes.select(F.col("node").alias("rid"), "v"))
+    while trees.select("tree").distinct().limit(2).count() == 2:
+        ends = [trees.select(F.col("node").alias(n), F.col("tree").alias(e)) for n, e in (("x", "a"), ("y", "b"))]
+        spare = settle(spare.join(ends[0], "x").join(ends[1], "y").filter("a <> b").select("x", "y", "w", "found", "a", "b"), "spare")
+        edge = F.struct("w", "found", "x", "y")
+        known = settle(spare.select(F.col("a").alias("tree"), edge.alias("e")).union(spare.select(F.col("b").alias("tree"), edge.alias("e"))).groupBy(
+            "tree").agg(F.min("e").alias("e")), "known")
+        asked = trees.join(known.select("tree", F.col("e.w").alias("bound")), "tree", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+        found = _lightest_out(tiles, settle(asked.select("node", "core", "reach", "tree", "bound"), "asked"))
+        best = known.union(found.select("tree", F.struct("w", F.lit(1).alias("found"), "x", "y").alias("e"))).groupBy("tree").agg(F.min("e").alias("e"))
+        picked = best.select("e.x", "e.y", "e.w", "e.found").distinct().join(ends[0], "x").join(ends[1], "y").groupBy(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min(edge).alias("e")).select("a", "b", "e.*")
+        picked = settle(picked, "picked")
+        links = spanning_forest(picked.select("a", "b", "w"), chunk).select(F.col("x").alias("a"), F.col("y").alias("b"))
+        kept = settle(kept.union(picked.join(links, ["a", "b"]).select("x", "y", "w")), "kept")
+        spare = spare.select("x", "y", "w", "found").union(found.select("x", "y", "w", F.lit(1).alias("found"))).distinct()
+        joined = connected_components(links, chunk).select(F.col("node").alias("tree"), "component")
+        trees = settle(trees.join(joined, "tree", "left").select("node", "core", "reach", F.coalesce("component", "tree").alias("tree")), "trees")
+    return merge_sizes(kept, nodes, chunk)
 
 
 @dataclass
@@ -140,8 +158,7 @@ def hierarchy(graph: Graph, min_samples: int = MIN_SAMPLES, chunk: int = CHUNK)
     ends = graph.near.select(F.least("node", "nid").alias("a"), F.greatest("node", "nid").alias("b"), "distance")
     ca, cb = (nodes.select(F.col("node").alias(e), F.col("core").alias(f"c{e}")) for e in "ab")
     edges = ends.join(ca, "a").join(cb, "b").select("a", "b", F.greatest("distance", "ca", "cb").alias("w"))
-    forest = _bridges(spanning_forest(edges, chunk), nodes, chunk)
-    merges = _straightened(forest, nodes, min_samples, chunk)
+    merges = _merges(spanning_forest(edges, chunk), nodes, chunk)
     points = nodes.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
     least = merges.filter("w > 0").agg(F.min("w")).first()[0]
     return Hierarchy(graph, nodes, merges, points, (least or 1.0) * 1e-3)

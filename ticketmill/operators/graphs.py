@@ -122,9 +122,10 @@ def spanning_forest(edges: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def merge_sizes(forest: DataFrame, weights: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """x, y, w, place, size_x, size_y: what the two ends of each edge belong to when the edges join up in order of weight.
+    """x, y, w, place, size_x, size_y, reach_x, reach_y: what the two ends of each edge belong to when the edges join up in order of weight.
 
-    ``forest`` holds x, y, w; ``weights`` (node: 0 or above, weight: long) the size of every node. The edges
+    ``forest`` holds x, y, w; ``weights`` (node: 0 or above, weight: long) the size of every node. If ``weights`` has a double
+    ``reach``, reach_x and reach_y are the least of each end's nodes, else infinite. The edges
     are numbered in order and halved again and again: the lighter half keeps its nodes, the heavier
     half sees the lighter one's groups as nodes of their size, named -1 less the place of their last edge.
     So no two ranges share a node. Once a range holds at most ``chunk`` edges, one task joins it up.
@@ -132,7 +133,8 @@ def merge_sizes(forest: DataFrame, weights: DataFrame, chunk: int = CHUNK) -> Da
     one = settle(forest.select("x", "y", "w").withColumn("all", F.lit("")), "forest")
     numbered = running_total(one, "all", [F.col("w"), F.col("x"), F.col("y")]).drop("all")
     edges = settle(numbered.select("*", F.col("x").alias("a"), F.col("y").alias("b")), "numbered")
-    nodes = weights.select("node", F.col("weight").cast("long").alias("size"))
+    nodes = weights.select("node", F.col("weight").cast("long").alias("size"),
+                           F.col("reach") if "reach" in weights.columns else F.lit(float("inf")).alias("reach"))
     n, parts = edges.count(), 1
 
     def lot(of: int):
@@ -144,7 +146,7 @@ def merge_sizes(forest: DataFrame, weights: DataFrame, chunk: int = CHUNK) -> Da
         groups = connected_components(light.select("a", "b"), chunk)
         last = light.join(groups, light.a == groups.node).groupBy("component").agg((-1 - F.max("place")).alias("name"))
         named = settle(groups.join(last, "component").select("node", "name"), "named")
-        sums = named.join(nodes, "node").groupBy("name").agg(F.sum("size").alias("size"))
+        sums = named.join(nodes, "node").groupBy("name").agg(F.sum("size").alias("size"), F.min("reach").alias("reach"))
         # A group that is whole already was named before, with the same size.
         nodes = nodes.union(sums).dropDuplicates(["node"])
         inner = _relabel(heavy, named.withColumnRenamed("name", "component"))
@@ -154,7 +156,7 @@ def merge_sizes(forest: DataFrame, weights: DataFrame, chunk: int = CHUNK) -> Da
     def join_up(e: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
         e = e.sort_values("place")
         at = {node: k for k, node in enumerate(v["node"].tolist())}
-        up, size = list(range(len(at))), v["size"].tolist()
+        up, size, reach = list(range(len(at))), v["size"].tolist(), v["reach"].tolist()
 
         def find(k: int) -> int:
             while up[k] != k:
@@ -162,18 +164,20 @@ def merge_sizes(forest: DataFrame, weights: DataFrame, chunk: int = CHUNK) -> Da
                 k = up[k]
             return k
 
-        left, right = [], []
+        left, right = [], []  # size and reach
         for a, b in zip(e["a"].tolist(), e["b"].tolist()):
             i, j = find(at[a]), find(at[b])
-            left.append(size[i])
-            right.append(size[j])
+            left.append((size[i], reach[i]))
+            right.append((size[j], reach[j]))
             up[j] = i
             size[i] += size[j]
-        return e[["x", "y", "w", "place"]].assign(size_x=left, size_y=right)
+            reach[i] = min(reach[i], reach[j])
+        ends = {f"{what}_{end}": [s[n] for s in side] for n, what in enumerate(("size", "reach")) for end, side in (("x", left), ("y", right))}
+        return e[["x", "y", "w", "place"]].assign(**ends)
 
     members = _used(edges.withColumn("lot", lot(parts)), "lot").join(nodes, "node")
     return settle(edges.withColumn("lot", lot(parts)).groupBy("lot").cogroup(members.groupBy("lot")).applyInPandas(
-        join_up, "x long, y long, w double, place long, size_x long, size_y long"), "merge-sizes")
+        join_up, "x long, y long, w double, place long, size_x long, size_y long, reach_x double, reach_y double"), "merge-sizes")
 
 
 def _used(edges: DataFrame, *more: str) -> DataFrame:

@@ -256,6 +256,25 @@ def test_density_joins_far_groups_that_the_graph_leaves_apart(spark):
     assert agreement(plain_density(x, 25, 5), got) >= 0.97
 
 
+def test_the_tree_is_that_of_all_distances(spark):
+    """Groups of more than a hundred points that lie in each other's way; no graph edge joins them."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(size=(260, 2)) * s + c for c, s in (((0, 0), 1), ((30, 0), 4), ((0, 60), 9), ((70, 70), 1), ((72, 74), 0.2))]
+                       + [np.c_[np.linspace(3, 65, 150), np.linspace(-9, 50, 150)], rng.uniform(-90, 160, (30, 2))])
+    d = distances(x)
+    core = np.sort(d, axis=1)[:, 5]
+    w = np.maximum(d, np.maximum(core[:, None], core[None]))
+    inside, near, want = np.zeros(len(x), bool), np.full(len(x), np.inf), []
+    inside[0], near = True, w[0].copy()
+    for _ in range(len(x) - 1):
+        at = int(np.where(inside, np.inf, near).argmin())
+        want.append(near[at])
+        inside[at] = True
+        near = np.minimum(near, w[at])
+    got = density.hierarchy(neighbors.neighbor_graph(frame(spark, x), "id", "v", 6), 5).merges.collect()
+    assert len(got) == len(want) and np.allclose(sorted(r.w for r in got), sorted(want))
+
+
 def test_runs_agree(spark):
     x, _ = blobs()
     runs, pairs, fates = density.stability_runs(frame(spark, x), "id", "v", [(20, 5), (20, 5), (120, 5)])
@@ -391,6 +410,17 @@ def test_axes_of_a_flat_spectrum(spark, monkeypatch):
     assert np.trace(axes.T @ covariance @ axes) > 0.98 * best
 
 
+def test_axes_take_one_pass_over_the_rows(spark, monkeypatch):
+    x = np.random.default_rng(8).normal(size=(300, 40)) * np.linspace(3, 1, 40)
+    df = frame(spark, x).select("v").repartition(5)
+    monkeypatch.setattr(reduction, "EXACT_WIDTH", 8)
+    monkeypatch.setattr(reduction, "WHOLE_WIDTH", 0)
+    want = reduction.principal_axes(df, 40, 5)
+    monkeypatch.setattr(reduction, "WHOLE_WIDTH", 40)
+    monkeypatch.setattr(reduction, "_times_covariance", None)  # each call is a pass of its own
+    assert np.abs(reduction.principal_axes(df, 40, 5) - want).max() < 1e-9
+
+
 def test_null_vectors_are_left_out(spark):
     from ticketmill.operators import density, reduction
 

@@ -3,7 +3,8 @@
 The built-in PCA factors a d x d matrix in pure JVM code on the driver, minutes at
 1536 dimensions. Here tasks add up covariance x Q for a thin basis Q, and the driver
 only ever factors that thin product (subspace iteration, Halko et al., SIAM Review
-2011). Up to ``EXACT_WIDTH`` dimensions Q is the identity and one pass is exact.
+2011). Up to ``EXACT_WIDTH`` dimensions Q is the identity and one pass is exact. Up to ``WHOLE_WIDTH``
+tasks add up the covariance itself, so one pass over the rows serves all steps of the iteration.
 """
 
 from __future__ import annotations
@@ -12,10 +13,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.functions import vectors as V
+from ticketmill.operators.boxes import matrix
 from ticketmill.operators.centroids import stack
 
 # --- Fixed values ------------------------------------------------------------
@@ -24,18 +27,23 @@ PLOT_DIMENSIONS = 2
 SEED = 42
 # -----------------------------------------------------------------------------
 EXACT_WIDTH = 256
+WHOLE_WIDTH = 2048  # 32 MB of covariance for each of ``FAN_IN`` tasks, and on the driver
 MAX_PASSES = 60
 TOLERANCE = 1e-4  # least relative gain in captured variance that another pass must bring
 SPARE = 10  # extra basis columns, which speed up convergence
 FAN_IN = 64  # rows that reach the driver per pass, whatever the number of tasks
+STRIP_ROWS = 32  # rows of a whole covariance that are added up as one
 
 
-def _unit_rows(column: pd.Series) -> np.ndarray:
-    x = stack(column)
+def _to_unit(x: np.ndarray) -> np.ndarray:
     norm = np.sqrt((x * x).sum(1, keepdims=True))
     return x / np.where(norm > 0, norm, 1.0)
 
 
+def _unit_rows(column: pd.Series) -> np.ndarray:
+    return _to_unit(stack(column))
+
+
 def _times_covariance(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
     """Covariance x basis of the vectors in column ``v``, scaled to unit length; one pass.
 
@@ -67,6 +75,33 @@ def _times_covariance(vectors: DataFrame, basis: np.ndarray) -> np.ndarray:
     return product / n - np.outer(mean, mean @ basis)
 
 
+def _covariance(vectors: DataFrame, d: int) -> np.ndarray:
+    """The whole d x d covariance of the vectors in column ``v``, scaled to unit length; one pass.
+
+    A task folds its rows into one matrix, sent in strips that are added up strip by strip.
+    """
+    schema = pa.schema([("strip", pa.int64()), ("flat", pa.list_(pa.float64()))])
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, product = 0, np.zeros(d), np.zeros((d, d))
+        for b in batches:
+            if b.num_rows:
+                x = _to_unit(matrix(pa.chunked_array([b.column(0)])))
+                n += len(x)
+                total += x.sum(0)
+                product += x.T @ x
+        if n:
+            yield pa.RecordBatch.from_pydict({"strip": [-1], "flat": [np.concatenate([[n], total])]}, schema)
+            for at in range(0, d, STRIP_ROWS):
+                yield pa.RecordBatch.from_pydict({"strip": [at], "flat": [product[at:at + STRIP_ROWS].ravel()]}, schema)
+
+    parts = vectors.coalesce(FAN_IN).mapInArrow(partial, "strip long, flat array<double>")
+    strips = {r["strip"]: np.array(r["flat"]) for r in parts.groupBy("strip").agg(V.sum_vector(F.col("flat")).alias("flat")).collect()}
+    head = strips.pop(-1)
+    mean = head[1:] / head[0]
+    return np.concatenate([strips[at] for at in sorted(strips)]).reshape(d, d) / head[0] - np.outer(mean, mean)
+
+
 def principal_axes(vectors: DataFrame, d: int, k: int) -> np.ndarray:
     """The ``k`` leading axes (d x k) of the unit vectors along column ``v``, signs fixed."""
     if d <= EXACT_WIDTH:
@@ -74,7 +109,12 @@ def principal_axes(vectors: DataFrame, d: int, k: int) -> np.ndarray:
         image = _times_covariance(vectors, basis)
     else:
         basis = np.linalg.qr(np.random.default_rng(SEED).normal(size=(d, min(d, k + SPARE))))[0]
-        image = _times_covariance(vectors, basis)
+        whole = _covariance(vectors, d) if d <= WHOLE_WIDTH else None
+
+        def times(basis: np.ndarray) -> np.ndarray:
+            return _times_covariance(vectors, basis) if whole is None else whole @ basis
+
+        image = times(basis)
         captured = 0.0
         for _ in range(MAX_PASSES):
             top = np.sort(np.linalg.eigvalsh((basis.T @ image + image.T @ basis) / 2))[::-1][:k].sum()
@@ -82,10 +122,10 @@ def principal_axes(vectors: DataFrame, d: int, k: int) -> np.ndarray:
                 break
             captured = top
             basis = np.linalg.qr(image)[0]
-            image = _times_covariance(vectors, basis)
+            image = times(basis)
     small = basis.T @ image
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    axes = basis @ vectors[:, np.argsort(values)[::-1][:k]]
+    values, turned = np.linalg.eigh((small + small.T) / 2)
+    axes = basis @ turned[:, np.argsort(values)[::-1][:k]]
     strongest = np.abs(axes).argmax(0)
     return axes * np.sign(axes[strongest, np.arange(axes.shape[1])])
 
